@@ -156,16 +156,17 @@ def feature_drift(scored: DataFrame, profile: Profile, policy: Policy,
         F.lit(len(names)).alias("n_monitored"))
 
 
-def drift_summary(drift_rows: DataFrame, top_k: int = 5) -> DataFrame:
+def drift_summary(drift_rows: DataFrame, top_k: int = 5, keys: Sequence[str] = ()) -> DataFrame:
     """D11 + D12 per batch: tested / alert / warn counts, drifted fraction,
-    max PSI (non-finite ignored) and the top-k features by PSI."""
+    max PSI (non-finite ignored) and the top-k features by PSI (non-finite
+    PSI sorts as 0; ties keep feature order)."""
     key = F.when(is_finite("psi"), -F.col("psi")).otherwise(F.lit(0.0))
-    w = Window.partitionBy("batch_id").orderBy(key.asc(), F.col("feature_index").asc())
+    w = Window.partitionBy(*keys, "batch_id").orderBy(key.asc(), F.col("feature_index").asc())
     ranked = drift_rows.select("*", F.row_number().over(w).alias("_rank"))
     top = F.transform(
         F.array_sort(F.collect_list(F.when(F.col("_rank") <= top_k, F.struct("_rank", "feature")))),
         lambda s: s["feature"])
-    return ranked.groupBy("batch_id").agg(
+    return ranked.groupBy(*keys, "batch_id").agg(
         F.count(F.lit(1)).alias("n_features_tested"),
         F.sum((F.col("psi_level") == "ALERT").cast("int")).alias("n_features_alert"),
         F.sum((F.col("psi_level") == "WARN").cast("int")).alias("n_features_warn"),
@@ -177,7 +178,7 @@ def drift_summary(drift_rows: DataFrame, top_k: int = 5) -> DataFrame:
         F.array_sort(F.collect_list(F.when(F.col("missing_from_batch"),
                                            F.struct("feature_index", "feature"))))
         .alias("_missing")).select(
-        "batch_id", "n_features_tested", "n_features_alert", "n_features_warn", "n_features_missing",
+        *keys, "batch_id", "n_features_tested", "n_features_alert", "n_features_warn", "n_features_missing",
         (F.col("n_features_alert") / F.greatest(F.col("n_monitored"), F.lit(1))).alias("drifted_fraction"),
         "max_psi", "top_drifted", F.transform("_missing", lambda s: s["feature"]).alias("missing_features"),
         "ks_alpha_corrected")
