@@ -103,7 +103,11 @@ def build_profile(reference: DataFrame, features: Sequence[str], threshold: floa
                          "cum_lt", "cum_le")
 
     sc = scores if scores is not None else reference
-    model = _model_row(sc, reference, threshold, model_version, score_col, label_col, baseline)
+    if score_col in sc.columns:
+        model = _model_row(sc, reference, threshold, model_version, score_col, label_col, baseline)
+    else:  # a drift-only profile (no model scores)
+        model = reference.agg(F.count(F.lit(1)).alias("n_reference_rows")).select(
+            F.lit(model_version).alias("model_version"), "n_reference_rows")
     return Profile(model_version, list(features), bins, feats, ks_table, model)
 
 
