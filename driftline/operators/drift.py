@@ -19,7 +19,7 @@ from driftline.operators.quantile import bucket_cuts, bucket_of
 from driftline.operators.reshape import unpivot_features
 from driftline.plans.policy import Policy
 
-KS_BUCKETS = 256
+KS_BUCKETS = 128
 
 
 def value_counts(scored: DataFrame, features: Sequence[str], batch: str = "batch_id") -> DataFrame:
@@ -47,7 +47,8 @@ def bin_stats(counts: DataFrame, prof_feats: DataFrame, bins: int) -> DataFrame:
                       (F.col("_sx") / F.col("_sn")).alias("current_mean"))
 
 
-def ks_statistics(counts: DataFrame, ref_cdf: DataFrame, n_buckets: int = KS_BUCKETS) -> DataFrame:
+def ks_statistics(counts: DataFrame, ref_cdf: DataFrame, n_buckets: int = KS_BUCKETS,
+                  ref_sizes: DataFrame | None = None) -> DataFrame:
     """Two-sample KS D per (batch, feature) against the reference CDF.
 
     D = max over the batch's distinct values v of max(|Fr(v) - Fb(v)|,
@@ -61,9 +62,9 @@ def ks_statistics(counts: DataFrame, ref_cdf: DataFrame, n_buckets: int = KS_BUC
     union_vals = b.select("feature", "value").unionByName(r.select("feature", "value"))
     cuts = F.broadcast(bucket_cuts(union_vals, ["feature"], "value", n_buckets))
     bb = b.join(cuts, "feature").select("batch_id", "feature", "value", "nb",
-                                        bucket_of("value", "cuts").alias("bucket"))
+                                        bucket_of("value", "cuts", n_buckets - 1).alias("bucket"))
     rb = r.join(cuts, "feature").select("feature", "value", "cum_lt", "cum_le",
-                                        bucket_of("value", "cuts").alias("bucket"))
+                                        bucket_of("value", "cuts", n_buckets - 1).alias("bucket"))
     # reference rows at or below each bucket's start (one row per feature and bucket)
     keys = (rb.groupBy("feature", "bucket").agg(F.max("cum_le").alias("r_max"))
             .unionByName(bb.select("feature", "bucket").distinct()
@@ -92,7 +93,7 @@ def ks_statistics(counts: DataFrame, ref_cdf: DataFrame, n_buckets: int = KS_BUC
                            r_le.alias("r_le"), r_lt.alias("r_lt"))
     run = prefix_sums(looked, ["batch_id", "feature"], "bucket", ["value"], {"b_le": "nb"},
                       with_total=True)
-    n_ref = r.groupBy("feature").agg(F.max("cum_le").alias("n_ref"))
+    n_ref = ref_sizes if ref_sizes is not None else r.groupBy("feature").agg(F.max("cum_le").alias("n_ref"))
     run = run.join(F.broadcast(n_ref), "feature")
     nr, nb = F.col("n_ref").cast("double"), F.col("b_le_total").cast("double")
     gap = F.greatest(F.abs(F.col("r_le") / nr - F.col("b_le") / nb),
@@ -120,7 +121,8 @@ def feature_drift(scored: DataFrame, profile: Profile, policy: Policy,
         counts = value_counts(scored, present, batch)
         stats = bin_stats(counts, pf, profile.bins)
         if with_ks:
-            ks = ks_statistics(counts, profile.ks.where(F.col("feature").isin(*present)))
+            ks = ks_statistics(counts, profile.ks.where(F.col("feature").isin(*present)),
+                               ref_sizes=pf.select("feature", F.col("ks_n").alias("n_ref")))
             stats = stats.join(ks, ["batch_id", "feature"], "left")
         else:
             stats = stats.select("*", *[F.lit(None).cast(t).alias(c) for c, t in

@@ -23,6 +23,10 @@ from driftline.operators.reshape import unpivot_features
 from driftline.operators.sampling import hash_sample
 
 N_SCORE_BANDS = len(SCORE_BAND_INNER_EDGES) + 1
+FEATURES_SCHEMA = ("model_version string, feature string, feature_index int, inner_edges array<double>, "
+                   "n_bins int, bin_counts array<bigint>, mean double, std double, p01 double, "
+                   "p50 double, p99 double, n bigint, ks_n bigint, proportions array<double>")
+KS_SCHEMA = "model_version string, feature string, value double, cum_lt bigint, cum_le bigint"
 
 
 @dataclass
@@ -34,6 +38,15 @@ class Profile:
     ks: DataFrame
     model: DataFrame
 
+    def frozen(self, tag: str = "profile") -> "Profile":
+        """The three tables written once under the checkpoint folder and read
+        back, so every job that compares against the profile reads a table
+        instead of recomputing it."""
+        from driftline.session import freeze
+        return Profile(self.model_version, self.feature_names, self.bins,
+                       freeze(self.features, f"{tag}-features"), freeze(self.ks, f"{tag}-ks"),
+                       freeze(self.model, f"{tag}-model"))
+
 
 def feature_index(features: Sequence[str]) -> F.Column:
     return (F.array_position(F.array(*[F.lit(f) for f in features]), F.col("feature")) - 1).cast("int")
@@ -67,13 +80,30 @@ def build_profile(reference: DataFrame, features: Sequence[str], threshold: floa
                   model_version: str = "unknown", bins: int = 10,
                   scores: DataFrame | None = None, score_col: str = "score",
                   label_col: str | None = "label", ks_sample: int | None = None,
-                  seed: int = 42, baseline: bool = True) -> Profile:
+                  seed: int = 42, baseline: bool = True, materialize: bool = False) -> Profile:
     """Profile of ``reference`` features and of ``scores`` (default: the same
-    rows), plus the baseline quality on ``scores`` at ``threshold``."""
+    rows), plus the baseline quality on ``scores`` at ``threshold``.
+
+    With ``materialize`` the reference CDF (the largest intermediate, read by
+    the edges, the bin counts and the KS table) is written once under the
+    checkpoint folder instead of being recomputed by each of them."""
     features = [f for f in features if f in reference.columns]
     ids = ["row_id"] if "row_id" in reference.columns else []
+    sc = scores if scores is not None else reference
+    if score_col in sc.columns:
+        model = _model_row(sc, reference, threshold, model_version, score_col, label_col, baseline)
+    else:  # a drift-only profile (no model scores)
+        model = reference.agg(F.count(F.lit(1)).alias("n_reference_rows")).select(
+            F.lit(model_version).alias("model_version"), "n_reference_rows")
+    if not features:
+        spark = reference.sparkSession
+        return Profile(model_version, [], bins, spark.createDataFrame([], FEATURES_SCHEMA),
+                       spark.createDataFrame([], KS_SCHEMA), model)
     long = unpivot_features(reference, ids, features)
     cdf = value_cdf(long, ["feature"])
+    if materialize:
+        from driftline.session import freeze
+        cdf = freeze(cdf, "profile-cdf")
     edges = quantile_edges(cdf, ["feature"], bins)
 
     binned = cdf.join(F.broadcast(edges.select("feature", "inner_edges")), "feature").select(
@@ -102,12 +132,6 @@ def build_profile(reference: DataFrame, features: Sequence[str], threshold: floa
     ks_table = ks.select(F.lit(model_version).alias("model_version"), "feature", "value",
                          "cum_lt", "cum_le")
 
-    sc = scores if scores is not None else reference
-    if score_col in sc.columns:
-        model = _model_row(sc, reference, threshold, model_version, score_col, label_col, baseline)
-    else:  # a drift-only profile (no model scores)
-        model = reference.agg(F.count(F.lit(1)).alias("n_reference_rows")).select(
-            F.lit(model_version).alias("model_version"), "n_reference_rows")
     return Profile(model_version, list(features), bins, feats, ks_table, model)
 
 

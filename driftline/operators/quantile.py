@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from driftline.functions.columns import is_finite
 from driftline.operators.prefix import prefix_sums
 
-DEFAULT_BUCKETS = 256
-SKETCH_ACCURACY = 20000
+DEFAULT_BUCKETS = 128
+SKETCH_ACCURACY = 10000
+USE_LAMBDA = False
 
 # 11 probabilities of 10 quantile bins, computed the stepwise way
 # (i * 0.1), plus the 1st, 50th and 99th percentiles of the profile.
@@ -35,10 +36,23 @@ def bucket_cuts(values: DataFrame, groups: Sequence[str], value: str,
         F.array_distinct(F.percentile_approx(value, probs, SKETCH_ACCURACY)).alias("cuts"))
 
 
-def bucket_of(value, cuts) -> F.Column:
+def bucket_of(value, cuts, n_cuts: int = DEFAULT_BUCKETS - 1) -> F.Column:
+    """Number of cut points <= value, by binary search over the sorted cuts:
+    a nested CASE of depth log2(n_cuts) (codegen friendly, no lambda).
+    Cuts past the array end read as NULL and count as above every value."""
     v = F.col(value) if isinstance(value, str) else value
     c = F.col(cuts) if isinstance(cuts, str) else cuts
-    return F.size(F.filter(c, lambda x: x <= v))
+
+    if USE_LAMBDA:
+        return F.size(F.filter(c, lambda x: x <= v))
+
+    def search(lo: int, hi: int) -> F.Column:
+        if lo >= hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(F.get(c, mid) <= v, search(mid + 1, hi)).otherwise(search(lo, mid))
+
+    return search(0, n_cuts)
 
 
 def value_cdf(long: DataFrame, groups: Sequence[str], value: str = "value",
@@ -53,7 +67,7 @@ def value_cdf(long: DataFrame, groups: Sequence[str], value: str = "value",
     # one row of < n_buckets cut points per group: groups are features here, so
     # the table is bounded by the schema; AQE still checks its runtime size
     tagged = counts.join(cuts, list(groups), "inner")
-    tagged = tagged.select(*groups, value, "w", bucket_of(value, "cuts").alias("bucket"))
+    tagged = tagged.select(*groups, value, "w", bucket_of(value, "cuts", n_buckets - 1).alias("bucket"))
     ranked = prefix_sums(tagged, groups, "bucket", [value], {"cum_le": "w"})
     return ranked.select(*groups, value, "w", (F.col("cum_le") - F.col("w")).alias("cum_lt"),
                          "cum_le", "bucket")

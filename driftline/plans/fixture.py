@@ -29,9 +29,7 @@ _CACHE: dict = {}
 
 def frozen_profile(profile: Profile, tag: str) -> Profile:
     """Materialise the three profile tables once (S2: a written table)."""
-    return Profile(profile.model_version, profile.feature_names, profile.bins,
-                   freeze(profile.features, f"{tag}-features"), freeze(profile.ks, f"{tag}-ks"),
-                   freeze(profile.model, f"{tag}-model"))
+    return profile.frozen(tag)
 
 
 def txn_fixture(spark: SparkSession, sf_dir: str, freeze_profile: bool = True) -> Fixture:
@@ -39,7 +37,7 @@ def txn_fixture(spark: SparkSession, sf_dir: str, freeze_profile: bool = True) -
     if key in _CACHE and _CACHE[key][0] is spark:
         return _CACHE[key][1]
     ref = txn_reference(spark, sf_dir)
-    prof = build_profile(ref, TXN_FEATURES, TXN_THRESHOLD, MODEL_VERSION)
+    prof = build_profile(ref, TXN_FEATURES, TXN_THRESHOLD, MODEL_VERSION, materialize=freeze_profile)
     if freeze_profile:
         prof = frozen_profile(prof, "txn-profile")
     fx = Fixture(ref, txn_windows(spark, sf_dir), prof, FIXTURE_POLICY)

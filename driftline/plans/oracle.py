@@ -70,9 +70,10 @@ edges AS (SELECT feature, n, q, CASE WHEN len(u) < 2 THEN CAST([] AS DOUBLE[])
                                      ELSE u[2:len(u) - 1] END AS inner_edges FROM qd)"""
 
 
-DRIFT = f"""{TXN},
-ref_long AS ({_long('ref', '')}),
-win_long AS ({_long('win', 'batch_id, ')}),{_edges()},
+def _drift_core(fidx: str, n_tests: int) -> str:
+    """Drift CTEs over ``ref_long`` (feature, value) and ``win_long``
+    (batch_id, feature, value)."""
+    return f"""{_edges()},
 wstat AS (SELECT batch_id, feature, count(*) FILTER (WHERE isfinite(value)) AS nf,
                  avg(value) FILTER (WHERE NOT isnan(value)) AS current_mean
           FROM win_long GROUP BY ALL),
@@ -93,7 +94,7 @@ psi AS (SELECT batch_id, feature,
 rmom AS (SELECT feature, avg(value) AS reference_mean, stddev_pop(value) AS ref_std
          FROM ref_long WHERE isfinite(value) GROUP BY feature),
 ks_u AS (SELECT b.batch_id, r.feature, r.value, 1 AS is_ref
-         FROM (SELECT DISTINCT batch_id FROM win) b, ref_long r WHERE isfinite(r.value)
+         FROM (SELECT DISTINCT batch_id FROM win_long) b, ref_long r WHERE isfinite(r.value)
          UNION ALL SELECT batch_id, feature, value, 0 FROM win_long WHERE isfinite(value)),
 ks_c AS (SELECT batch_id, feature, value, sum(is_ref) AS nr_v, sum(1 - is_ref) AS nb_v FROM ks_u GROUP BY ALL),
 ks_cum AS (SELECT *, sum(nr_v) OVER w AS cr, sum(nb_v) OVER w AS cb,
@@ -110,17 +111,29 @@ kspv AS (SELECT batch_id, feature, d AS ks_statistic,
                     SELECT sum(pow(-1.0, k - 1) * exp(-2.0 * k * k * zc * zc)) FROM range(1, 101) r(k)),
                     0.0), 1.0) END AS ks_pvalue
          FROM kszc),
-fd AS (SELECT p.batch_id, p.feature, {FIDX} AS feature_index, p.psi,
+fd AS (SELECT p.batch_id, p.feature, {fidx} AS feature_index, p.psi,
               CASE WHEN p.psi IS NULL OR NOT isfinite(p.psi) THEN 'UNKNOWN' WHEN p.psi >= 0.25 THEN 'ALERT'
                    WHEN p.psi >= 0.1 THEN 'WARN' ELSE 'OK' END AS psi_level,
               k.ks_statistic, k.ks_pvalue,
-              coalesce(isfinite(k.ks_pvalue) AND k.ks_pvalue < 0.01 / 4, false) AS ks_significant,
+              coalesce(isfinite(k.ks_pvalue) AND k.ks_pvalue < 0.01 / {n_tests}, false) AS ks_significant,
               m.reference_mean, s.current_mean,
               (s.current_mean - m.reference_mean) / (CASE WHEN m.ref_std = 0 THEN 1e-6 ELSE m.ref_std END)
                   AS mean_shift_in_ref_sds
        FROM psi p JOIN wstat s USING (batch_id, feature) JOIN rmom m USING (feature)
        LEFT JOIN kspv k USING (batch_id, feature))"""
 
+
+DRIFT = f"""{TXN},
+ref_long AS ({_long('ref', '')}),
+win_long AS ({_long('win', 'batch_id, ')}),""" + _drift_core(FIDX, len(TXN_FEATURES))
+
+WIDE = """emb AS (SELECT vec_id, CASE WHEN vec_id % 2 = 0 THEN 'reference' ELSE 'current' END AS batch_id,
+                    unnest(embedding) AS v, generate_subscripts(embedding, 1) AS pos FROM embeddings),
+ref_long AS (SELECT printf('d%02d', pos - 1) AS feature, CAST(v AS DOUBLE) AS value FROM emb
+             WHERE batch_id = 'reference'),
+win_long AS (SELECT batch_id, printf('d%02d', pos - 1) AS feature, CAST(v AS DOUBLE) AS value FROM emb
+             WHERE batch_id = 'current'),""" + _drift_core("CAST(substr(feature, 2) AS INTEGER)", 64)
+
 SUMMARY = """
 ranked AS (SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY
               CASE WHEN isfinite(psi) THEN -psi ELSE 0.0 END, feature_index) AS rk FROM fd),
@@ -471,7 +484,11 @@ def sql_queries() -> dict[str, str]:
             else:
                 vals.append(f"CAST({v!r} AS DOUBLE) AS {k}")
         rows.append(f"SELECT '{env}' AS env, " + ", ".join(vals))
-    q["policy_table"] = " UNION ALL ".join(rows)
+    q["policy_table"] = _with(TXN + ", pol AS (" + " UNION ALL ".join(rows) + """),
+        sz AS (SELECT batch_id, count(*) AS n FROM win GROUP BY batch_id)""", """SELECT pol.*,
+        count(*) AS n_windows, CAST(sum(CASE WHEN sz.n < pol.min_batch_rows THEN 1 ELSE 0 END) AS BIGINT)
+            AS n_small_windows
+        FROM pol, sz GROUP BY ALL""")
     ths = _list(sweep_thresholds())
     sweep = f"""{TXN}, th AS (SELECT i - 1 AS idx, {ths}[i] AS threshold FROM range(1, 96) r(i)),
         tot AS (SELECT sum(label) AS P FROM win WHERE label IS NOT NULL),
@@ -556,7 +573,11 @@ def sql_queries() -> dict[str, str]:
         SELECT t.lang, t.n_scored, CAST(p.n_rows AS BIGINT) AS n_labeled, CAST(p.n_frauds AS BIGINT) AS n_frauds,
                round(p.pr_auc, 6) AS pr_auc, round(p.roc_auc, 6) AS roc_auc
         FROM (SELECT lang, count(*) AS n_scored FROM docs GROUP BY lang) t LEFT JOIN pm_f1 p USING (lang)""")
+    q["wide_feature_drift"] = _with(WIDE, """SELECT batch_id, feature, round(psi, 6) AS psi, psi_level,
+        round(ks_statistic, 6) AS ks_statistic, ks_significant, round(0.01 / 64, 6) AS ks_alpha_corrected FROM fd""")
+    q["wide_top_drifted"] = _with(WIDE + "," + SUMMARY, "SELECT batch_id, CAST(rk - 1 AS BIGINT) AS rank, feature "
+                                  "FROM ranked WHERE rk <= 5")
     return q
 
 
-ORACLE_ONLY_ROWS = {"profile_ks_sample", "wide_feature_drift", "wide_top_drifted"}
+ORACLE_ONLY_ROWS = {"profile_ks_sample"}

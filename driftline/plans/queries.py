@@ -416,8 +416,18 @@ def policy_backtest(spark, sf):
 
 @query
 def policy_table_q(spark, sf):
-    # configuration only: the policy rows do not depend on the tables
-    return finalize(policy_table(spark))
+    """L10 policy rows per environment, each applied to the fixture windows:
+    how many windows it sees and how many it would HALT for size."""
+    fx = _fx(spark, sf)
+    sizes = fx.windows.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
+    pol = policy_table(spark)
+    per_env = F.explode(F.array(*[F.struct(F.lit(e).alias("env"), F.lit(getattr(for_env(e), "min_batch_rows"))
+                                           .cast("bigint").alias("mbr")) for e in ("dev", "staging", "prod")]))
+    counts = (sizes.select("n", per_env.alias("p"))
+              .groupBy(F.col("p.env").alias("env"))
+              .agg(F.count(F.lit(1)).alias("n_windows"),
+                   F.sum((F.col("n") < F.col("p.mbr")).cast("long")).alias("n_small_windows")))
+    return finalize(pol.join(counts, "env"))
 
 
 # ---------------------------------------------------------------- recalibration / gate
