@@ -57,8 +57,8 @@ def test_weighted_gbt_learns(spark):
     model = scoring.train_weighted_gbt(df, ["x1", "x2"], "label", max_iter=5)
     scored = scoring.score(df, model, ["x1", "x2"])
     from driftline.operators import quality
-    g = quality.score_groups(scored.select(F.lit("k").alias("k"), "score", "label"), ["k"])
-    assert quality.ranking_metrics(g, ["k"]).first().roc_auc > 0.9
+    g = quality.score_groups(scored.select(F.lit("g1").alias("grp"), "score", "label"), ["grp"])
+    assert quality.ranking_metrics(g, ["grp"]).first().roc_auc > 0.9
 
 
 def test_load_batch_by_suffix(spark):
@@ -77,7 +77,7 @@ def test_signal_messages(spark):
         "n_features_alert": 8, "n_features_tested": 29, "top_drifted": ["V3", "V1", "V2", "V7"],
         "max_psi": 1.2913, "score_psi": float("nan"), "mean_score": 0.0012, "reference_mean_score": 0.0011,
         "flag_rate_relative_change": 0.25, "flag_rate": 0.0025, "reference_flag_rate": 0.002,
-        "perf_status": "OK", "perf_reason": None, "pr_auc_relative_drop": 0.0341, "pr_auc": 0.93,
+        "perf_status": "OK", "perf_reason": "", "pr_auc_relative_drop": 0.0341, "pr_auc": 0.93,
         "base_pr_auc": 0.9629, "recall_absolute_drop": -0.02, "recall": 0.97, "base_recall": 0.95,
         "missed_fraud_count": 1, "precision_absolute_drop": 0.2, "precision": 0.7, "base_precision": 0.9,
         "false_positives": 12}])
