@@ -1,14 +1,16 @@
 """Benchmark: headline queries at $BENCH_SF_DIR (default sf0.1) on
 local[$BENCH_CPUS]; prints one JSON line.
 
-Besides per-query seconds it reports the monitored rows per second of the
-flagship pass (rows x 4 features) and how many single-partition exchanges
-the headline plans contain (goal: none over row-level data)."""
+Besides per-query seconds it reports
+* monitored values per second of the flagship pass (window rows x 4 features),
+* the growth of the flagship time from sf0.01 to the bench scale,
+* every single-partition shuffle in the executed headline plans, with the rows
+  it actually carried (read from the plan's shuffle metrics); ``rowlevel``
+  counts those carrying more than 10,000 rows (goal: none)."""
 from __future__ import annotations
 
 import json
 import os
-import re
 import sys
 import time
 
@@ -21,11 +23,31 @@ from driftline.session import get_spark  # noqa: E402
 HEADLINE = ["monitor_batch", "psi_levels", "ks_pvalue", "prediction_drift", "threshold_metrics",
             "pr_auc", "threshold_sweep", "gate_result", "policy_backtest", "time_split",
             "training_window", "drift_report_rows"]
+ROWLEVEL = 10_000
 
 
-def single_partition_exchanges(df) -> int:
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    return len(re.findall(r"Exchange SinglePartition", plan))
+def single_partition_shuffles(node, out: list) -> list:
+    """Rows written by each SinglePartition shuffle of an executed plan."""
+    name = node.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return single_partition_shuffles(node.executedPlan(), out)
+    if name.endswith("QueryStageExec"):
+        return single_partition_shuffles(node.plan(), out)
+    if name == "ReusedExchangeExec":
+        return single_partition_shuffles(node.child(), out)
+    if name == "ShuffleExchangeExec" and node.outputPartitioning().toString().startswith("SinglePartition"):
+        m = node.metrics().get("shuffleRecordsWritten")
+        out.append(int(m.get().value()) if m.isDefined() else -1)
+    for seq in (node.subqueries(), node.children()):
+        for i in range(seq.size()):
+            single_partition_shuffles(seq.apply(i), out)
+    return out
+
+
+def run(df) -> list:
+    qe = df._jdf.queryExecution()
+    qe.toRdd().count()
+    return single_partition_shuffles(qe.executedPlan(), [])
 
 
 def main() -> None:
@@ -38,28 +60,36 @@ def main() -> None:
     t0 = time.time()
     fx = fixture_mod.txn_fixture(spark, sf_dir)      # builds and freezes the reference profile
     times["build_profile"] = round(time.time() - t0, 3)
-    n_rows = fx.windows.count() + fx.reference.count()
+    n_ref, n_win = fx.reference.count(), fx.windows.count()
 
-    single = 0
+    shuffles: list[int] = []
     for name in HEADLINE:
         t0 = time.time()
-        df = q[name](spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
+        shuffles += run(q[name](spark, sf_dir))
         times[name] = round(time.time() - t0, 3)
-        single += single_partition_exchanges(df)
+
+    growth = None
+    small = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.01")
+    if os.path.isdir(small) and os.path.abspath(small) != os.path.abspath(sf_dir):
+        fixture_mod.txn_fixture(spark, small)
+        t0 = time.time()
+        run(q["monitor_batch"](spark, small))
+        growth = round(times["monitor_batch"] / (time.time() - t0), 2)
 
     total = round(sum(times.values()), 3)
-    n_windows_rows = fx.windows.count()
     out = {
         "metric": "total_sec",
         "value": total,
         "unit": "sec",
         "queries": times,
         "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
-        "rows": n_rows,
-        "monitor_rows_per_sec": round(n_windows_rows / times["monitor_batch"], 1),
-        "profile_rows_per_sec": round((n_rows - n_windows_rows) / times["build_profile"], 1),
-        "single_partition_exchanges": single,
+        "rows": n_ref + n_win,
+        "monitor_values_per_sec": round(n_win * 4 / times["monitor_batch"], 1),
+        "profile_values_per_sec": round(n_ref * 4 / times["build_profile"], 1),
+        "monitor_growth_sf0.01_to_bench": growth,
+        "single_partition_shuffles": len(shuffles),
+        "single_partition_max_rows": max(shuffles) if shuffles else 0,
+        "single_partition_rowlevel": sum(1 for r in shuffles if r > ROWLEVEL),
     }
     print(json.dumps(out))
     spark.stop()

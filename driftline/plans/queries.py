@@ -554,12 +554,18 @@ def late_labels_join(spark, sf):
 
 
 def _wide(spark, sf):
-    long = embeddings_long(spark, sf)
-    ref = long.where(F.col("batch_id") == "reference").groupBy("row_id").pivot("feature").agg(F.first("value"))
-    cur = long.where(F.col("batch_id") == "current").groupBy("row_id", "batch_id").pivot("feature") \
-        .agg(F.first("value"))
+    """64 embedding dimensions as features (element access, no reshaping
+    shuffle); even vec_id rows are the reference, odd rows the batch."""
     feats = [f"d{i:02d}" for i in range(64)]
-    prof = build_profile(ref, feats, 0.5, "embed-model", label_col=None, baseline=False)
+    emb = read_table(spark, sf, "embeddings")
+    base = emb.select(
+        F.col("vec_id").cast("string").alias("row_id"),
+        F.when(F.col("vec_id") % 2 == 0, "reference").otherwise("current").alias("batch_id"),
+        *[F.get("embedding", i).cast("double").alias(f) for i, f in enumerate(feats)])
+    ref = base.where(F.col("batch_id") == "reference")
+    cur = base.where(F.col("batch_id") == "current")
+    prof = build_profile(ref, feats, 0.5, "embed-model", label_col=None, baseline=False,
+                         materialize=True).frozen("embed-profile")
     return feature_drift(cur, prof, Policy(env="wide")), prof
 
 
