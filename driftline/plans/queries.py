@@ -4,6 +4,7 @@ types (bigint, double rounded to 6 places, string, boolean) so they can be
 compared with the SQL oracle."""
 from __future__ import annotations
 
+import functools
 import os
 from collections.abc import Callable
 
@@ -22,6 +23,7 @@ from driftline.plans.fixture import MODEL_VERSION, txn_fixture
 from driftline.plans.monitor import (backtest, literal_policy, month_start, monitor,
                                      performance_block, window_report, with_signals)
 from driftline.plans.policy import FIXTURE_POLICY, Policy, for_env, policy_table
+from driftline.session import ensure_checkpoint_dir
 from driftline.sources.tables import (TXN_FEATURES, TXN_THRESHOLD, documents_scored,
                                       embeddings_long, events_scored, load_batch, read_table, txn)
 
@@ -37,8 +39,16 @@ EVENTS_NOW = "2024-02-15 00:00:00"
 
 
 def query(fn: Q) -> Q:
-    REGISTRY[fn.__name__] = fn
-    return fn
+    """Register ``fn``; every query runs with the session zone pinned to UTC
+    (the driver tables hold zone-less timestamps) and a checkpoint folder."""
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        ensure_checkpoint_dir(spark)
+        return fn(spark, sf)
+    REGISTRY[fn.__name__] = run
+    return run
 
 
 def finalize(df: DataFrame) -> DataFrame:

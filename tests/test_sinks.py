@@ -50,3 +50,31 @@ def test_promotion_record_written_for_reject(spark):
     write_promotion_record(res, checks, m, path, "v1", "v2", keys=["g"])
     rec = json.loads(spark.read.text(path).first()[0])
     assert rec["promote"] is False and len(rec["checks"]) == 3 and rec["challenger_version"] == "v2"
+
+
+def test_sweep_and_proposal_files(spark):
+    from driftline.operators import quality, recalibrate
+    df = spark.createDataFrame([("g", i / 100.0, int(i > 70)) for i in range(100)],
+                               "grp string, score double, label int")
+    sw = recalibrate.threshold_sweep(quality.score_groups(df, ["grp"]), ["grp"])
+    best = recalibrate.pick_max_f1(sw, ["grp"])
+    prop = recalibrate.proposal(best, 0.8, recalibrate.f1_rule(), "v1")
+    out = tempfile.mkdtemp(prefix="dl-sweep-")
+    from driftline.sources.sinks import write_sweep
+    write_sweep(sw.drop("grp"), prop, out)
+    back = spark.read.option("header", "true").csv(os.path.join(out, "threshold_sweep"))
+    assert back.count() == 95 and "f1" in back.columns
+    p = spark.read.json(os.path.join(out, "threshold")).first()
+    assert p.previous_threshold == 0.8 and 0.7 <= p.threshold <= 0.72
+
+
+def test_decision_history_tail(spark):
+    from driftline.sources.sinks import append_decisions, history_tail
+    rows = [("m", i, f"w{i}", "NO_ACTION" if i % 7 else "HALT", i % 7 != 0) for i in range(1, 121)]
+    df = spark.createDataFrame(rows, "model_version string, seq int, batch_id string, action string, "
+                                     "in_history boolean")
+    path = os.path.join(tempfile.mkdtemp(prefix="dl-hist-"), "decisions")
+    append_decisions(df, path)
+    tail = history_tail(spark.read.parquet(path), n=50).collect()
+    assert len(tail) == 50 and all(r.in_history for r in tail)
+    assert max(r.seq for r in tail) == 120 - (120 % 7 == 0)
