@@ -148,52 +148,62 @@ def _model_row(sc: DataFrame, reference: DataFrame, threshold: float, model_vers
     floor = F.lit(0.5) / F.greatest(F.col("n_scores"), F.lit(1))
     props = F.array(*[F.greatest(F.col(f"_b{k}") / F.col("n_finite_scores"), floor)
                       for k in range(N_SCORE_BANDS)])
-    out = summary.select(
-        F.lit(model_version).alias("model_version"), F.lit(float(threshold)).alias("operating_threshold"),
-        "n_scores", "mean_score", "flag_rate", props.alias("band_proportions"))
     has_label = label_col is not None and label_col in reference.columns
-    ref_stats = reference.agg(
-        F.count(F.lit(1)).alias("n_reference_rows"),
-        (F.avg(F.col(label_col).cast("double")) if has_label else F.lit(None).cast("double"))
-        .alias("reference_fraud_rate"))
-    out = out.join(ref_stats.select(F.lit(model_version).alias("model_version"), "*"), "model_version")
+    # one-row inputs enter as scalar subqueries: no join between single rows
+    ref_stats = reference.select(F.struct(
+        F.count(F.lit(1)).alias("n"),
+        (F.avg(F.col(label_col).cast("double")) if has_label else F.lit(None).cast("double")).alias("rate"))
+        .alias("r")).scalar()
+    cols = [F.lit(model_version).alias("model_version"),
+            F.lit(float(threshold)).alias("operating_threshold"),
+            "n_scores", "mean_score", "flag_rate", props.alias("band_proportions"),
+            ref_stats["n"].alias("n_reference_rows"), ref_stats["rate"].alias("reference_fraud_rate")]
     if baseline and label_col is not None and label_col in sc.columns:
         g = quality.score_groups(sc.select(F.lit(model_version).alias("model_version"), score_col,
                                            label_col), ["model_version"], score_col, label_col)
-        perf = quality.performance(g, ["model_version"], float(threshold)).select(
-            "model_version", F.col("pr_auc").alias("base_pr_auc"),
-            F.col("recall").alias("base_recall"), F.col("precision").alias("base_precision"),
-            F.col("f1").alias("base_f1"), F.col("n_rows").alias("base_rows"))
-        out = out.join(perf, "model_version", "left")
+        tm = quality.threshold_metrics(g, ["model_version"], float(threshold)).select(F.struct(
+            "recall", "precision", "f1", "n_rows").alias("t")).scalar()
+        rk = quality.ranking_metrics(g, ["model_version"]).select("pr_auc").scalar()
+        cols += [rk.alias("base_pr_auc"), tm["recall"].alias("base_recall"),
+                 tm["precision"].alias("base_precision"), tm["f1"].alias("base_f1"),
+                 tm["n_rows"].alias("base_rows")]
     else:
-        out = out.select("*", *[F.lit(None).cast("double").alias(c) for c in
-                                ("base_pr_auc", "base_recall", "base_precision", "base_f1")],
-                         F.lit(None).cast("long").alias("base_rows"))
-    return out
+        cols += [F.lit(None).cast("double").alias(c) for c in
+                 ("base_pr_auc", "base_recall", "base_precision", "base_f1")]
+        cols.append(F.lit(None).cast("long").alias("base_rows"))
+    return summary.select(*cols)
 
 
 def psi_two_tables(reference: DataFrame, current: DataFrame, value: str, bins: int = 10) -> DataFrame:
     """PSI of one column of ``current`` against quantile bins cut from
-    ``reference`` (one row)."""
-    ref_long = reference.select(F.lit("x").alias("feature"), F.col(value).cast("double").alias("value"))
-    cur_long = current.select(F.lit("x").alias("feature"), F.col(value).cast("double").alias("value"))
-    cdf = value_cdf(ref_long, ["feature"])
-    edges = quantile_edges(cdf, ["feature"], bins).select("feature", "inner_edges",
-                                                           (F.size("inner_edges") + 1).alias("n_bins"))
-
-    def props(long: DataFrame, name: str) -> DataFrame:
-        b = (long.where(is_finite("value")).join(F.broadcast(edges), "feature")
-             .select("feature", "n_bins", bin_index("value", "inner_edges", bins - 1).alias("bin")))
-        agg = b.groupBy("feature").agg(
-            F.count(F.lit(1)).alias("_n"),
-            *[F.sum(F.when(F.col("bin") == k, 1).otherwise(0)).alias(f"_k{k}") for k in range(bins)])
-        return agg.select("feature", F.array(*[F.col(f"_k{k}") / F.col("_n") for k in range(bins)])
-                          .alias(name))
-
-    joined = edges.join(props(ref_long, "expected"), "feature").join(props(cur_long, "actual"),
-                                                                      "feature", "left")
-    from driftline.functions.columns import psi_sum
-    return joined.select(psi_sum("actual", "expected", "n_bins").alias("psi"), "n_bins")
+    ``reference`` (one row). The <= bins - 1 inner edges are read once."""
+    ref_long = reference.select(F.col(value).cast("double").alias("value"))
+    cur_long = current.select(F.col(value).cast("double").alias("value"))
+    q = quantiles_from_cdf(value_cdf(ref_long, []), [], bin_probabilities(bins)).first()
+    u = sorted(set(q["q"]))
+    inner = [] if len(u) < 2 else u[1:-1]
+    edges = F.array(*[F.lit(float(e)) for e in inner]).cast("array<double>")
+    n_bins = len(inner) + 1
+
+    def shares(long: DataFrame) -> F.Column:
+        b = bin_index("value", edges, bins - 1)
+        fin = is_finite("value")
+        agg = long.agg(F.sum(fin.cast("long")).alias("_n"),
+                       *[F.sum(F.when(fin & (b == k), 1).otherwise(0)).alias(f"_k{k}") for k in range(n_bins)])
+        return agg.select(F.when(F.col("_n") > 0, F.array(*[F.col(f"_k{k}") / F.col("_n")
+                                                           for k in range(n_bins)])).alias("s")).scalar()
+
+    a, e = shares(cur_long), shares(ref_long)
+    terms = []
+    for k in range(n_bins):
+        ak = F.greatest(F.get(a, k), F.lit(EPSILON))
+        ek = F.greatest(F.get(e, k), F.lit(EPSILON))
+        terms.append((ak - ek) * F.ln(ak / ek))
+    psi = terms[0]
+    for t in terms[1:]:
+        psi = psi + t
+    return current.sparkSession.range(1).select(F.when(a.isNotNull(), psi).alias("psi"),
+                                                F.lit(n_bins).alias("n_bins"))
 
 
 __all__ = ["Profile", "build_profile", "quantile_edges", "psi_two_tables", "EPSILON"]

@@ -57,45 +57,51 @@ def bucket_of(value, cuts, n_cuts: int = DEFAULT_BUCKETS - 1) -> F.Column:
 
 def value_cdf(long: DataFrame, groups: Sequence[str], value: str = "value",
               n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """(groups, value, w, cum_lt, cum_le, bucket) for every distinct finite value:
-    ``w`` rows equal to it, ``cum_lt``/``cum_le`` rows below / at-or-below it."""
+    """(groups, value, w, cum_lt, cum_le, n, bucket) for every distinct finite
+    value: ``w`` rows equal to it, ``cum_lt``/``cum_le`` rows below / at or
+    below it, ``n`` rows in its group."""
+    groups = list(groups)
     counts = (long.where(is_finite(value))
               .groupBy(*groups, value).agg(F.count(F.lit(1)).alias("w")))
-    cuts = bucket_cuts(counts, groups, value, n_buckets)
-    if not groups:
-        raise ValueError("value_cdf needs at least one group column")
-    # one row of < n_buckets cut points per group: groups are features here, so
-    # the table is bounded by the schema; AQE still checks its runtime size
-    tagged = counts.join(cuts, list(groups), "inner")
-    tagged = tagged.select(*groups, value, "w", bucket_of(value, "cuts", n_buckets - 1).alias("bucket"))
-    ranked = prefix_sums(tagged, groups, "bucket", [value], {"cum_le": "w"})
+    if groups:
+        # one row of < n_buckets cut points per group (groups are features: the
+        # table is bounded by the schema; AQE broadcasts it after sizing it)
+        cuts = bucket_cuts(counts, groups, value, n_buckets)
+        tagged = counts.join(cuts, groups, "inner").select(
+            *groups, value, "w", bucket_of(value, "cuts", n_buckets - 1).alias("bucket"))
+    else:
+        # a single group: its < n_buckets cut points are read once (a bounded row)
+        probs = [i / n_buckets for i in range(1, n_buckets)]
+        row = counts.agg(F.array_distinct(F.percentile_approx(value, probs, SKETCH_ACCURACY))).first()
+        cut_arr = F.array(*[F.lit(float(c)) for c in (row[0] or [])]).cast("array<double>")
+        tagged = counts.select(value, "w", bucket_of(value, cut_arr, n_buckets - 1).alias("bucket"))
+    ranked = prefix_sums(tagged, groups, "bucket", [value], {"cum_le": "w"}, with_total=True)
     return ranked.select(*groups, value, "w", (F.col("cum_le") - F.col("w")).alias("cum_lt"),
-                         "cum_le", "bucket")
+                         "cum_le", F.col("cum_le_total").alias("n"), "bucket")
 
 
 def quantiles_from_cdf(cdf: DataFrame, groups: Sequence[str], probs: Sequence[float],
                        value: str = "value") -> DataFrame:
-    """(groups, n, q array<double>) with q[i] the interpolated quantile at probs[i]."""
-    totals = cdf.groupBy(*groups).agg(F.sum("w").alias("n"))
-    prob_arr = F.array(*[F.lit(float(p)) for p in probs])
-    targets = (totals.select(*groups, "n", F.posexplode(prob_arr).alias("pi", "p"))
-               .select(*groups, "n", "pi", (F.col("p") * (F.col("n") - 1)).alias("pos"))
-               .select("*", F.floor("pos").alias("r_lo"), F.ceil("pos").alias("r_hi")))
-    # each target needs the values at two ranks; a rank r lies in [cum_lt, cum_le)
-    hit_lo = (F.col("cum_lt") <= F.col("r_lo")) & (F.col("r_lo") < F.col("cum_le"))
-    hit_hi = (F.col("cum_lt") <= F.col("r_hi")) & (F.col("r_hi") < F.col("cum_le"))
-    t = targets.alias("t")
-    c = cdf.alias("c")
-    cond = [F.col(f"t.{g}") == F.col(f"c.{g}") for g in groups]
-    cond.append(((F.col("c.cum_lt") <= F.col("t.r_lo")) & (F.col("t.r_lo") < F.col("c.cum_le")))
-                | ((F.col("c.cum_lt") <= F.col("t.r_hi")) & (F.col("t.r_hi") < F.col("c.cum_le"))))
-    matched = c.join(F.broadcast(t), cond, "inner").select(
-        *[F.col(f"t.{g}").alias(g) for g in groups], "t.n", "t.pi", "t.pos", "t.r_lo",
-        "c.cum_lt", "c.cum_le", F.col(f"c.{value}").alias("v"),
-        F.col("t.r_hi"))
-    per_target = matched.groupBy(*groups, "n", "pi", "pos", "r_lo").agg(
-        F.max(F.when(hit_lo, F.col("v"))).alias("v_lo"),
-        F.max(F.when(hit_hi, F.col("v"))).alias("v_hi"))
+    """(groups, n, q array<double>) with q[i] the interpolated quantile at probs[i].
+
+    Each CDF row knows its group size ``n``, so it can tell by itself whether
+    it holds one of the two ranks a quantile interpolates between: no join,
+    only the <= 2 * len(probs) matching rows per group are kept."""
+    groups = list(groups)
+    hits = []
+    for i, p in enumerate(probs):
+        pos = F.lit(float(p)) * (F.col("n") - 1)
+        lo, hi = F.floor(pos), F.ceil(pos)
+        in_lo = (F.col("cum_lt") <= lo) & (lo < F.col("cum_le"))
+        in_hi = (F.col("cum_lt") <= hi) & (hi < F.col("cum_le"))
+        hits.append(F.when(in_lo | in_hi, F.struct(
+            F.lit(i).alias("pi"), pos.alias("pos"), lo.alias("r_lo"), in_lo.alias("is_lo"),
+            in_hi.alias("is_hi"), F.col(value).cast("double").alias("v"))))
+    matched = cdf.select(*groups, "n", F.explode(F.array_compact(F.array(*hits))).alias("h"))
+    per_target = matched.groupBy(*groups, "n", F.col("h.pi").alias("pi"), F.col("h.pos").alias("pos"),
+                                 F.col("h.r_lo").alias("r_lo")).agg(
+        F.max(F.when(F.col("h.is_lo"), F.col("h.v"))).alias("v_lo"),
+        F.max(F.when(F.col("h.is_hi"), F.col("h.v"))).alias("v_hi"))
     q = F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("pos") - F.col("r_lo"))
     return (per_target.groupBy(*groups, "n")
             .agg(F.array_sort(F.collect_list(F.struct("pi", q.alias("q")))).alias("qs"))

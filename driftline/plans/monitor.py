@@ -45,11 +45,12 @@ def performance_block(score_rows: DataFrame, profile: Profile, p, threshold: flo
               .groupBy("batch_id", "score")
               .agg(F.sum("n").alias("n"), F.sum(F.col("label") * F.col("n")).alias("k")))
     perf = quality.performance(groups, ["batch_id"], float(threshold))
-    base = F.broadcast(profile.model.select(
-        "model_version", F.col("base_pr_auc").alias("_pb"), F.col("base_recall").alias("_rb"),
-        F.col("base_precision").alias("_cb")))
-    j = (batches.select(F.lit(profile.model_version).alias("model_version"), "batch_id")
-         .join(perf, "batch_id", "left").join(base, "model_version"))
+    # the profile's baseline enters as one scalar subquery (no join)
+    base = profile.model.where(F.col("model_version") == profile.model_version).select(
+        F.struct("base_pr_auc", "base_recall", "base_precision").alias("b")).scalar()
+    j = batches.select("batch_id").join(perf, "batch_id", "left").select(
+        "*", base["base_pr_auc"].alias("_pb"), base["base_recall"].alias("_rb"),
+        base["base_precision"].alias("_cb"))
     n_lab = F.coalesce(F.col("n_rows"), F.lit(0))
     n_fr = F.coalesce(F.col("n_frauds"), F.lit(0))
     st = quality.status(n_lab, n_fr, p("min_labeled_rows"), p("min_labeled_frauds"), has_label)
