@@ -212,15 +212,15 @@ def prediction_drift(score_rows: DataFrame, profile: Profile, threshold: float)
           for k in range(N_SCORE_BANDS)])
     actual = F.when(F.col("_nf") > 0, F.array(*[F.col(f"_b{k}") / F.col("_nf")
                                                 for k in range(N_SCORE_BANDS)]))
-    # the profile's one model row enters as a scalar subquery (no join)
-    prof = profile.model.where(F.col("model_version") == profile.model_version).select(
-        F.struct("band_proportions", "flag_rate", "mean_score").alias("m")).scalar()
+    # the profile's one model row enters as literals (no join, no subquery)
+    mv = profile.model_values()
+    bands = F.array(*[F.lit(float(b)) for b in mv["band_proportions"]]).cast("array<double>")
     j = agg.select("batch_id", "n_rows", actual.alias("actual"),
                    (F.col("_flag") / F.col("n_rows")).alias("flag_rate"),
                    (F.col("_sx") / F.col("_sn")).alias("mean_score"),
-                   prof["band_proportions"].alias("band_proportions"),
-                   prof["flag_rate"].alias("reference_flag_rate"),
-                   prof["mean_score"].alias("reference_mean_score"))
+                   bands.alias("band_proportions"),
+                   F.lit(mv["flag_rate"]).cast("double").alias("reference_flag_rate"),
+                   F.lit(mv["mean_score"]).cast("double").alias("reference_mean_score"))
     ref = F.col("reference_flag_rate")
     rel = F.when(is_finite(ref) & (ref > 0), F.abs(F.col("flag_rate") - ref) / ref)
     return j.select("batch_id", "n_rows",

@@ -38,6 +38,16 @@ class Profile:
     ks: DataFrame
     model: DataFrame
 
+    def model_values(self) -> dict:
+        """The model row of this profile (one bounded row: scalars and the
+        10 band shares), read once and kept on the object."""
+        cached = getattr(self, "_model_values", None)
+        if cached is None:
+            row = self.model.where(F.col("model_version") == self.model_version).first()
+            cached = row.asDict() if row is not None else {}
+            object.__setattr__(self, "_model_values", cached)
+        return cached
+
     def frozen(self, tag: str = "profile") -> "Profile":
         """The three tables written once under the checkpoint folder and read
         back, so every job that compares against the profile reads a table

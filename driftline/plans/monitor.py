@@ -45,12 +45,11 @@ def performance_block(score_rows: DataFrame, profile: Profile, p, threshold: flo
               .groupBy("batch_id", "score")
               .agg(F.sum("n").alias("n"), F.sum(F.col("label") * F.col("n")).alias("k")))
     perf = quality.performance(groups, ["batch_id"], float(threshold))
-    # the profile's baseline enters as one scalar subquery (no join)
-    base = profile.model.where(F.col("model_version") == profile.model_version).select(
-        F.struct("base_pr_auc", "base_recall", "base_precision").alias("b")).scalar()
+    # the profile's baseline enters as literals (one bounded row, no join)
+    mv = profile.model_values()
     j = batches.select("batch_id").join(perf, "batch_id", "left").select(
-        "*", base["base_pr_auc"].alias("_pb"), base["base_recall"].alias("_rb"),
-        base["base_precision"].alias("_cb"))
+        "*", *[F.lit(mv.get(k)).cast("double").alias(a) for k, a in
+               (("base_pr_auc", "_pb"), ("base_recall", "_rb"), ("base_precision", "_cb"))])
     n_lab = F.coalesce(F.col("n_rows"), F.lit(0))
     n_fr = F.coalesce(F.col("n_frauds"), F.lit(0))
     st = quality.status(n_lab, n_fr, p("min_labeled_rows"), p("min_labeled_frauds"), has_label)
