@@ -32,10 +32,12 @@ def value_counts(scored: DataFrame, features: Sequence[str], batch: str = "batch
 def bin_stats(counts: DataFrame, prof_feats: DataFrame, bins: int) -> DataFrame:
     """Per (batch, feature): finite count, per-bin shares, NaN-dropping mean."""
     pf = F.broadcast(prof_feats.select("feature", "inner_edges", "n_bins"))
-    j = counts.join(pf, "feature")
-    fin = is_finite("value")
-    b = bin_index("value", "inner_edges", bins - 1)
-    mean_ok = F.col("value").isNotNull() & ~F.isnan("value")
+    # bin and flags computed once per row, then summed per bin (small generated code)
+    j = counts.join(pf, "feature").select(
+        "batch_id", "feature", "value", "nb", is_finite("value").alias("_fin"),
+        (F.col("value").isNotNull() & ~F.isnan("value")).alias("_mok"),
+        bin_index("value", "inner_edges", bins - 1).alias("_bin"))
+    fin, b, mean_ok = F.col("_fin"), F.col("_bin"), F.col("_mok")
     agg = j.groupBy("batch_id", "feature").agg(
         F.sum(F.when(fin, F.col("nb")).otherwise(0)).alias("n_finite"),
         F.sum(F.when(mean_ok, F.col("value") * F.col("nb"))).alias("_sx"),
@@ -200,12 +202,13 @@ def prediction_drift(score_rows: DataFrame, profile: Profile, threshold: float)
     ignored), flag rate (NaN scores count as not flagged), reference flag rate
     and the relative flag-rate change (NULL when the reference rate is 0)."""
     s = F.col("score")
-    band = score_band(s)
-    fin = is_finite(s)
-    agg = score_rows.groupBy("batch_id").agg(
+    rows = score_rows.select("batch_id", "score", "n", score_band(s).alias("_band"),
+                             is_finite(s).alias("_fin"), flagged(s, threshold).alias("_flg"))
+    band, fin = F.col("_band"), F.col("_fin")
+    agg = rows.groupBy("batch_id").agg(
         F.sum("n").alias("n_rows"),
         F.sum(F.when(fin, F.col("n")).otherwise(0)).alias("_nf"),
-        F.sum(F.when(flagged(s, threshold), F.col("n")).otherwise(0)).alias("_flag"),
+        F.sum(F.when(F.col("_flg"), F.col("n")).otherwise(0)).alias("_flag"),
         F.sum(F.when(~F.isnan(s), s * F.col("n"))).alias("_sx"),
         F.sum(F.when(~F.isnan(s), F.col("n"))).alias("_sn"),
         *[F.sum(F.when(fin & (band == k), F.col("n")).otherwise(0)).alias(f"_b{k}")

@@ -148,7 +148,8 @@ def build_profile(reference: DataFrame, features: Sequence[str], threshold: floa
 def _model_row(sc: DataFrame, reference: DataFrame, threshold: float, model_version: str,
                score_col: str, label_col: str | None, baseline: bool) -> DataFrame:
     s = F.col(score_col)
-    band = score_band(s)
+    sc = sc.select("*", score_band(s).alias("_band"))
+    band = F.col("_band")
     summary = sc.agg(
         F.count(F.lit(1)).alias("n_scores"), F.avg(s).alias("mean_score"),
         F.avg(flagged(s, threshold).cast("double")).alias("flag_rate"),
