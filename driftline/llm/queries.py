@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import bpe, decontaminate, linededup, simhash, toxicity
+from driftline.llm import bpe, decontaminate, langid, linededup, pii, quality, simhash, toxicity
 from driftline.llm.common import crc_mod, read
 
 
@@ -16,6 +16,16 @@ def _tokenizer() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+#: Key of the registered query's pseudonyms; a real run passes its own secret.
+PII_KEY = "driftline example key"
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.judge(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", *[F.col(f"quality.{c}").alias(c) for c in (
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = _tokenizer()
     out = bpe.encode(read(spark, sf_dir, "documents"), path, pattern, ["doc_id"], decoded="decoded")
@@ -29,6 +39,13 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    out = langid.label(docs, langid.learn(docs), ["doc_id"])
+    return out.select("doc_id", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred",
+                      F.col("lang_score").alias("score"), "lang_spans")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = toxicity.learn(docs, read(spark, sf_dir, "labels"))
@@ -44,14 +61,20 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                       decontaminate.is_contaminated().alias("contaminated"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.pseudonymise(read(spark, sf_dir, "documents"), PII_KEY)
+    return out.select("doc_id", "text", F.col("pii.replaced").alias("n_replaced"), F.col("pii.kinds").alias("kinds"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = linededup.dedup_lines(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "removed_lines", "text", "removed_runs")
 
 
 def llm_registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_bpe, op4_simhash, op7_toxicity, op8_decontaminate, op10_line_dedup)}
+    return {f.__name__: f for f in (
+        op1_quality, op3_bpe, op4_simhash, op5_langid, op7_toxicity, op8_decontaminate, op9_pii, op10_line_dedup)}
 
 
 def llm_sql() -> dict[str, str]:
-    return {}
+    return {"op1_quality": quality.SQL}
