@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import bpe, decontaminate, langid, linededup, pii, quality, simhash, toxicity
+from driftline.llm import bpe, decontaminate, htmltext, langid, linededup, pii, quality, simhash, toxicity
 from driftline.llm.common import crc_mod, read
 
 
@@ -26,6 +26,12 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = htmltext.extract(read(spark, sf_dir, "pages"), ["page_id", "url"])
+    return out.select("page_id", "url", F.col("main_text").alias("text"),
+                      F.length("main_text").cast("long").alias("n_chars"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = _tokenizer()
     out = bpe.encode(read(spark, sf_dir, "documents"), path, pattern, ["doc_id"], decoded="decoded")
@@ -73,7 +79,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_quality, op3_bpe, op4_simhash, op5_langid, op7_toxicity, op8_decontaminate, op9_pii, op10_line_dedup)}
+        op1_quality, op2_html_text, op3_bpe, op4_simhash, op5_langid, op7_toxicity, op8_decontaminate, op9_pii, op10_line_dedup)}
 
 
 def llm_sql() -> dict[str, str]:
