@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import bpe, decontaminate, htmltext, langid, linededup, pii, quality, simhash, toxicity
+from driftline.llm import bpe, decontaminate, htmltext, langid, linededup, pii, quality, simhash, substring, toxicity
 from driftline.llm.common import crc_mod, read
 
 
@@ -52,6 +52,10 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("lang_score").alias("score"), "lang_spans")
 
 
+def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeated_passages(read(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = toxicity.learn(docs, read(spark, sf_dir, "labels"))
@@ -79,7 +83,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_quality, op2_html_text, op3_bpe, op4_simhash, op5_langid, op7_toxicity, op8_decontaminate, op9_pii, op10_line_dedup)}
+        op1_quality, op2_html_text, op3_bpe, op4_simhash, op5_langid, op6_passages,
+        op7_toxicity, op8_decontaminate, op9_pii, op10_line_dedup)}
 
 
 def llm_sql() -> dict[str, str]:
