@@ -8,7 +8,9 @@ predecessor. Two tokens can stand side by side when merging their joined bytes b
 rank would give exactly these two again; that is decided by undoing the merges of
 both tokens from the latest one on, and memoised. A sequence whose neighbours are
 all compatible is the one that the merges produce, and as a position found
-impossible is never tried twice, the work is linear in the bytes.
+impossible is never tried twice, the work is linear in the bytes. This rests on every
+token being what the merges make of its own bytes, as in any trained vocabulary; for a
+rank file with other tokens the codec merges pair by pair instead.
 
 Cases: a null text is an empty one (no tokens); repeated rows each get their own
 result; an empty table gives no rows; other columns are ignored unless named in
@@ -47,11 +49,13 @@ class Codec:
         self.shorter: list[int] = [-1] * top     # longest token that is a proper prefix
         self.automaton = ahocorasick.Automaton()
         reachable = set()
+        self.proper = True
         for token, rank in sorted(ranks.items(), key=lambda kv: kv[1]):
             if len(token) > 1:
                 parts = self._merge(token, rank)
                 if len(parts) != 2:
-                    continue                     # no sequence of merges ends in this token
+                    self.proper = False          # merging its own bytes does not give this token
+                    continue
                 self.halves[rank] = (ranks[parts[0]], ranks[parts[1]])
             reachable.add(token)
             self.automaton.add_word(token.decode("latin-1"), rank)
@@ -65,7 +69,7 @@ class Codec:
         self._pieces: dict[str, tuple[int, ...]] = {}
 
     def _merge(self, piece: bytes, below: int) -> list[bytes]:
-        """Plain merging with the ranks under ``below`` (vocabulary set-up only)."""
+        """Plain merging, pair by pair, with the ranks under ``below``."""
         parts = [piece[i:i + 1] for i in range(len(piece))]
         while True:
             best, at = below, -1
@@ -92,7 +96,7 @@ class Codec:
         until = len(tokens) + 1          # the pair exists until a merge of this rank
         while True:
             joint = ranks.get(tokens[left] + tokens[right])
-            if joint is not None and joint < until and halves[joint] is not None:
+            if joint is not None and joint < until:
                 return False             # the merge across the border comes first
             if left > right:             # undo the later merge; of equals the right one
                 if halves[left] is None:
@@ -107,6 +111,8 @@ class Codec:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
+        if not self.proper:
+            return [self.ranks[p] for p in self._merge(piece, len(self.tokens))]
         n, lens, shorter, beside = len(piece), self.lens, self.shorter, self._beside
         longest = [-1] * n
         for end, token in self.automaton.iter(piece.decode("latin-1")):
