@@ -48,11 +48,11 @@ def line_ids(docs: DataFrame, id_col: str, text: str) -> DataFrame:
 
 
 def _intervals(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Keys with several members, their rank in sorted order and their first member."""
+    """Keys with several members, their rank in sorted order (interval) and their first member."""
     found = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.min(F.struct("d", "h", "s")).alias("first")) \
         .filter("n > 1").drop("n")
     ordered = found.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    return freeze(ordered.withColumn("rank", F.monotonically_increasing_id()), name)
+    return freeze(ordered.withColumn("interval", F.monotonically_increasing_id()), name)
 
 
 def repeated_suffixes(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> list[DataFrame]:
@@ -62,7 +62,7 @@ def repeated_suffixes(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     keys, levels, width = ["l1", "l2"], [], 1
     while True:
         ranks = _intervals(rows, keys, f"line-ranks-{width}")
-        active = freeze(rows.join(ranks, keys).select("d", "h", "s", "rank", "first"), f"line-suffixes-{width}")
+        active = freeze(rows.join(ranks, keys).select("d", "h", "s", F.col("interval").alias("rank"), "first"), f"line-suffixes-{width}")
         if active.limit(1).count() == 0:
             return levels
         levels.append(active)
