@@ -11,15 +11,16 @@ integer Hamming distance between them, and a search follows only edges within th
 radius of its own distance to the node. A bucket with more than ``shard``
 fingerprints is cut into shards, one tree each; the tree of a shard is sent to the
 task of every other shard of its bucket, so a task never holds more than two
-shards, however hot a bucket is. A task returns a spanning forest of the links it
-finds, not the links themselves; components() joins the forests.
+shards, however hot a bucket is. A task returns its components (each fingerprint with
+the smallest one), not the links themselves; components() joins them.
 
 Equal fingerprints are first reduced to one, so copies never meet in a task.
 
 Cases: a text without words (null too) has fingerprint zero and is linked like any
 other; repeated rows are documents with equal fingerprints; rows with a null id
 get a component but never name one unless the whole component has null ids (then
-it is null); an empty table gives no rows; other columns are ignored."""
+it is null); an empty table gives no rows; other columns are ignored. keep_one() keeps
+one document of a component of null ids, too."""
 from __future__ import annotations
 
 from collections.abc import Iterator
@@ -28,10 +29,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftline.llm.common import components, map_columns, map_in_arrow
+from driftline.llm.common import components, map_columns, map_in_arrow, masked, unmasked
 from driftline.session import freeze
 
 #: Most fingerprints in one BK-tree.
@@ -102,7 +104,8 @@ class BKTree:
 
 
 def _forest(own: list[int], other: list[int] | None, radius: int) -> Iterator[tuple[int, int]]:
-    """Spanning forest of the links within ``own``, or between ``own`` and ``other``."""
+    """Components of the links within ``own``, or between ``own`` and ``other``: each
+    fingerprint with the smallest of its component."""
     tree, parent = BKTree(), {}
 
     def top(x: int) -> int:
@@ -141,8 +144,9 @@ def _block_masks(radius: int) -> list[int]:
 
 
 def near_links(fps: DataFrame, radius: int, shard: int = SHARD) -> DataFrame:
-    """Links (a, b) between distinct fingerprints ``fp``: in every bucket a
-    spanning forest of all pairs at most ``radius`` bits apart, found by BK-trees."""
+    """Edges (a, b) between distinct fingerprints ``fp`` that connect what pairs at most
+    ``radius`` bits apart connect: in every task of a bucket the BK-trees find the pairs,
+    and each fingerprint points at the smallest of its component there."""
     masks = [signed(m) for m in _block_masks(radius)]
     keyed = fps.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks]))
                        .alias("mask", "bits"))
@@ -188,30 +192,35 @@ def near_links(fps: DataFrame, radius: int, shard: int = SHARD) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 3, id_col: str = "doc_id",
                     text: str = "text") -> DataFrame:
-    """One row per document: ``id_col``, ``fp`` and ``component_id``, the smallest id
-    among the documents it is linked to, directly or through others."""
+    """One row per document: ``id_col``, ``fp``, ``component_id``, the smallest id among
+    the documents it is linked to, directly or through others, and ``root``, the
+    smallest fingerprint there."""
     fp = freeze(fingerprints(docs, [id_col], width, text), "simhash-fp")
     firsts = freeze(fp.groupBy("fp").agg(F.min(id_col).alias("first")), "simhash-distinct")
     roots = components(near_links(firsts.select("fp"), radius), "simhash")
     rooted = firsts.join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
         .withColumn("root", F.coalesce("root", "fp"))
     lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = freeze(rooted.join(lowest, "root").select("fp", "component_id"), "simhash-named")
-    return fp.join(named, "fp").select(id_col, "fp", "component_id")
+    named = freeze(rooted.join(lowest, "root").select("fp", "component_id", "root"), "simhash-named")
+    return fp.join(named, "fp").select(id_col, "fp", "component_id", "root")
 
 
 def keep_one(docs: DataFrame, width: int = 3, radius: int = 3, id_col: str = "doc_id",
              text: str = "text") -> DataFrame:
-    """The documents with the smallest id of their group, columns unchanged. Of rows
-    that share that id the first by all columns stays; rows without an id are kept
-    only when no document of their group has one."""
-    found = near_duplicates(docs, width, radius, id_col, text)
-    ids = freeze(found.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy(id_col)
-                 .agg(F.count("*").alias("__n")), "simhash-kept")
-    kept = docs.join(ids, docs[id_col].eqNullSafe(ids[id_col]), "left_semi")
-    again = ids.filter(f"__n > 1 and {id_col} is not null").select(id_col)
-    from pyspark.sql import Window as W
-    first = kept.join(again, id_col, "left_semi") \
-        .withColumn("__rank", F.row_number().over(W.partitionBy(id_col).orderBy(*docs.columns))) \
-        .filter("__rank = 1").drop("__rank").select(*docs.columns)
-    return kept.join(again, id_col, "left_anti").select(*docs.columns).unionByName(first)
+    """One document of each component, columns unchanged: the one with the smallest id.
+    Of rows that share that id, or have none, the first by all columns stays."""
+    rows, names = masked(docs)
+    key, body = names[id_col], names[text]
+    found = near_duplicates(rows, width, radius, key, body)
+    ids = freeze(found.filter(F.col(key) == F.col("component_id")).groupBy(key).agg(F.count("*").alias("n")),
+                 "simhash-kept")
+    kept = rows.join(ids.select(key), key, "left_semi")
+    single = kept.join(ids.filter("n > 1").select(key), key, "left_anti")
+    # several rows with one id, and components without any id: few, told apart by all columns
+    shared = kept.join(ids.filter("n > 1").select(key), key, "left_semi") \
+        .withColumn("root", F.lit(None).cast("long"))
+    nameless = fingerprints(rows.filter(F.col(key).isNull()), list(names.values()), width, body) \
+        .join(found.filter("component_id is null").select("fp", "root").distinct(), "fp").drop("fp")
+    first = shared.unionByName(nameless).withColumn(
+        "rank", F.row_number().over(W.partitionBy(key, "root").orderBy(*names.values()))).filter("rank = 1")
+    return single.select(*unmasked(names)).unionByName(first.select(*unmasked(names)))
