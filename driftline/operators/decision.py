@@ -3,9 +3,10 @@
 * L3 streak: gaps-and-islands with window functions (a window that does not
   trigger, or HALTs, starts a new island); no recursion needed.
 * L4-L6 cooldown: depends on earlier RETRAIN decisions, so it is a fold: per
-  model (and policy), the window rows are gathered in order and folded with
-  ``aggregate`` inside Catalyst. The fold sees one small row per window, never
-  transactions.
+  model (and policy), the windows that are ready to retrain are gathered in order
+  and folded with ``aggregate`` inside Catalyst into the retrains that happen. The
+  fold sees one small row per such window, never transactions; all else is computed
+  window by window from the retrains.
 """
 from __future__ import annotations
 
@@ -16,21 +17,18 @@ from pyspark.sql import functions as F
 
 from driftline.functions.columns import rank_level
 
-# The ladder's own sentences.
-HOLD_MSG = ("Alert observed in %d/%d consecutive windows — holding for confirmation before "
-            "acting.")
-RECAL_MSG = ("Score distribution moved but ranking quality is intact (no PR-AUC alert) — "
-             "recalibrating the operating threshold is the cheaper fix; retrain only if the next "
-             "window still alerts.")
-RETRAIN_MSG = "Degradation confirmed across %d consecutive windows."
-COOLDOWN_MSG = "Retrain suppressed: last retrain was inside the %d-day cooldown window."
+#: Leading reasons of a decision.
+HOLD_MSG = "alert in %d of %d windows in a row; not acted on until confirmed"
+RECAL_MSG = "scores have moved but the ranking holds: move the threshold before training anew"
+RETRAIN_MSG = "confirmed over %d windows in a row"
+COOLDOWN_MSG = "no retraining within %d days of the last one"
 
 DEFAULT_STATE = {"streak": 0, "last_action": "NO_ACTION", "last_retrain_at": None}
 
 
-def with_streak(flags: DataFrame, keys: Sequence[str], seq: str = "seq",
-                initial_streak: int = 0) -> DataFrame:
-    """L3: streak = previous + 1 on a triggering window, else 0 (HALT resets)."""
+def with_streak(flags: DataFrame, keys: Sequence[str], seq: str = "seq") -> DataFrame:
+    """L3: streak = previous + 1 on a triggering window, else 0 (HALT resets). The
+    column ``_streak0`` is the streak before the first window."""
     trig = (F.col("perf_alert") | F.col("drift_alert")) & ~F.col("halt")
     w = Window.partitionBy(*keys).orderBy(seq).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     island = F.sum(F.when(trig, 0).otherwise(1)).over(w)
@@ -38,60 +36,67 @@ def with_streak(flags: DataFrame, keys: Sequence[str], seq: str = "seq",
     w2 = Window.partitionBy(*keys, "_island").orderBy(seq).rowsBetween(Window.unboundedPreceding,
                                                                        Window.currentRow)
     run = F.sum(F.col("triggering").cast("int")).over(w2)
-    first_island = F.when(F.col("_island") == 0, F.lit(int(initial_streak))).otherwise(0)
-    streak = F.when(F.col("triggering"), run + first_island).otherwise(0)
+    first_island = F.when(F.col("_island") == 0, F.col("_streak0")).otherwise(0)
+    streak = F.when(F.col("triggering"), run + first_island).otherwise(0).cast("int")
     return df.select("*", streak.alias("streak")).drop("_island")
 
 
+def with_state(flags: DataFrame, keys: Sequence[str], state: dict | DataFrame | None) -> DataFrame:
+    """Add ``_streak0`` and ``_last0`` (microseconds): one state for all groups (dict), or one
+    row per group (keys, streak, last_retrain_at). A stamp that cannot be read is none."""
+    if isinstance(state, DataFrame):
+        at = F.col("last_retrain_at")
+        at = F.try_to_timestamp(at) if dict(state.dtypes)["last_retrain_at"] == "string" else at.cast("timestamp")
+        rows = state.select(*keys, F.col("streak").cast("int").alias("_streak0"), F.unix_micros(at).alias("_last0"))
+        joined = flags.join(rows, list(keys), "left")
+        return joined.withColumn("_streak0", F.coalesce("_streak0", F.lit(0)))
+    state = {**DEFAULT_STATE, **(state or {})}
+    at = state["last_retrain_at"]
+    last = F.unix_micros(F.try_to_timestamp(F.lit(str(at)))) if at else F.lit(None).cast("long")
+    return flags.select("*", F.lit(int(state["streak"])).alias("_streak0"), last.alias("_last0"))
+
+
 def decide(flags: DataFrame, keys: Sequence[str], p: Callable[[str], Column],
-           seq: str = "seq", now: str = "now", state: dict | None = None) -> DataFrame:
+           seq: str = "seq", now: str = "now", state: dict | DataFrame | None = None) -> DataFrame:
     """One decision per window row of ``flags`` (columns halt,
     perf_alert, drift_alert, pr_auc_alert, any_warn, severity_rank, signals,
     ``now`` timestamp, ``seq`` order), per ``keys`` group.
 
     Adds action, severity, confirmed_streak, cooldown_active, reasons,
     in_history and last_retrain_at (state after the window)."""
-    state = {**DEFAULT_STATE, **(state or {})}
-    df = with_streak(flags, keys, seq, state["streak"])
-    required = p("consecutive_windows_to_confirm")
+    df = with_streak(with_state(flags, keys, state), keys, seq)
     recal = (p("prefer_recalibration") & F.col("drift_alert") & ~F.col("perf_alert")
              & ~F.col("pr_auc_alert"))
-    df = df.select("*", required.alias("_required"), recal.alias("_recal"),
+    df = df.select("*", p("consecutive_windows_to_confirm").alias("_required"), recal.alias("_recal"),
                    (p("cooldown_days").cast("long") * 86400 * 1000000).alias("_cool_us"),
                    F.unix_micros(F.col(now).cast("timestamp")).alias("_now_us"))
-
-    item = F.struct(F.col(seq).alias("seq"), F.col("_now_us").alias("now_us"),
-                    F.col("halt").alias("halt"), F.col("triggering").alias("trig"),
-                    F.col("any_warn").alias("warn"), F.col("streak").alias("streak"),
-                    F.col("_required").alias("required"), F.col("_recal").alias("recal"),
+    # windows that would retrain but for a cooldown; the fold over them finds which do
+    ready = F.col("triggering") & (F.col("streak") >= F.col("_required")) & ~F.col("_recal")
+    item = F.struct(F.col(seq).cast("long").alias("seq"), F.col("_now_us").alias("now_us"),
                     F.col("_cool_us").alias("cool_us"))
-    init_last = state["last_retrain_at"]
-    init = F.struct(
-        (F.unix_micros(F.to_timestamp(F.lit(init_last))) if init_last else F.lit(None).cast("long"))
-        .alias("last"),
-        F.array().cast("array<struct<seq:long,action:string,cooldown:boolean,last:bigint>>").alias("out"))
+    nothing = F.array().cast("array<struct<seq:bigint,us:bigint>>")
+    init = F.struct(F.first("_last0").alias("last"), nothing.alias("done"))
 
     def step(acc, w):
-        cooldown = (~w["halt"] & acc["last"].isNotNull()
-                    & ((w["now_us"] - acc["last"]) < w["cool_us"]))
-        action = (F.when(w["halt"], "HALT")
-                  .when(~w["trig"], F.when(w["warn"], "WATCH").otherwise("NO_ACTION"))
-                  .when(w["streak"] < w["required"], "WATCH")
-                  .when(cooldown, "WATCH")
-                  .when(w["recal"], "RECALIBRATE_THRESHOLD")
-                  .otherwise("RETRAIN"))
-        last = F.when(action == "RETRAIN", w["now_us"]).otherwise(acc["last"])
-        rec = F.struct(w["seq"].cast("long").alias("seq"), action.alias("action"),
-                       F.coalesce(cooldown, F.lit(False)).alias("cooldown"), last.alias("last"))
-        return F.struct(last.alias("last"), F.array_append(acc["out"], rec).alias("out"))
-
-    folded = (df.groupBy(*keys)
-              .agg(F.aggregate(F.array_sort(F.collect_list(item)), init, step).alias("_f"))
-              .select(*keys, F.explode("_f.out").alias("_d"))
-              .select(*keys, F.col("_d.seq").alias(seq), F.col("_d.action").alias("action"),
-                      F.col("_d.cooldown").alias("cooldown_active"),
-                      F.timestamp_micros(F.col("_d.last")).alias("last_retrain_at")))
-    out = df.join(folded, [*keys, seq])
+        cold = acc["last"].isNotNull() & ((w["now_us"] - acc["last"]) < w["cool_us"])
+        rec = F.struct(w["seq"].alias("seq"), w["now_us"].alias("us"))
+        return F.struct(F.when(cold, acc["last"]).otherwise(w["now_us"]).alias("last"),
+                        F.when(cold, acc["done"]).otherwise(F.array_append(acc["done"], rec)).alias("done"))
+
+    folded = df.groupBy(*keys).agg(F.aggregate(
+        F.array_sort(F.collect_list(F.when(ready, item))), init, step)["done"].alias("_retrains"))
+    out = df.join(folded, list(keys))
+    earlier = F.filter("_retrains", lambda r: r["seq"] < F.col(seq))
+    before = F.coalesce(F.array_max(F.transform(earlier, lambda r: r["us"])), F.col("_last0"))
+    out = out.select("*", before.alias("_before"))
+    cooldown = F.coalesce(~F.col("halt") & ((F.col("_now_us") - F.col("_before")) < F.col("_cool_us")), F.lit(False))
+    out = out.select("*", cooldown.alias("cooldown_active"))
+    action = (F.when(F.col("halt"), "HALT")
+              .when(~F.col("triggering"), F.when(F.col("any_warn"), "WATCH").otherwise("NO_ACTION"))
+              .when((F.col("streak") < F.col("_required")) | F.col("cooldown_active"), "WATCH")
+              .when(F.col("_recal"), "RECALIBRATE_THRESHOLD").otherwise("RETRAIN"))
+    out = out.select("*", action.alias("action")).select("*", F.timestamp_micros(
+        F.when(F.col("action") == "RETRAIN", F.col("_now_us")).otherwise(F.col("_before"))).alias("last_retrain_at"))
 
     sig = F.col("signals")
     msgs = F.transform(F.filter(sig, lambda s: s["level"].isin("WARN", "ALERT")), lambda s: s["message"])
@@ -111,4 +116,4 @@ def decide(flags: DataFrame, keys: Sequence[str], p: Callable[[str], Column],
         "*", severity.alias("severity"),
         F.when(F.col("halt"), 0).otherwise(F.col("streak")).alias("confirmed_streak"),
         reasons.alias("reasons"), (~F.col("halt")).alias("in_history")).drop(
-        "_required", "_recal", "_cool_us", "_now_us")
+        "_required", "_recal", "_cool_us", "_now_us", "_streak0", "_last0", "_retrains", "_before")

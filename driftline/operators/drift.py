@@ -1,9 +1,10 @@
 """Drift of features and scores against a reference profile (D2-D12, D15-D17,
 J1, J2).
 
-Row-level work happens once: the batch is unpivoted and counted per
-(batch, feature, value). Bins, PSI, means and the KS statistic all derive from
-those counts; the profile side is one row per feature (broadcast)."""
+Bins, PSI, means and score measures are direct aggregations: rows are binned where
+they are read, and map tasks send one row per batch and feature. Only the KS
+statistic counts distinct values. The profile side is one row per feature
+(broadcast) and the packed reference CDF, which never moves."""
 from __future__ import annotations
 
 from collections.abc import Sequence
@@ -15,88 +16,70 @@ from driftline.functions.columns import (EPSILON, bin_index, classify_level, dro
                                          is_finite, ks_pvalue, nan_to_null, psi_sum, score_band)
 from driftline.operators.prefix import prefix_sums
 from driftline.operators.profile import N_SCORE_BANDS, Profile
-from driftline.operators.quantile import bucket_cuts, bucket_of
+from driftline.operators.quantile import bucket_of
 from driftline.operators.reshape import unpivot_features
 from driftline.plans.policy import Policy
 
-KS_BUCKETS = 128
+#: Buckets of the packed reference CDF that a search allows for (a power of two less one).
+MAX_KS_CUTS = (1 << 16) - 1
 
 
 def value_counts(scored: DataFrame, features: Sequence[str], batch: str = "batch_id") -> DataFrame:
-    """(batch_id, feature, value, nb): rows per distinct value, non-finite kept."""
+    """(batch_id, feature, value, nb): rows per distinct value, non-finite kept (KS only)."""
     long = unpivot_features(scored, [batch], features)
     return long.groupBy(F.col(batch).alias("batch_id"), "feature", "value").agg(
         F.count(F.lit(1)).alias("nb"))
 
 
-def bin_stats(counts: DataFrame, prof_feats: DataFrame, bins: int) -> DataFrame:
-    """Per (batch, feature): finite count, per-bin shares, NaN-dropping mean."""
-    pf = F.broadcast(prof_feats.select("feature", "inner_edges", "n_bins"))
-    # bin and flags computed once per row, then summed per bin (small generated code)
-    j = counts.join(pf, "feature").select(
-        "batch_id", "feature", "value", "nb", is_finite("value").alias("_fin"),
-        (F.col("value").isNotNull() & ~F.isnan("value")).alias("_mok"),
+def bin_stats(scored: DataFrame, features: Sequence[str], prof_feats: DataFrame, bins: int,
+              batch: str = "batch_id") -> DataFrame:
+    """Per (batch, feature): finite count, per-bin shares, NaN-dropping mean.
+
+    Every row is binned where it is read (the edges are broadcast, one row per
+    feature) and summed there: a map task sends one row per batch and feature."""
+    pf = F.broadcast(prof_feats.select("feature", "inner_edges"))
+    long = unpivot_features(scored, [batch], features)
+    j = long.join(pf, "feature").select(
+        F.col(batch).alias("batch_id"), "feature", "value", is_finite("value").alias("_fin"),
         bin_index("value", "inner_edges", bins - 1).alias("_bin"))
-    fin, b, mean_ok = F.col("_fin"), F.col("_bin"), F.col("_mok")
+    fin, b = F.col("_fin"), F.col("_bin")
     agg = j.groupBy("batch_id", "feature").agg(
-        F.sum(F.when(fin, F.col("nb")).otherwise(0)).alias("n_finite"),
-        F.sum(F.when(mean_ok, F.col("value") * F.col("nb"))).alias("_sx"),
-        F.sum(F.when(mean_ok, F.col("nb"))).alias("_sn"),
-        *[F.sum(F.when(fin & (b == k), F.col("nb")).otherwise(0)).alias(f"_k{k}") for k in range(bins)])
+        F.sum(fin.cast("long")).alias("n_finite"), F.avg(drop_nan("value")).alias("current_mean"),
+        *[F.sum(F.when(fin & (b == k), 1).otherwise(0)).alias(f"_k{k}") for k in range(bins)])
     shares = F.when(F.col("n_finite") > 0,
                     F.array(*[F.col(f"_k{k}") / F.col("n_finite") for k in range(bins)]))
-    return agg.select("batch_id", "feature", "n_finite", shares.alias("actual"),
-                      (F.col("_sx") / F.col("_sn")).alias("current_mean"))
+    return agg.select("batch_id", "feature", "n_finite", shares.alias("actual"), "current_mean")
 
 
-def ks_statistics(counts: DataFrame, ref_cdf: DataFrame, n_buckets: int = KS_BUCKETS,
-                  ref_sizes: DataFrame | None = None) -> DataFrame:
+def ks_statistics(counts: DataFrame, prof_feats: DataFrame, ref_cdf: DataFrame) -> DataFrame:
     """Two-sample KS D per (batch, feature) against the reference CDF.
 
     D = max over the batch's distinct values v of max(|Fr(v) - Fb(v)|,
     |Fr(v-) - Fb(v-)|): both step functions only change at sample points, and
-    between two batch points the largest gap sits at one end. Fr at batch points
-    is an as-of lookup: reference and batch rows share buckets (approximate
-    quantiles of the union of distinct values), and a window per (feature,
-    bucket) carries the last reference row forward. Fb is a two-level prefix sum."""
-    b = counts.where(is_finite("value")).select("batch_id", "feature", "value", "nb")
-    r = ref_cdf.select("feature", "value", "cum_lt", "cum_le")
-    union_vals = b.select("feature", "value").unionByName(r.select("feature", "value"))
-    cuts = F.broadcast(bucket_cuts(union_vals, ["feature"], "value", n_buckets))
-    bb = b.join(cuts, "feature").select("batch_id", "feature", "value", "nb",
-                                        bucket_of("value", "cuts", n_buckets - 1).alias("bucket"))
-    rb = r.join(cuts, "feature").select("feature", "value", "cum_lt", "cum_le",
-                                        bucket_of("value", "cuts", n_buckets - 1).alias("bucket"))
-    # reference rows at or below each bucket's start (one row per feature and bucket)
-    keys = (rb.groupBy("feature", "bucket").agg(F.max("cum_le").alias("r_max"))
-            .unionByName(bb.select("feature", "bucket").distinct()
-                         .select("feature", "bucket", F.lit(None).cast("long").alias("r_max")))
-            .groupBy("feature", "bucket").agg(F.max("r_max").alias("r_max")))
-    ow = Window.partitionBy("feature").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = keys.select("feature", "bucket",
-                          F.coalesce(F.max("r_max").over(ow), F.lit(0)).alias("r_off"))
-
-    u = (rb.select("feature", "bucket", "value", F.lit(0).alias("tag"),
-                   F.lit(None).cast("string").alias("batch_id"), F.lit(None).cast("long").alias("nb"),
-                   F.struct("value", "cum_lt", "cum_le").alias("ref"))
-         .unionByName(bb.select("feature", "bucket", "value", F.lit(1).alias("tag"), "batch_id", "nb",
-                                F.lit(None).cast("struct<value:double,cum_lt:long,cum_le:long>")
-                                .alias("ref"))))
-    w = (Window.partitionBy("feature", "bucket").orderBy("value", "tag")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    looked = (u.select("*", F.last("ref", ignorenulls=True).over(w).alias("carried"))
-              .where(F.col("tag") == 1)
-              .join(F.broadcast(offsets), ["feature", "bucket"]))
-    c = F.col("carried")
-    exact = c["value"] == F.col("value")
-    r_le = F.when(c.isNull(), F.col("r_off")).otherwise(c["cum_le"])
-    r_lt = F.when(c.isNull(), F.col("r_off")).when(exact, c["cum_lt"]).otherwise(c["cum_le"])
-    looked = looked.select("batch_id", "feature", "bucket", "value", "nb",
-                           r_le.alias("r_le"), r_lt.alias("r_lt"))
+    between two batch points the largest gap sits at one end. The profile holds
+    the reference CDF packed by bucket (sorted values and running counts) and the
+    cuts of the buckets, so a batch value finds its bucket by the broadcast cuts and
+    its rank by binary search in one packed row. The packed table is bucketed by
+    (feature, bucket): only the batch moves. Fb is a two-level prefix sum."""
+    cuts = F.broadcast(prof_feats.select("feature", "ks_cuts", F.col("ks_n").alias("n_ref")))
+    b = (counts.where(is_finite("value")).join(cuts, "feature")
+         .select("batch_id", "feature", "value", "nb", "n_ref",
+                 bucket_of("value", "ks_cuts", MAX_KS_CUTS).alias("bucket")))
+    looked = b.join(ref_cdf.select("feature", "bucket", "base", "values", "cum_le"), ["feature", "bucket"], "left")
+    # index of the last packed value <= v, by halving steps (-1: none)
+    steps = F.array(*[F.lit(1 << i) for i in range(30, -1, -1)])
+    at = F.aggregate(steps, F.lit(0), lambda p, s: F.when(
+        F.get("values", p + s - 1) <= F.col("value"), p + s).otherwise(p))
+    looked = looked.select("batch_id", "feature", "bucket", "value", "nb", "n_ref", "base", "values", "cum_le",
+                           at.alias("at"))
+    base = F.coalesce(F.col("base"), F.lit(0))
+    le = F.coalesce(F.get("cum_le", F.col("at") - 1), base)
+    before = F.coalesce(F.get("cum_le", F.col("at") - 2), base)
+    lt = F.when(F.get("values", F.col("at") - 1) == F.col("value"), before).otherwise(le)
+    looked = looked.select("batch_id", "feature", "bucket", "value", "nb", "n_ref",
+                           le.alias("r_le"), lt.alias("r_lt"))
     run = prefix_sums(looked, ["batch_id", "feature"], "bucket", ["value"], {"b_le": "nb"},
                       with_total=True)
-    n_ref = ref_sizes if ref_sizes is not None else r.groupBy("feature").agg(F.max("cum_le").alias("n_ref"))
-    run = run.join(F.broadcast(n_ref), "feature")
     nr, nb = F.col("n_ref").cast("double"), F.col("b_le_total").cast("double")
     gap = F.greatest(F.abs(F.col("r_le") / nr - F.col("b_le") / nb),
                      F.abs(F.col("r_lt") / nr - (F.col("b_le") - F.col("nb")) / nb))
@@ -120,11 +103,9 @@ def feature_drift(scored: DataFrame, profile: Profile, policy: Policy,
 
     rows = None
     if present:
-        counts = value_counts(scored, present, batch)
-        stats = bin_stats(counts, pf, profile.bins)
+        stats = bin_stats(scored, present, pf, profile.bins, batch)
         if with_ks:
-            ks = ks_statistics(counts, profile.ks.where(F.col("feature").isin(*present)),
-                               ref_sizes=pf.select("feature", F.col("ks_n").alias("n_ref")))
+            ks = ks_statistics(value_counts(scored, present, batch), pf, profile.ks)
             stats = stats.join(ks, ["batch_id", "feature"], "left")
         else:
             stats = stats.select("*", *[F.lit(None).cast(t).alias(c) for c, t in
@@ -175,6 +156,7 @@ def drift_summary(drift_rows: DataFrame, top_k: int = 5, keys: Sequence[str] = (
         F.sum((F.col("psi_level") == "ALERT").cast("int")).alias("n_features_alert"),
         F.sum((F.col("psi_level") == "WARN").cast("int")).alias("n_features_warn"),
         F.sum(F.col("missing_from_batch").cast("int")).alias("n_features_missing"),
+        F.sum(F.col("ks_significant").cast("int")).alias("n_ks_significant"),
         F.max(nan_to_null("psi")).alias("max_psi"),
         F.first("n_monitored").alias("n_monitored"),
         F.first("ks_alpha_corrected").alias("ks_alpha_corrected"),
@@ -183,36 +165,24 @@ def drift_summary(drift_rows: DataFrame, top_k: int = 5, keys: Sequence[str] = (
                                            F.struct("feature_index", "feature"))))
         .alias("_missing")).select(
         *keys, "batch_id", "n_features_tested", "n_features_alert", "n_features_warn", "n_features_missing",
-        (F.col("n_features_alert") / F.greatest(F.col("n_monitored"), F.lit(1))).alias("drifted_fraction"),
+        "n_ks_significant", (F.col("n_features_alert") / F.greatest(F.col("n_monitored"), F.lit(1))).alias("drifted_fraction"),
         "max_psi", "top_drifted", F.transform("_missing", lambda s: s["feature"]).alias("missing_features"),
         "ks_alpha_corrected")
 
 
-def score_summary(scored: DataFrame, threshold, batch: str = "batch_id", score: str = "score",
-                  label: str | None = "label") -> DataFrame:
-    """Rows per (batch, score, label): the one row-level pass every score-based
-    measure (bands, flag rate, mean score, quality) is derived from."""
-    lab = F.col(label).cast("int") if label and label in scored.columns else F.lit(None).cast("int")
-    return scored.groupBy(F.col(batch).alias("batch_id"), F.col(score).alias("score"),
-                          lab.alias("label")).agg(F.count(F.lit(1)).alias("n"))
-
-
-def prediction_drift(score_rows: DataFrame, profile: Profile, threshold: float) -> DataFrame:
-    """D13-D17 per batch: score PSI over the fixed bands, mean score (NaN
-    ignored), flag rate (NaN scores count as not flagged), reference flag rate
-    and the relative flag-rate change (NULL when the reference rate is 0)."""
-    s = F.col("score")
-    rows = score_rows.select("batch_id", "score", "n", score_band(s).alias("_band"),
-                             is_finite(s).alias("_fin"), flagged(s, threshold).alias("_flg"))
+def prediction_drift(scored: DataFrame, profile: Profile, threshold: float, batch: str = "batch_id",
+                     score: str = "score") -> DataFrame:
+    """D13-D17 per batch, one direct aggregation: score PSI over the fixed bands, mean
+    score (NaN ignored), flag rate (NaN scores count as not flagged), reference flag
+    rate and the relative flag-rate change (NULL when the reference rate is 0)."""
+    s = F.col(score)
+    rows = scored.select(F.col(batch).alias("batch_id"), s.alias("_s"), score_band(s).alias("_band"),
+                         is_finite(s).alias("_fin"), flagged(s, threshold).alias("_flg"))
     band, fin = F.col("_band"), F.col("_fin")
     agg = rows.groupBy("batch_id").agg(
-        F.sum("n").alias("n_rows"),
-        F.sum(F.when(fin, F.col("n")).otherwise(0)).alias("_nf"),
-        F.sum(F.when(F.col("_flg"), F.col("n")).otherwise(0)).alias("_flag"),
-        F.sum(F.when(~F.isnan(s), s * F.col("n"))).alias("_sx"),
-        F.sum(F.when(~F.isnan(s), F.col("n"))).alias("_sn"),
-        *[F.sum(F.when(fin & (band == k), F.col("n")).otherwise(0)).alias(f"_b{k}")
-          for k in range(N_SCORE_BANDS)])
+        F.count(F.lit(1)).alias("n_rows"), F.sum(fin.cast("long")).alias("_nf"),
+        F.sum(F.col("_flg").cast("long")).alias("_flag"), F.avg(drop_nan("_s")).alias("mean_score"),
+        *[F.sum(F.when(fin & (band == k), 1).otherwise(0)).alias(f"_b{k}") for k in range(N_SCORE_BANDS)])
     actual = F.when(F.col("_nf") > 0, F.array(*[F.col(f"_b{k}") / F.col("_nf")
                                                 for k in range(N_SCORE_BANDS)]))
     # the profile's one model row enters as literals (no join, no subquery)
@@ -220,8 +190,7 @@ def prediction_drift(score_rows: DataFrame, profile: Profile, threshold: float)
     bands = F.array(*[F.lit(float(b)) for b in mv["band_proportions"]]).cast("array<double>")
     j = agg.select("batch_id", "n_rows", actual.alias("actual"),
                    (F.col("_flag") / F.col("n_rows")).alias("flag_rate"),
-                   (F.col("_sx") / F.col("_sn")).alias("mean_score"),
-                   bands.alias("band_proportions"),
+                   "mean_score", bands.alias("band_proportions"),
                    F.lit(mv["flag_rate"]).cast("double").alias("reference_flag_rate"),
                    F.lit(mv["mean_score"]).cast("double").alias("reference_mean_score"))
     ref = F.col("reference_flag_rate")

@@ -40,8 +40,3 @@ def prefix_sums(df: DataFrame, groups: Sequence[str], bucket: str, order: Sequen
     return joined.select(*keep, *[(F.col(f"__loc_{o}") + F.col(f"__off_{o}")).alias(o) for o in weights],
                          *[f"{o}_total" for o in weights if with_total])
 
-
-def unit_bucket(score, n: int = 1024) -> Column:
-    """Monotone bucket for scores that mostly live in [0, 1]."""
-    s = F.col(score) if isinstance(score, str) else score
-    return F.least(F.greatest(F.floor(s * n), F.lit(-1)), F.lit(n)).cast("int")

@@ -3,7 +3,9 @@ compared to, as three tables:
 
 * ``features``: one row per monitored feature: inner quantile edges, bin counts
   and proportions, mean, population std, p01/p50/p99, n, KS sample size;
-* ``ks``: the reference empirical CDF per feature (value, cum_lt, cum_le);
+* ``ks``: the reference empirical CDF, packed: per feature and bucket the sorted
+  distinct values, the running counts and the rows below the bucket (the cuts of
+  the buckets are in ``features``);
 * ``model``: score summary, fixed-band proportions (floored), fraud rate and
   the baseline quality measured on the reference scores.
 """
@@ -20,13 +22,14 @@ from driftline.functions.columns import (EPSILON, SCORE_BAND_INNER_EDGES, bin_in
 from driftline.operators import quality
 from driftline.operators.quantile import bin_probabilities, quantiles_from_cdf, value_cdf
 from driftline.operators.reshape import unpivot_features
-from driftline.operators.sampling import hash_sample
 
 N_SCORE_BANDS = len(SCORE_BAND_INNER_EDGES) + 1
 FEATURES_SCHEMA = ("model_version string, feature string, feature_index int, inner_edges array<double>, "
                    "n_bins int, bin_counts array<bigint>, mean double, std double, p01 double, "
-                   "p50 double, p99 double, n bigint, ks_n bigint, proportions array<double>")
-KS_SCHEMA = "model_version string, feature string, value double, cum_lt bigint, cum_le bigint"
+                   "p50 double, p99 double, n bigint, ks_n bigint, ks_cuts array<double>, "
+                   "proportions array<double>")
+KS_SCHEMA = ("model_version string, feature string, bucket int, base bigint, values array<double>, "
+             "cum_le array<bigint>")
 
 
 @dataclass
@@ -52,9 +55,10 @@ class Profile:
         """The three tables written once under the checkpoint folder and read
         back, so every job that compares against the profile reads a table
         instead of recomputing it."""
-        from driftline.session import freeze
+        from driftline.session import freeze, freeze_bucketed
         return Profile(self.model_version, self.feature_names, self.bins,
-                       freeze(self.features, f"{tag}-features"), freeze(self.ks, f"{tag}-ks"),
+                       freeze(self.features, f"{tag}-features"),
+                       freeze_bucketed(self.ks, f"{tag}-ks", ["feature", "bucket"]),
                        freeze(self.model, f"{tag}-model"))
 
 
@@ -89,8 +93,8 @@ def counts_array(df: DataFrame, keys: Sequence[str], bin_col: str, weight: str,
 def build_profile(reference: DataFrame, features: Sequence[str], threshold: float,
                   model_version: str = "unknown", bins: int = 10,
                   scores: DataFrame | None = None, score_col: str = "score",
-                  label_col: str | None = "label", ks_sample: int | None = None,
-                  seed: int = 42, baseline: bool = True, materialize: bool = False) -> Profile:
+                  label_col: str | None = "label", baseline: bool = True,
+                  materialize: bool = False) -> Profile:
     """Profile of ``reference`` features and of ``scores`` (default: the same
     rows), plus the baseline quality on ``scores`` at ``threshold``.
 
@@ -98,7 +102,6 @@ def build_profile(reference: DataFrame, features: Sequence[str], threshold: floa
     the edges, the bin counts and the KS table) is written once under the
     checkpoint folder instead of being recomputed by each of them."""
     features = [f for f in features if f in reference.columns]
-    ids = ["row_id"] if "row_id" in reference.columns else []
     sc = scores if scores is not None else reference
     if score_col in sc.columns:
         model = _model_row(sc, reference, threshold, model_version, score_col, label_col, baseline)
@@ -109,11 +112,15 @@ def build_profile(reference: DataFrame, features: Sequence[str], threshold: floa
         spark = reference.sparkSession
         return Profile(model_version, [], bins, spark.createDataFrame([], FEATURES_SCHEMA),
                        spark.createDataFrame([], KS_SCHEMA), model)
-    long = unpivot_features(reference, ids, features)
+    long = unpivot_features(reference, [], features)
     cdf = value_cdf(long, ["feature"])
     if materialize:
         from driftline.session import freeze
         cdf = freeze(cdf, "profile-cdf")
+    known = {r["feature"] for r in cdf.select("feature").distinct().collect()}   # at most one row per feature
+    empty = [f for f in features if f not in known]
+    if empty:
+        raise ValueError(f"no finite reference value for: {', '.join(empty)}")
     edges = quantile_edges(cdf, ["feature"], bins)
 
     binned = cdf.join(F.broadcast(edges.select("feature", "inner_edges")), "feature").select(
@@ -122,25 +129,28 @@ def build_profile(reference: DataFrame, features: Sequence[str], threshold: floa
     moments = long.where(is_finite("value")).groupBy("feature").agg(
         F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
 
-    if ks_sample:
-        sampled = hash_sample(long.where(is_finite("value")), ["feature"], ks_sample, seed,
-                              key="row_id" if ids else None)
-        ks = value_cdf(sampled, ["feature"])
-    else:
-        ks = cdf
-    ks_n = ks.groupBy("feature").agg(F.sum("w").alias("ks_n"))
+    # the CDF packed by bucket; a bucket's first value is the cut that opens it
+    packed = cdf.groupBy("feature", "bucket").agg(
+        F.min("cum_lt").alias("base"), F.min("value").alias("opens"), F.sum("w").alias("rows"),
+        F.array_sort(F.collect_list(F.struct("value", "cum_le"))).alias("p"))
+    ks_n = packed.groupBy("feature").agg(
+        F.sum("rows").alias("ks_n"),
+        F.array_sort(F.collect_list(F.when(F.col("bucket") > 0, F.struct("bucket", "opens")))).alias("_c"))
 
     feats = (edges.join(m, "feature").join(moments, "feature").join(ks_n, "feature")
              .select("feature", "inner_edges", (F.size("inner_edges") + 1).alias("n_bins"), "_m",
-                     "mean", "std", "p01", "p50", "p99", "n", "ks_n"))
+                     "mean", "std", "p01", "p50", "p99", "n", "ks_n",
+                     F.transform("_c", lambda c: c["opens"]).alias("ks_cuts")))
     feats = feats.select(
         F.lit(model_version).alias("model_version"), "feature",
         feature_index(features).alias("feature_index"), "inner_edges", "n_bins",
-        arr(F.col("n_bins")).alias("bin_counts"), "mean", "std", "p01", "p50", "p99", "n", "ks_n")
+        arr(F.col("n_bins")).alias("bin_counts"), "mean", "std", "p01", "p50", "p99", "n", "ks_n", "ks_cuts")
     feats = feats.select("*", F.transform("bin_counts", lambda c: c / F.col("n")).alias("proportions"))
 
-    ks_table = ks.select(F.lit(model_version).alias("model_version"), "feature", "value",
-                         "cum_lt", "cum_le")
+    ks_table = packed.select(
+        F.lit(model_version).alias("model_version"), "feature", "bucket", "base",
+        F.transform("p", lambda x: x["value"]).alias("values"),
+        F.transform("p", lambda x: x["cum_le"]).alias("cum_le"))
 
     return Profile(model_version, list(features), bins, feats, ks_table, model)
 
@@ -170,10 +180,10 @@ def _model_row(sc: DataFrame, reference: DataFrame, threshold: float, model_vers
             "n_scores", "mean_score", "flag_rate", props.alias("band_proportions"),
             ref_stats["n"].alias("n_reference_rows"), ref_stats["rate"].alias("reference_fraud_rate")]
     if baseline and label_col is not None and label_col in sc.columns:
-        g = quality.score_groups(sc.select(F.lit(model_version).alias("model_version"), score_col,
-                                           label_col), ["model_version"], score_col, label_col)
-        tm = quality.threshold_metrics(g, ["model_version"], float(threshold)).select(F.struct(
-            "recall", "precision", "f1", "n_rows").alias("t")).scalar()
+        rows = sc.select(F.lit(model_version).alias("model_version"), score_col, label_col)
+        tm = quality.threshold_metrics(rows, ["model_version"], float(threshold), score_col, label_col).select(
+            F.struct("recall", "precision", "f1", "n_rows").alias("t")).scalar()
+        g = quality.score_groups(rows, ["model_version"], score_col, label_col)
         rk = quality.ranking_metrics(g, ["model_version"]).select("pr_auc").scalar()
         cols += [rk.alias("base_pr_auc"), tm["recall"].alias("base_recall"),
                  tm["precision"].alias("base_precision"), tm["f1"].alias("base_f1"),
@@ -191,6 +201,8 @@ def psi_two_tables(reference: DataFrame, current: DataFrame, value: str, bins: i
     ref_long = reference.select(F.col(value).cast("double").alias("value"))
     cur_long = current.select(F.col(value).cast("double").alias("value"))
     q = quantiles_from_cdf(value_cdf(ref_long, []), [], bin_probabilities(bins)).first()
+    if q is None:
+        raise ValueError(f"no finite reference value for: {value}")
     u = sorted(set(q["q"]))
     inner = [] if len(u) < 2 else u[1:-1]
     edges = F.array(*[F.lit(float(e)) for e in inner]).cast("array<double>")

@@ -19,7 +19,6 @@ from driftline.operators.prefix import prefix_sums
 
 DEFAULT_BUCKETS = 128
 SKETCH_ACCURACY = 10000
-USE_LAMBDA = False
 
 # 11 probabilities of 10 quantile bins, computed the stepwise way
 # (i * 0.1), plus the 1st, 50th and 99th percentiles of the profile.
@@ -28,6 +27,13 @@ def bin_probabilities(bins: int) -> list[float]:
     return [i * step for i in range(bins + 1)]
 
 
+def n_buckets_for(df: DataFrame) -> int:
+    """Buckets of a two-level running sum: as many as the session deals shuffles to,
+    so that the work spreads as far as the cluster is told to spread it."""
+    conf = df.sparkSession.conf.get("spark.sql.shuffle.partitions", str(DEFAULT_BUCKETS))
+    return max(DEFAULT_BUCKETS, int(conf))
+
+
 def bucket_cuts(values: DataFrame, groups: Sequence[str], value: str,
                 n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Approximate cut points per group (bounded size: < n_buckets doubles)."""
@@ -37,14 +43,17 @@ def bucket_cuts(values: DataFrame, groups: Sequence[str], value: str,
 
 
 def bucket_of(value, cuts, n_cuts: int = DEFAULT_BUCKETS - 1) -> F.Column:
-    """Number of cut points <= value, by binary search over the sorted cuts:
-    a nested CASE of depth log2(n_cuts) (codegen friendly, no lambda).
-    Cuts past the array end read as NULL and count as above every value."""
+    """Number of cut points <= value, by binary search over the sorted cuts: a
+    nested CASE of depth log2(n_cuts) for up to 255 cuts (codegen friendly), a fold
+    over the halving steps for more. Cuts past the array end read as NULL and
+    count as above every value."""
     v = F.col(value) if isinstance(value, str) else value
     c = F.col(cuts) if isinstance(cuts, str) else cuts
 
-    if USE_LAMBDA:
-        return F.size(F.filter(c, lambda x: x <= v))
+    if n_cuts > 255:
+        steps = [1 << i for i in range(n_cuts.bit_length() - 1, -1, -1)]
+        return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0),
+                           lambda at, s: F.when(F.get(c, at + s - 1) <= v, at + s).otherwise(at))
 
     def search(lo: int, hi: int) -> F.Column:
         if lo >= hi:
@@ -56,11 +65,12 @@ def bucket_of(value, cuts, n_cuts: int = DEFAULT_BUCKETS - 1) -> F.Column:
 
 
 def value_cdf(long: DataFrame, groups: Sequence[str], value: str = "value",
-              n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+              n_buckets: int | None = None) -> DataFrame:
     """(groups, value, w, cum_lt, cum_le, n, bucket) for every distinct finite
     value: ``w`` rows equal to it, ``cum_lt``/``cum_le`` rows below / at or
     below it, ``n`` rows in its group."""
     groups = list(groups)
+    n_buckets = n_buckets or n_buckets_for(long)
     counts = (long.where(is_finite(value))
               .groupBy(*groups, value).agg(F.count(F.lit(1)).alias("w")))
     if groups:

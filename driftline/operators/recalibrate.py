@@ -1,5 +1,5 @@
-"""Threshold recalibration (T1-T4): the sweep in one pass over score groups
-(each distinct score is assigned the highest threshold it clears, counts are
+"""Threshold recalibration (T1-T4): the sweep in one aggregation of the labelled rows
+(each row is assigned the highest threshold it clears where it is read; counts are
 suffix-summed over <= 96 threshold rows), then the two selection rules."""
 from __future__ import annotations
 
@@ -9,6 +9,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from driftline.operators.quantile import bucket_of
+from driftline.operators.reshape import labeled_filter
+
 
 def sweep_thresholds() -> list[float]:
     """The swept thresholds: 0.05 .. 0.99 stepped in doubles (95 values, the
@@ -16,16 +19,16 @@ def sweep_thresholds() -> list[float]:
     return [float(t) for t in np.arange(0.05, 1.0, 0.01)]
 
 
-def threshold_sweep(groups: DataFrame, keys: Sequence[str] = (),
-                    thresholds: Sequence[float] | None = None) -> DataFrame:
-    """T1 over ``score_groups`` rows (keys, score, n, k): one row per (keys,
-    threshold) with precision, recall, f1, alert_volume, missed_fraud_count."""
-    ts = list(thresholds or sweep_thresholds())
+def threshold_sweep(df: DataFrame, keys: Sequence[str] = (), thresholds: Sequence[float] | None = None,
+                    score: str = "score", label: str = "label") -> DataFrame:
+    """T1 over the labelled rows of ``df``: one row per (keys, threshold) with
+    precision, recall, f1, alert_volume, missed_fraud_count."""
+    ts = sorted(thresholds or sweep_thresholds())
     arr = F.array(*[F.lit(t) for t in ts])
-    s = F.col("score")
-    idx = F.when(F.isnan(s) | s.isNull(), F.lit(-1)).otherwise(
-        F.size(F.filter(arr, lambda t: t <= s)) - 1)
-    per = groups.groupBy(*keys, idx.alias("idx")).agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
+    s = F.col(score).cast("double")
+    idx = F.when(F.isnan(s) | s.isNull(), F.lit(-1)).otherwise(bucket_of(s, arr, len(ts)) - 1)
+    per = (labeled_filter(df, label).select(*keys, idx.alias("idx"), F.col(label).cast("long").alias("_y"))
+           .groupBy(*keys, "idx").agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("k")))
     tot = per.groupBy(*keys).agg(F.sum("k").alias("P"))
     grid = tot.select(*keys, "P", F.posexplode(arr).alias("idx", "threshold"))
     j = grid.join(per, [*keys, "idx"], "left").fillna(0, ["n", "k"])
@@ -72,8 +75,8 @@ def proposal(best: DataFrame, previous: float, rule: str, model_version: str) ->
 
 
 def f1_rule() -> str:
-    return "max F1 (same objective the training pipeline uses)"
+    return "largest F1; of equal ones the lowest threshold"
 
 
 def recall_rule(target: float) -> str:
-    return f"highest precision subject to recall >= {target}"
+    return f"best precision where recall reaches {target}"

@@ -40,5 +40,6 @@ def finite_filter(df: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def labeled_filter(df: DataFrame, label_col: str = "label") -> DataFrame:
-    """P5: rows with a label; the score travels on the same row."""
-    return df.where(F.col(label_col).isNotNull())
+    """P5: rows with a label (NULL and NaN are none); the score travels on the same row."""
+    y = F.col(label_col).cast("double")
+    return df.where(y.isNotNull() & ~F.isnan(y))

@@ -1,10 +1,9 @@
 """Seeded sampling without replacement (S7, R2) and class rebalancing.
 
-Row order comes from a seeded hash of a stable key, so results do not depend
-on partitioning. Per-group samples keep only hash candidates below a margin
-over k/n (bounded per group) and finish exactly with a small window; a group
-whose candidates fall short is redone from all of its rows, so the result is
-always exact."""
+Row order comes from md5 over a row key, the group and a seed, so results depend
+neither on partitioning nor on the values. The first digits of the hash cut every
+group into even buckets; from the bucket sizes alone it is known which buckets a
+sample reaches into, so only those rows are ranked, each bucket by itself."""
 from __future__ import annotations
 
 from collections.abc import Sequence
@@ -14,10 +13,12 @@ from pyspark.sql import functions as F
 
 from driftline.operators.prefix import prefix_sums
 
+#: Hex digits of the bucket (4,096 buckets per group).
+DIGITS = 3
 
-def _hash(key: str | None, seed: int, df: DataFrame) -> Column:
-    cols = [F.col(key)] if key else [F.col(c) for c in df.columns]
-    return F.xxhash64(F.lit(int(seed)), *cols)
+
+def _hash(key: str, seed: int) -> Column:
+    return F.xxhash64(F.lit(int(seed)), F.col(key))
 
 
 def _unit(h: Column) -> Column:
@@ -25,33 +26,34 @@ def _unit(h: Column) -> Column:
     return (h.cast("double") + F.lit(2.0 ** 63)) / F.lit(2.0 ** 64)
 
 
-def sample_rows(df: DataFrame, n: int, seed: int = 42, key: str = "row_id") -> DataFrame:
-    """``min(n, rows)`` rows without replacement, chosen by a seeded md5
-    order of ``key`` (top-n per partition, then a merge of at most n rows each)."""
-    order = F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed))))
-    return df.orderBy(order, F.col(key)).limit(int(n))
+def order_hash(key: str, seed: int, groups: Sequence[str] = ()) -> Column:
+    """md5 of the row key, the group columns and the seed."""
+    return F.md5(F.concat(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (key, *groups)],
+                          F.lit(str(int(seed)))))
 
 
 def hash_sample(df: DataFrame, groups: Sequence[str], k: int, seed: int = 42,
-                key: str | None = None) -> DataFrame:
-    """R2: ``min(k, n_g)`` rows of each group without replacement."""
+                key: str = "row_id") -> DataFrame:
+    """R2: ``min(k, n_g)`` rows of each group, the first by md5 (ties by key)."""
+    if key not in df.columns:
+        raise ValueError(f"sampling needs a row key; there is no column '{key}'")
     groups = list(groups)
-    h = _hash(key, seed, df)
-    tagged = df.select("*", h.alias("_h"))
-    sizes = tagged.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
-    margin = float(k) + 10.0 * float(k) ** 0.5 + 100.0
-    cand = (tagged.join(F.broadcast(sizes), groups)
-            .where(_unit(F.col("_h")) < F.least(F.lit(1.0), F.lit(margin) / F.col("_n"))))
-    order = [F.col("_h")] + ([F.col(key)] if key else [])
-    w = Window.partitionBy(*groups).orderBy(*order)
-    counts = cand.groupBy(*groups).agg(F.count(F.lit(1)).alias("_c"))
-    short = (sizes.join(counts, groups, "left")
-             .where(F.coalesce("_c", F.lit(0)) < F.least(F.col("_n"), F.lit(int(k)))).select(*groups))
-    good = cand.join(F.broadcast(short), groups, "left_anti")
-    redo = tagged.join(F.broadcast(short), groups, "left_semi")
-    picked = (good.drop("_n").unionByName(redo)
-              .select("*", F.row_number().over(w).alias("_rn")).where(F.col("_rn") <= k))
-    return picked.drop("_h", "_rn")
+    h = order_hash(key, seed, groups)
+    tagged = df.select("*", h.alias("_h")).withColumn(
+        "_b", F.conv(F.substring("_h", 1, DIGITS), 16, 10).cast("int"))
+    sizes = tagged.groupBy(*groups, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    reached = (sizes.select(*groups, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+               .where(F.col("_before") < int(k)))
+    w = Window.partitionBy(*groups, "_b").orderBy("_h", key)
+    picked = (tagged.join(reached, [*groups, "_b"])
+              .select("*", (F.row_number().over(w) + F.col("_before")).alias("_rn")).where(F.col("_rn") <= int(k)))
+    return picked.select(*df.columns)
+
+
+def sample_rows(df: DataFrame, n: int, seed: int = 42, key: str = "row_id") -> DataFrame:
+    """``min(n, rows)`` rows without replacement, the first by md5 of ``key``."""
+    return hash_sample(df, [], n, seed, key)
 
 
 def rebalance_positives(df: DataFrame, factor: float, label: str = "label", seed: int = 42,
@@ -61,7 +63,7 @@ def rebalance_positives(df: DataFrame, factor: float, label: str = "label", seed
     ``extra // P`` more times and the first ``extra % P`` once more."""
     pos = df.where(F.col(label) == 1)
     neg = df.where(F.col(label).isNull() | (F.col(label) != 1))
-    h = _hash(key, seed, df)
+    h = _hash(key, seed)
     ranked = prefix_sums(
         pos.select("*", h.alias("_h"), F.floor(_unit(h) * 1024).cast("int").alias("_b"),
                    F.lit(1).alias("_one")),

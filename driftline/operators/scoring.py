@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,12 +47,13 @@ def score(df: DataFrame, model, features: Sequence[str], out: str = "score",
 
 
 def score_python_model(df: DataFrame, model, features: Sequence[str], out: str = "score") -> DataFrame:
-    """P8 for a foreign model object: Arrow batches through mapInPandas."""
-    bc = df.sparkSession.sparkContext.broadcast(model)
+    """P8 for a foreign model object: Arrow batches through mapInPandas. The model
+    travels by value, so its class need not be installed on the executors."""
+    bc = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
     feats = list(features)
 
     def _apply(batches):
-        m = bc.value
+        m = cloudpickle.loads(bc.value)
         for pdf in batches:
             x = pdf[feats].astype("float64")
             if hasattr(m, "predict_proba"):

@@ -5,7 +5,9 @@ from __future__ import annotations
 
 from driftline.functions.columns import SCORE_BAND_INNER_EDGES
 from driftline.operators.quantile import bin_probabilities
-from driftline.operators.recalibrate import sweep_thresholds
+from driftline.operators.decision import COOLDOWN_MSG, HOLD_MSG, RECAL_MSG, RETRAIN_MSG
+from driftline.operators.gate import PROMOTE, REJECT
+from driftline.operators.recalibrate import f1_rule, recall_rule, sweep_thresholds
 from driftline.plans.policy import FIXTURE_POLICY as FP
 from driftline.plans.policy import OVERLAYS, Policy, for_env, policy_fields
 from driftline.sources.tables import COVARIATE_MONTHS, CONCEPT_MONTHS, TXN_FEATURES
@@ -140,6 +142,7 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY
 dsum AS (SELECT batch_id, count(*) AS n_features_tested,
                 count(*) FILTER (WHERE psi_level = 'ALERT') AS n_features_alert,
                 count(*) FILTER (WHERE psi_level = 'WARN') AS n_features_warn,
+                count(*) FILTER (WHERE ks_significant) AS n_ks_significant,
                 count(*) FILTER (WHERE psi_level = 'ALERT') / greatest(count(*), 1) AS drifted_fraction,
                 max(psi) FILTER (WHERE isfinite(psi)) AS max_psi
          FROM fd GROUP BY batch_id)"""
@@ -200,13 +203,14 @@ pred AS (SELECT t.batch_id, t.n_rows, s.score_psi, t.mean_score, t.flag_rate, m.
                     AS flag_rate_relative_change
          FROM wtot t JOIN spsi s USING (batch_id), rmodel m),
 base AS (SELECT pr_auc AS base_pr_auc, recall AS base_recall, precision AS base_precision FROM bm_f1),
-perf AS (SELECT p.batch_id, coalesce(q.n_rows, 0) AS n_labeled, coalesce(q.n_frauds, 0) AS n_frauds,
-                q.pr_auc, q.roc_auc, q.recall, q.precision, q.fp, q.missed_fraud_count,
+perf AS (SELECT p.batch_id, coalesce(q.n_rows, 0) AS n_labeled,
+                {', '.join(f"CASE WHEN q.n_rows >= {p.min_labeled_rows} THEN q.{c} END AS {c}" for c in
+                           ("n_frauds", "pr_auc", "roc_auc", "recall", "precision", "fp", "missed_fraud_count"))},
                 CASE WHEN coalesce(q.n_rows, 0) < {p.min_labeled_rows} THEN 'INSUFFICIENT'
                      WHEN coalesce(q.n_frauds, 0) < {p.min_labeled_frauds} THEN 'INSUFFICIENT'
                      ELSE 'OK' END AS perf_status
          FROM pred p LEFT JOIN pm_f1 q USING (batch_id)),
-rep AS (SELECT p.*, d.n_features_tested, d.n_features_alert, d.n_features_warn, d.drifted_fraction, d.max_psi,
+rep AS (SELECT p.*, d.n_features_tested, d.n_features_alert, d.n_features_warn, d.n_ks_significant, d.drifted_fraction, d.max_psi,
                f.perf_status, f.n_labeled, f.n_frauds, f.pr_auc, f.roc_auc, f.recall, f.precision, f.fp,
                f.missed_fraud_count, b.base_pr_auc, b.base_recall, b.base_precision,
                CASE WHEN f.perf_status = 'OK' AND f.pr_auc IS NOT NULL AND b.base_pr_auc IS NOT NULL
@@ -344,13 +348,15 @@ def sql_queries() -> dict[str, str]:
     ev = """ev AS (SELECT CAST(event_id AS VARCHAR) AS row_id, strftime(CAST(ts AS TIMESTAMP), '%Y-%m-%d') AS batch_id,
         CAST(value AS DOUBLE) AS value, round(value / (value + 50), 4) AS score,
         CAST(event_type = 'error' AS INTEGER) AS label, CAST(ts AS TIMESTAMP) AS event_time FROM events)"""
-    q["finite_filter"] = _with(ev, "SELECT row_id, batch_id, feature, round(value, 6) AS value FROM ("
-                               + _long("ev", "row_id, batch_id, ", ["value", "score"]) + ") WHERE isfinite(value)")
+    q["finite_filter"] = _with(ev + """, ev2 AS (SELECT * REPLACE (CASE WHEN CAST(row_id AS BIGINT) % 7 = 0
+        OR CAST(row_id AS BIGINT) % 11 = 0 OR CAST(row_id AS BIGINT) % 13 = 0 OR CAST(row_id AS BIGINT) % 17 = 0
+        THEN NULL ELSE value END AS value) FROM ev)""", "SELECT row_id, batch_id, feature, round(value, 6) AS value FROM ("
+                               + _long("ev2", "row_id, batch_id, ", ["value", "score"]) + ") WHERE isfinite(value)")
     docs = """docs AS (SELECT CAST(d.doc_id AS VARCHAR) AS row_id, d.lang, d.source, CAST(d.n_chars AS DOUBLE) AS n_chars,
         round(d.n_chars / (d.n_chars + 1500.0), 4) AS score, CAST(l.toxic AS INTEGER) AS label
         FROM documents d LEFT JOIN labels l USING (doc_id))"""
     q["labeled_filter"] = _with(docs, "SELECT row_id, round(score, 6) AS score, CAST(label AS BIGINT) AS label "
-                                "FROM docs WHERE label IS NOT NULL")
+                                "FROM docs WHERE label IS NOT NULL AND n_chars % 5 <> 0")
     q["scale_amount"] = _with(TXN, """, fit AS (SELECT avg(l_extendedprice) AS m, stddev_pop(l_extendedprice) AS s FROM ref)
         SELECT row_id, round((l_extendedprice - m) / s, 6) AS amount_scaled FROM win, fit""")
     q["score_batch"] = _with(TXN, "SELECT row_id, round(score, 6) AS score FROM txn_base")
@@ -402,6 +408,19 @@ def sql_queries() -> dict[str, str]:
     q["profile_stats"] = _with(DRIFT, """SELECT e.feature, round(m.reference_mean, 6) AS mean, round(m.ref_std, 6) AS std,
         round(e.q[12], 6) AS p01, round(e.q[13], 6) AS p50, round(e.q[14], 6) AS p99, e.n,
         CAST(len(e.inner_edges) + 1 AS BIGINT) AS n_bins FROM edges e JOIN rmom m USING (feature)""")
+    q["profile_ks_sample"] = _with(TXN, "SELECT feature, row_id, round(value, 6) AS value FROM ("
+                                   + _long("ref", "row_id, ") + """) WHERE isfinite(value)
+        QUALIFY row_number() OVER (PARTITION BY feature ORDER BY md5(row_id || feature || '42'), row_id) <= 5000""")
+    q["build_reference"] = _with(TXN + """, r AS (SELECT *, row_number() OVER (ORDER BY event_time,
+            md5(row_id || '42'), row_id) AS pos, count(*) OVER () AS n_all FROM ref),
+        early AS (SELECT * FROM r WHERE pos <= floor(n_all * 0.8)),
+        late AS (SELECT 1 AS row_one, * FROM r WHERE pos > floor(n_all * 0.8)),""" + _perf("late", "row_one", name="bm")
+        + ", el AS (" + _long("early", "") + "), fs AS (SELECT feature, count(*) AS n, avg(value) AS mean, "
+        "quantile_cont(value, 0.5) AS p50 FROM el WHERE isfinite(value) GROUP BY feature), "
+        f"ls AS (SELECT count(*) AS n_scores, avg(score) AS mean_score, avg(CASE WHEN score >= {T} THEN 1.0 ELSE 0.0 END) "
+        "AS flag_rate FROM late)", """SELECT feature, n, round(mean, 6) AS mean, round(p50, 6) AS p50, n_scores,
+        round(mean_score, 6) AS mean_score, round(flag_rate, 6) AS flag_rate, round(pr_auc, 6) AS base_pr_auc,
+        round(recall, 6) AS base_recall, round(precision, 6) AS base_precision FROM fs, ls, bm_f1""")
     q["profile_model"] = _with(_report(FP), """SELECT CAST(m.n_scores AS BIGINT) AS n_reference_rows,
         round(m.reference_fraud_rate, 6) AS reference_fraud_rate, 0.8::DOUBLE AS operating_threshold,
         round(m.mean_score, 6) AS mean_score, round(m.flag_rate, 6) AS flag_rate, m.n_scores,
@@ -430,8 +449,9 @@ def sql_queries() -> dict[str, str]:
                                     + "," + _perf("d2", "batch_id", "0.5"), f"""
         SELECT b.batch_id, CASE WHEN coalesce(p.n_rows, 0) < {dp.min_labeled_rows} THEN 'INSUFFICIENT'
             WHEN coalesce(p.n_frauds, 0) < {dp.min_labeled_frauds} THEN 'INSUFFICIENT' ELSE 'OK' END AS perf_status,
-            CAST(coalesce(p.n_rows, 0) AS BIGINT) AS n_labeled, CAST(coalesce(p.n_frauds, 0) AS BIGINT) AS n_frauds,
-            round(p.pr_auc, 6) AS pr_auc
+            CAST(coalesce(p.n_rows, 0) AS BIGINT) AS n_labeled,
+            CASE WHEN p.n_rows >= {dp.min_labeled_rows} THEN CAST(p.n_frauds AS BIGINT) END AS n_frauds,
+            CASE WHEN p.n_rows >= {dp.min_labeled_rows} THEN round(p.pr_auc, 6) END AS pr_auc
         FROM (SELECT DISTINCT batch_id FROM d2) b LEFT JOIN pm_f1 p USING (batch_id)""")
     q["label_maturity"] = _with(ev, """SELECT batch_id,
         floor((epoch(TIMESTAMP '2024-02-15 00:00:00') - epoch(max(event_time))) / 86400) >= 30 AS mature
@@ -442,26 +462,40 @@ def sql_queries() -> dict[str, str]:
         q[name] = _with(full, f"SELECT {sig_cols} FROM sig_o WHERE category IN {cats}")
     q["signals_all"] = _with(full, f"SELECT batch_id, CAST(signal_order AS BIGINT) AS signal_order, {sig_cols[10:]} "
                              "FROM sig_o")
+    q["signals_missing_feature"] = _with(TXN, """SELECT DISTINCT batch_id, true AS halt, 'missing_features' AS name,
+        'ALERT' AS level, 1.0::DOUBLE AS value, 0.0::DOUBLE AS threshold, 'data_quality' AS category FROM win""")
     q["severity"] = _with(full, "SELECT batch_id, severity FROM dec")
     q["window_flags"] = _with(full, "SELECT batch_id, halt, trig AS triggering, perf_alert, drift_alert, any_warn "
                               "FROM dec")
     q["alert_streak"] = _with(full, "SELECT batch_id, CAST(confirmed_streak AS BIGINT) AS streak FROM dec")
     q["decision_timeline"] = _with(full, """SELECT batch_id, action, CAST(confirmed_streak AS BIGINT) AS confirmed_streak,
         cooldown_active, severity FROM dec""")
-    hold = "'Alert observed in ' || confirmed_streak || '/' || {req} || ' consecutive windows — holding for confirmation before acting.'"
+    said = lambda text, *cols: "printf('" + text + "'" + "".join(f", {c}" for c in cols) + ")"
     q["decision_reasons"] = _with(full, f"""SELECT batch_id,
         CAST(CASE WHEN halt THEN 1 ELSE n_msgs + CASE WHEN NOT trig THEN 0 WHEN cooldown_active AND confirmed_streak >= {FP.consecutive_windows_to_confirm} THEN 2 ELSE 1 END END AS BIGINT) AS n_reasons,
         CASE WHEN halt OR NOT trig THEN NULL
-             WHEN confirmed_streak < {FP.consecutive_windows_to_confirm} THEN {hold.format(req=FP.consecutive_windows_to_confirm)}
-             WHEN cooldown_active THEN 'Retrain suppressed: last retrain was inside the {FP.cooldown_days}-day cooldown window.'
-             WHEN recal THEN 'Score distribution moved but ranking quality is intact (no PR-AUC alert) — recalibrating the operating threshold is the cheaper fix; retrain only if the next window still alerts.'
-             ELSE 'Degradation confirmed across ' || confirmed_streak || ' consecutive windows.' END AS lead_reason
+             WHEN confirmed_streak < {FP.consecutive_windows_to_confirm}
+                  THEN {said(HOLD_MSG, 'CAST(confirmed_streak AS BIGINT)', FP.consecutive_windows_to_confirm)}
+             WHEN cooldown_active THEN {said(COOLDOWN_MSG, FP.cooldown_days)}
+             WHEN recal THEN '{RECAL_MSG}'
+             ELSE {said(RETRAIN_MSG, 'CAST(confirmed_streak AS BIGINT)')} END AS lead_reason
         FROM dec""")
-    q["monitor_batch"] = _with(full, """SELECT r.batch_id, r.n_rows, r.n_features_alert, round(r.max_psi, 6) AS max_psi,
-        round(r.score_psi, 6) AS score_psi, round(r.flag_rate, 6) AS flag_rate, r.perf_status,
+    monitor_sql = """SELECT r.batch_id, r.n_rows, r.n_features_alert, r.n_ks_significant,
+        round(r.max_psi, 6) AS max_psi, round(r.score_psi, 6) AS score_psi, round(r.flag_rate, 6) AS flag_rate, r.perf_status,
         round(r.pr_auc, 6) AS pr_auc, round(r.recall, 6) AS recall, round(r.precision, 6) AS precision,
         d.action, CAST(d.confirmed_streak AS BIGINT) AS confirmed_streak, d.severity
-        FROM rep r JOIN dec d USING (batch_id)""")
+        FROM rep r JOIN dec d USING (batch_id)"""
+    q["monitor_batch"] = _with(full, monitor_sql)
+    window = "win AS (SELECT * FROM txn WHERE"
+    rescored = full.replace(window, """win AS (SELECT * REPLACE ((l_quantity / 50) * 0.5 + (l_discount / 0.10) * 0.3
+        + (l_tax / 0.08) * 0.2 AS score) FROM txn WHERE""")
+    assert rescored.count("REPLACE (") == full.count(window) == 1
+    q["monitor_scored"] = _with(rescored, monitor_sql)
+    q["monitor_report"] = _with(full, """SELECT r.batch_id, r.n_rows, f.features, round(r.max_psi, 6) AS max_psi,
+        round(r.score_psi, 6) AS score_psi, r.perf_status, round(r.recall, 6) AS recall, d.action
+        FROM rep r JOIN dec d USING (batch_id) JOIN (SELECT batch_id, string_agg(feature || ':' || psi_level || ':' ||
+            CAST(ks_significant AS VARCHAR), ',' ORDER BY coalesce(CASE WHEN isfinite(psi) THEN psi END, 0.0) DESC,
+            feature_index) AS features FROM fd GROUP BY batch_id) f USING (batch_id)""")
     parts = []
     for pol in (FP, for_env("dev"), for_env("staging"), for_env("prod")):
         parts.append("(" + _with(_fixture_full(pol), f"""SELECT '{pol.env}' AS env, batch_id, action,
@@ -508,10 +542,9 @@ def sql_queries() -> dict[str, str]:
     prop = """SELECT round(threshold, 6) AS threshold, 0.8::DOUBLE AS previous_threshold, '{rule}' AS selection_rule,
         round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
         'champion-1' AS model_version FROM sf ORDER BY {order} LIMIT 1"""
-    q["recalibrate_f1"] = _with(sweep, prop.format(rule="max F1 (same objective the training pipeline uses)",
-                                                   order="f1 DESC, threshold ASC"))
+    q["recalibrate_f1"] = _with(sweep, prop.format(rule=f1_rule(), order="f1 DESC, threshold ASC"))
     q["recalibrate_recall"] = _with(sweep, prop.format(
-        rule="highest precision subject to recall >= 0.95",
+        rule=recall_rule(0.95),
         order="(recall >= 0.95) DESC, CASE WHEN recall >= 0.95 THEN precision ELSE recall END DESC, threshold ASC"))
     gate = f"""{TXN},
         gs AS (SELECT 'score2' AS challenger, 'champion' AS role, score, label FROM win
@@ -527,18 +560,24 @@ def sql_queries() -> dict[str, str]:
                       coalesce(cl_pr - ch_pr >= 0.005, false) AS passed, cl_pr - ch_pr AS value,
                       CAST(0.005 AS DOUBLE) AS threshold FROM gj
                UNION ALL SELECT challenger, 1, 'recall_not_regressed', ch_rc - cl_rc <= 0.02, ch_rc - cl_rc, 0.02 FROM gj
-               UNION ALL SELECT challenger, 2, 'precision_floor', cl_pc >= 0.5, cl_pc, 0.5 FROM gj)"""
+               UNION ALL SELECT challenger, 2, 'precision_floor', cl_pc >= 0.5, cl_pc, 0.5 FROM gj),
+        po AS (SELECT label, epoch(event_time) AS t FROM txn), pt AS (SELECT max(t) - 30 * 86400 AS cutoff FROM po),
+        pr AS (SELECT count(*) AS n, coalesce(sum(label), 0) AS k FROM po, pt WHERE t <= cutoff AND t > cutoff - 180 * 86400),
+        ga AS (SELECT 1 AS phase, * FROM gc
+               UNION ALL SELECT 0, challenger, 0, 'min_training_rows', n >= 100, CAST(n AS DOUBLE), 100.0
+                         FROM pr, (SELECT DISTINCT challenger FROM gc)
+               UNION ALL SELECT 0, challenger, 1, 'min_training_frauds', k >= 1, CAST(k AS DOUBLE), 1.0
+                         FROM pr, (SELECT DISTINCT challenger FROM gc))"""
     q["gate_metrics"] = _with(gate, """SELECT challenger, role, CAST(n_rows AS BIGINT) AS n_rows, round(pr_auc, 6) AS pr_auc,
         round(recall, 6) AS recall, round(precision, 6) AS precision, CAST(alert_volume AS BIGINT) AS alert_volume
         FROM gm""")
-    q["gate_checks"] = _with(gate, """SELECT challenger, CAST(check_order AS BIGINT) AS check_order, name, passed,
-        round(value, 6) AS value, round(threshold, 6) AS threshold FROM gc""")
-    q["gate_result"] = _with(gate, """SELECT challenger, bool_and(passed) AS promote, count(*) AS n_checks,
-        coalesce(string_agg(name, ', ' ORDER BY check_order) FILTER (WHERE NOT passed), '') AS failed_checks,
-        CASE WHEN bool_and(passed) THEN 'PROMOTE — challenger passed every gate check'
-             ELSE 'REJECT — failed: ' || string_agg(name, ', ' ORDER BY check_order) FILTER (WHERE NOT passed)
-                  || '. Champion stays live.' END AS summary
-        FROM gc GROUP BY challenger""")
+    q["gate_checks"] = _with(gate, """SELECT challenger, CAST(phase AS BIGINT) AS phase,
+        CAST(check_order AS BIGINT) AS check_order, name, passed, round(value, 6) AS value,
+        round(threshold, 6) AS threshold FROM ga""")
+    names = "string_agg(name, ', ' ORDER BY phase, check_order) FILTER (WHERE NOT passed)"
+    q["gate_result"] = _with(gate, f"""SELECT challenger, bool_and(passed) AS promote, count(*) AS n_checks,
+        coalesce({names}, '') AS failed_checks, CASE WHEN bool_and(passed) THEN '{PROMOTE}'
+        ELSE replace('{REJECT}', '%s', {names}) END AS summary FROM ga GROUP BY challenger""")
     q["training_window"] = """WITH o AS (SELECT o_orderkey, epoch(CAST(o_orderdate AS TIMESTAMP)) AS t FROM orders),
         c AS (SELECT max(t) - 30 * 86400 AS cutoff FROM o)
         SELECT o_orderkey, CASE WHEN t > cutoff THEN 'holdout' WHEN t > cutoff - 180 * 86400 THEN 'train'
@@ -579,5 +618,3 @@ def sql_queries() -> dict[str, str]:
                                   "FROM ranked WHERE rk <= 5")
     return q
 
-
-ORACLE_ONLY_ROWS = {"profile_ks_sample"}

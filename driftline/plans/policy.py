@@ -95,10 +95,6 @@ def policy_struct(policy: Policy) -> Column:
     return F.struct(*policy_columns(policy))
 
 
-def with_policy(df: DataFrame, policy: Policy) -> DataFrame:
-    return df.select("*", *policy_columns(policy))
-
-
 def policy_table(spark: SparkSession, envs=("dev", "staging", "prod")) -> DataFrame:
     """Base key/value table left-joined to an overlay key/value table; the
     overlay value wins per key; pivoted to one row per environment."""

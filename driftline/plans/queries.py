@@ -13,24 +13,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftline.functions.columns import SCORE_BAND_INNER_EDGES, flagged, is_finite, nan_to_null
-from driftline.operators import gate, quality, recalibrate, sampling
+from driftline.operators import gate, quality, recalibrate, sampling, scoring
 from driftline.operators.drift import (bin_stats, drift_summary, feature_drift, ks_statistics,
-                                       prediction_drift, score_summary, value_counts)
+                                       prediction_drift, value_counts)
 from driftline.operators.profile import build_profile, psi_two_tables
 from driftline.operators.reshape import (finite_filter, labeled_filter, project_features,
                                          unpivot_features)
 from driftline.plans.fixture import MODEL_VERSION, txn_fixture
-from driftline.plans.monitor import (backtest, literal_policy, month_start, monitor,
-                                     performance_block, window_report, with_signals)
+from driftline.plans.monitor import (backtest, literal_policy, month_start, monitor, nested_report,
+                                     performance_block, score_and_monitor, window_report)
+from driftline.plans import monitor as monitor_plan
 from driftline.plans.policy import FIXTURE_POLICY, Policy, for_env, policy_table
 from driftline.session import ensure_checkpoint_dir
-from driftline.sources.tables import (TXN_FEATURES, TXN_THRESHOLD, documents_scored,
-                                      embeddings_long, events_scored, load_batch, read_table, txn)
+from driftline.sources.sinks import history_tail, nonfinite_to_null
+from driftline.sources.tables import (TXN_FEATURES, TXN_THRESHOLD, documents_scored, events_scored, load_batch,
+                                      read_table, txn)
+from driftline.streaming import stream
 
 Q = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Q] = {}
 
-FEATURE_ORDER = {f: i for i, f in enumerate(TXN_FEATURES)}
 RECALL_TARGET = 0.95
 SAMPLE_N = 1000
 SEED = 42
@@ -97,14 +99,14 @@ def report_nonfinite_to_null(spark, sf):
     rep = _report(spark, sf)
     cols = ["max_psi", "score_psi", "flag_rate", "flag_rate_relative_change", "pr_auc", "roc_auc",
             "precision", "recall", "pr_auc_relative_drop"]
-    return finalize(rep.select("batch_id", *[nan_to_null(c).alias(c) for c in cols]))
+    # missing figures as NaN or infinity, the way a report in floats carries them
+    odd = F.when(F.substring("batch_id", 7, 1).cast("int") % 2 == 0, float("nan")).otherwise(float("inf"))
+    return finalize(nonfinite_to_null(rep.select("batch_id", *[F.coalesce(c, odd).alias(c) for c in cols])))
 
 
 @query
 def state_history_tail(spark, sf):
-    m = _monitor(spark, sf).where("in_history")
-    w = Window.partitionBy("model_version").orderBy(F.col("seq").desc())
-    tail = m.select("*", F.row_number().over(w).alias("pos")).where(F.col("pos") <= 50)
+    tail = history_tail(_monitor(spark, sf), n=50)
     return finalize(tail.select("batch_id", "action", "severity",
                                 F.col("confirmed_streak").alias("streak"), "pos"))
 
@@ -129,28 +131,41 @@ def unpivot_features_q(spark, sf):
 
 @query
 def finite_filter_q(spark, sf):
-    long = unpivot_features(events_scored(spark, sf), ["row_id", "batch_id"], ["value", "score"])
-    return finalize(finite_filter(long))
+    ev = events_scored(spark, sf)
+    i = F.col("row_id").cast("long")
+    ev = ev.withColumn("value", F.when(i % 7 == 0, float("nan")).when(i % 11 == 0, float("inf"))
+                       .when(i % 13 == 0, float("-inf")).when(i % 17 == 0, None).otherwise(F.col("value")))
+    return finalize(finite_filter(unpivot_features(ev, ["row_id", "batch_id"], ["value", "score"])))
 
 
 @query
 def labeled_filter_q(spark, sf):
-    return finalize(labeled_filter(documents_scored(spark, sf)).select("row_id", "score", "label"))
+    docs = documents_scored(spark, sf)
+    docs = docs.withColumn("label", F.when(F.col("n_chars") % 5 == 0, float("nan")).otherwise(F.col("label")))
+    return finalize(labeled_filter(docs).select("row_id", "score", F.col("label").cast("int").alias("label")))
 
 
 @query
 def scale_amount(spark, sf):
     fx = _fx(spark, sf)
-    ref = fx.reference
-    mean = ref.select(F.avg("l_extendedprice")).scalar()
-    std = ref.select(F.stddev_pop("l_extendedprice")).scalar()
-    return finalize(fx.windows.select("row_id", ((F.col("l_extendedprice") - mean) / std)
-                                      .alias("amount_scaled")))
+    mean, std = scoring.fit_scaler(fx.reference, "l_extendedprice")
+    scaled = scoring.apply_scaler(fx.windows, "l_extendedprice", mean, std, "amount_scaled")
+    return finalize(scaled.select("row_id", "amount_scaled"))
+
+
+def linear_model():
+    """The fixture's model as a foreign object."""
+    class Linear:
+        def predict(self, x):
+            return x["l_quantity"] / 50 * 0.5 + x["l_discount"] / 0.10 * 0.3 + x["l_tax"] / 0.08 * 0.2
+    return Linear()
 
 
 @query
 def score_batch(spark, sf):
-    return finalize(txn(spark, sf, distort=False).select("row_id", "score"))
+    rows = txn(spark, sf, distort=False).select("row_id", *TXN_FEATURES)
+    scored = scoring.score(rows, linear_model(), TXN_FEATURES)
+    return finalize(scored.select("row_id", F.round("score", 4).alias("score")))
 
 
 @query
@@ -170,8 +185,7 @@ def quantile_edges(spark, sf):
 @query
 def bin_proportions(spark, sf):
     fx = _fx(spark, sf)
-    counts = value_counts(fx.windows, TXN_FEATURES)
-    st = bin_stats(counts, fx.profile.features, fx.profile.bins).join(
+    st = bin_stats(fx.windows, TXN_FEATURES, fx.profile.features, fx.profile.bins).join(
         F.broadcast(fx.profile.features.select("feature", "n_bins")), "feature")
     out = st.select("batch_id", "feature", F.posexplode(F.slice("actual", 1, F.col("n_bins")))
                     .alias("bin", "share"))
@@ -200,7 +214,8 @@ def psi_two_tables_q(spark, sf):
 def ks_statistic(spark, sf):
     fx = _fx(spark, sf)
     counts = value_counts(fx.windows, TXN_FEATURES)
-    return finalize(ks_statistics(counts, fx.profile.ks).select("batch_id", "feature", "ks_statistic"))
+    return finalize(ks_statistics(counts, fx.profile.features, fx.profile.ks).select(
+        "batch_id", "feature", "ks_statistic"))
 
 
 @query
@@ -250,7 +265,7 @@ def score_bands(spark, sf):
 @query
 def prediction_drift_q(spark, sf):
     fx = _fx(spark, sf)
-    p = prediction_drift(score_summary(fx.windows, fx.threshold), fx.profile, fx.threshold)
+    p = prediction_drift(fx.windows, fx.profile, fx.threshold)
     return finalize(p.select("batch_id", "n_rows", "score_psi", "mean_score", "flag_rate",
                              "reference_flag_rate", "flag_rate_relative_change"))
 
@@ -266,8 +281,22 @@ def profile_stats(spark, sf):
 @query
 def profile_ks_sample(spark, sf):
     fx = _fx(spark, sf)
-    prof = build_profile(fx.reference, TXN_FEATURES, TXN_THRESHOLD, MODEL_VERSION, ks_sample=5000)
-    return finalize(prof.ks.select("feature", "value", "cum_lt", "cum_le"))
+    long = finite_filter(unpivot_features(fx.reference, ["row_id"], TXN_FEATURES))
+    return finalize(sampling.hash_sample(long, ["feature"], 5000, SEED).select("feature", "row_id", "value"))
+
+
+@query
+def build_reference(spark, sf):
+    """The profile of a time-ordered reference: features from the early slice, scores
+    and baseline quality from the late one."""
+    fx = _fx(spark, sf)
+    ref = fx.reference.withColumn("Time", F.unix_timestamp("event_time"))
+    prof = monitor_plan.build_reference(ref, TXN_FEATURES, TXN_THRESHOLD, MODEL_VERSION, "Time")
+    model = F.broadcast(prof.model.select("model_version", "n_scores", "mean_score", "flag_rate", "base_pr_auc",
+                                          "base_recall", "base_precision"))
+    return finalize(prof.features.join(model, "model_version").select(
+        "feature", "n", "mean", "p50", "n_scores", "mean_score", "flag_rate", "base_pr_auc", "base_recall",
+        "base_precision"))
 
 
 @query
@@ -290,19 +319,23 @@ def time_split(spark, sf):
 # ---------------------------------------------------------------- quality
 def _perf(spark, sf):
     fx = _fx(spark, sf)
-    g = quality.score_groups(fx.windows, ["batch_id"])
-    return quality.performance(g, ["batch_id"], fx.threshold)
+    return quality.performance(fx.windows, ["batch_id"], fx.threshold)
+
+
+def _at_threshold(spark, sf):
+    fx = _fx(spark, sf)
+    return quality.threshold_metrics(fx.windows, ["batch_id"], fx.threshold)
 
 
 @query
 def confusion_matrix(spark, sf):
-    return finalize(_perf(spark, sf).select("batch_id", "true_negatives", "false_positives",
+    return finalize(_at_threshold(spark, sf).select("batch_id", "true_negatives", "false_positives",
                                             "false_negatives", "true_positives"))
 
 
 @query
 def threshold_metrics(spark, sf):
-    return finalize(_perf(spark, sf).select(
+    return finalize(_at_threshold(spark, sf).select(
         "batch_id", "n_rows", "n_frauds", "fraud_rate", "precision", "recall", "f1", "alert_volume",
         "false_discovery_rate", "missed_fraud_count"))
 
@@ -326,11 +359,8 @@ def baseline_comparison(spark, sf):
 @query
 def performance_status(spark, sf):
     docs = documents_scored(spark, sf).withColumnRenamed("lang", "batch_id")
-    rows = score_summary(docs, 0.5)
-    fake_profile = _doc_profile(spark, sf)
-    perf = performance_block(rows, fake_profile, literal_policy(DOC_POLICY), 0.5)
-    return finalize(perf.select("batch_id", "perf_status", "n_labeled",
-                                F.coalesce("n_frauds", F.lit(0)).alias("n_frauds"), "pr_auc"))
+    perf = performance_block(docs, _doc_profile(spark, sf), literal_policy(DOC_POLICY), 0.5)
+    return finalize(perf.select("batch_id", "perf_status", "n_labeled", "n_frauds", "pr_auc"))
 
 
 def _doc_profile(spark, sf):
@@ -380,6 +410,15 @@ def signals_all(spark, sf):
     return _signals_long(spark, sf)
 
 
+@query
+def signals_missing_feature(spark, sf):
+    """A feature of the profile that the batch does not have."""
+    fx = _fx(spark, sf)
+    m = monitor(fx.windows.drop("l_tax"), fx.profile, fx.policy, fx.threshold, now=month_start())
+    s = m.select("batch_id", "halt", F.explode("signals").alias("s")).where("s.name = 'missing_features'")
+    return finalize(s.select("batch_id", "halt", "s.name", "s.level", "s.value", "s.threshold", "s.category"))
+
+
 @query
 def severity(spark, sf):
     return finalize(_monitor(spark, sf).select("batch_id", "severity"))
@@ -411,9 +450,35 @@ def decision_reasons(spark, sf):
 
 @query
 def monitor_batch(spark, sf):
-    return finalize(_monitor(spark, sf).select(
-        "batch_id", "n_rows", "n_features_alert", "max_psi", "score_psi", "flag_rate", "perf_status",
-        "pr_auc", "recall", "precision", "action", "confirmed_streak", "severity"))
+    return finalize(_monitor(spark, sf).select(*MONITOR_COLUMNS))
+
+
+MONITOR_COLUMNS = ["batch_id", "n_rows", "n_features_alert", "n_ks_significant", "max_psi", "score_psi",
+                   "flag_rate", "perf_status", "pr_auc", "recall", "precision", "action", "confirmed_streak",
+                   "severity"]
+
+
+@query
+def monitor_scored(spark, sf):
+    """L8 from unscored windows: the model scores them inside the pass."""
+    fx = _fx(spark, sf)
+    batch = fx.windows.select("row_id", "batch_id", "event_time", "label", *TXN_FEATURES)
+    m = score_and_monitor(batch, linear_model(), TXN_FEATURES, fx.profile, fx.policy, fx.threshold,
+                          now=month_start())
+    return finalize(m.select(*MONITOR_COLUMNS))
+
+
+@query
+def monitor_report(spark, sf):
+    """The nested report of every window, its parts read back."""
+    fx = _fx(spark, sf)
+    drift_rows = feature_drift(fx.windows, fx.profile, fx.policy)
+    made = monitor(fx.windows, fx.profile, fx.policy, fx.threshold, now=month_start(), drift_rows=drift_rows)
+    rep = nested_report(made, drift_rows)
+    told = F.array_join(F.transform("features", lambda f: F.concat_ws(
+        ":", f["feature"], f["psi_level"], f["ks_significant"].cast("string"))), ",")
+    return finalize(rep.select("batch_id", "n_rows", told.alias("features"), "drift.max_psi", "prediction.score_psi",
+                               "performance.perf_status", "performance.recall", "decision.action"))
 
 
 @query
@@ -443,8 +508,8 @@ def policy_table_q(spark, sf):
 # ---------------------------------------------------------------- recalibration / gate
 def _sweep(spark, sf):
     fx = _fx(spark, sf)
-    g = quality.score_groups(fx.windows.select(F.lit("all").alias("grp"), "score", "label"), ["grp"])
-    return recalibrate.threshold_sweep(g, ["grp"])
+    rows = fx.windows.select(F.lit("all").alias("grp"), "score", "label")
+    return recalibrate.threshold_sweep(rows, ["grp"])
 
 
 @query
@@ -467,13 +532,19 @@ def recalibrate_recall(spark, sf):
 
 def _gate_metrics(spark, sf):
     fx = _fx(spark, sf)
-    parts = []
-    for chal in ("score2", "score3"):
-        m = gate.gate_metrics(fx.windows.select(F.lit(chal).alias("challenger"), "score", chal, "label"),
-                              {"champion": ("score", TXN_THRESHOLD), "challenger": (chal, TXN_THRESHOLD)},
-                              keys=["challenger"])
-        parts.append(m)
-    return parts[0].unionByName(parts[1])
+    m = gate.gate_metrics(fx.windows, {"champion": ("score", TXN_THRESHOLD), "score2": ("score2", TXN_THRESHOLD),
+                                       "score3": ("score3", TXN_THRESHOLD)})
+    return gate.pair_challengers(m, ["score2", "score3"])
+
+
+#: Training minimums that the fixture's smallest tables reach.
+GATE_POLICY = Policy(min_training_rows=100, min_training_frauds=1)
+
+
+def _preflight(spark, sf, policy):
+    t = txn(spark, sf).select("row_id", "label", F.unix_timestamp("event_time").alias("Time"))
+    w = gate.training_window(t, "Time", policy.holdout_days, policy.rolling_window_days)
+    return gate.preflight_checks(w.where(F.col("split") == "train"), policy)
 
 
 @query
@@ -483,12 +554,14 @@ def gate_metrics(spark, sf):
 
 
 def _gate_checks(spark, sf):
-    return gate.gate_checks(_gate_metrics(spark, sf), Policy(), keys=["challenger"])
+    both = F.explode(F.array(F.lit("score2"), F.lit("score3"))).alias("challenger")
+    extra = _preflight(spark, sf, GATE_POLICY).select(both, "*")
+    return gate.gate_checks(_gate_metrics(spark, sf), GATE_POLICY, keys=["challenger"], extra=extra)
 
 
 @query
 def gate_checks(spark, sf):
-    return finalize(_gate_checks(spark, sf).select("challenger", "check_order", "name", "passed",
+    return finalize(_gate_checks(spark, sf).select("challenger", "phase", "check_order", "name", "passed",
                                                    "value", "threshold"))
 
 
@@ -508,9 +581,7 @@ def training_window(spark, sf):
 
 @query
 def training_preflight(spark, sf):
-    t = txn(spark, sf).select("row_id", "label", F.unix_timestamp("event_time").alias("Time"))
-    w = gate.training_window(t, "Time", 30, 180)
-    checks = gate.preflight_checks(w.where(F.col("split") == "train"), Policy())
+    checks = _preflight(spark, sf, Policy())
     return finalize(checks.select("check_order", "name", "passed", "value", "threshold"))
 
 
@@ -544,20 +615,18 @@ def report_headline(spark, sf):
 
 @query
 def daily_windows(spark, sf):
-    ev = events_scored(spark, sf)
-    g = ev.groupBy(F.window("event_time", "1 day").alias("w")).agg(
-        F.count(F.lit(1)).alias("n_events"),
-        F.sum(flagged("score", 0.2).cast("long")).alias("n_flagged"),
-        F.sum("label").alias("n_errors"), F.avg("value").alias("mean_value"))
-    return finalize(g.select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "n_events",
-                             "n_flagged", "n_errors", "mean_value"))
+    return finalize(stream.daily_windows(events_scored(spark, sf), "event_time", "value", "score", "label", 0.2))
 
 
 @query
 def late_labels_join(spark, sf):
     docs = documents_scored(spark, sf)
-    g = quality.score_groups(docs, ["lang"])
-    perf = quality.performance(g, ["lang"], 0.5)
+    newest = read_table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("row_id"),
+                                                    F.col("toxic").alias("label"), F.lit(2).alias("arrived"))
+    earlier = newest.select("row_id", (1 - F.col("label")).alias("label"), F.lit(1).alias("arrived"))
+    joined = stream.late_labels(docs, newest.unionByName(earlier), "row_id", None, F.lit(EVENTS_NOW), 30,
+                                batch="lang", arrived="arrived")
+    perf = quality.performance(joined, ["lang"], 0.5)
     totals = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n_scored"))
     return finalize(totals.join(perf, "lang", "left").select(
         "lang", "n_scored", F.col("n_rows").alias("n_labeled"), "n_frauds", "pr_auc", "roc_auc"))

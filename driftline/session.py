@@ -36,9 +36,12 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only when
-    the session has none (local runs and tests)."""
+    the session has none and everything runs on this machine (tests)."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="driftline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
@@ -54,3 +57,16 @@ def freeze(df: DataFrame, name: str) -> DataFrame:
     path = os.path.join(root, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def freeze_bucketed(df: DataFrame, name: str, columns: list[str]) -> DataFrame:
+    """Like :func:`freeze`, as a table bucketed by ``columns``: a join on them moves
+    only the other side."""
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    table = f"{name}-{uuid.uuid4().hex[:12]}"
+    path = os.path.join(root, "tables", table)
+    (df.repartition(n, *columns).write.mode("overwrite").bucketBy(n, *columns).sortBy(*columns)
+     .option("path", path).format("parquet").saveAsTable(table.replace("-", "_")))
+    return spark.table(table.replace("-", "_"))

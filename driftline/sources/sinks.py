@@ -7,6 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 from driftline.functions.columns import nan_to_null
 from driftline.operators.profile import Profile
@@ -27,13 +28,15 @@ def write_profile(profile: Profile, path: str, mode: str = "overwrite") -> str:
 
 def read_profile(spark: SparkSession, path: str, model_version: str) -> Profile:
     """A missing profile is an error, not an empty table."""
-    meta_dir = os.path.join(path, "meta", f"model_version={model_version}")
-    if not os.path.exists(meta_dir) and not path.startswith(("s3", "hdfs", "gs", "abfs")):
-        raise FileNotFoundError(f"No reference profile for model_version={model_version} at {path}; "
-                                "build it after promoting a champion.")
-    meta = spark.read.parquet(os.path.join(path, "meta")).where(F.col("model_version") == model_version).first()
+    try:
+        meta = spark.read.parquet(os.path.join(path, "meta")).where(
+            F.col("model_version") == model_version).first()
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        meta = None
     if meta is None:
-        raise FileNotFoundError(f"No reference profile for model_version={model_version} at {path}")
+        raise FileNotFoundError(f"{path} holds no profile of model {model_version}")
 
     def part(name):
         return spark.read.parquet(os.path.join(path, name)).where(F.col("model_version") == model_version)
@@ -69,9 +72,18 @@ def append_decisions(decisions: DataFrame, path: str) -> str:
     return path
 
 
+def read_state(decisions: DataFrame, keys=("model_version",)) -> DataFrame:
+    """What stored decisions leave to the next run, one row per model: streak, last
+    retrain and last number. Decisions are in order of window time."""
+    last = F.max_by(F.struct("confirmed_streak", "last_retrain_at"), F.struct("now", "seq"))
+    return decisions.groupBy(*keys).agg(last.alias("_s"), F.max("seq").alias("last_seq")).select(
+        *keys, F.col("_s.confirmed_streak").alias("streak"), F.col("_s.last_retrain_at").alias("last_retrain_at"),
+        "last_seq")
+
+
 def history_tail(decisions: DataFrame, keys=("model_version",), n: int = 50) -> DataFrame:
-    """The last ``n`` history rows per model (HALT windows excluded)."""
-    w = Window.partitionBy(*keys).orderBy(F.col("seq").desc())
+    """The last ``n`` history rows per model by window time (HALT windows excluded)."""
+    w = Window.partitionBy(*keys).orderBy(F.col("now").desc(), F.col("seq").desc())
     return (decisions.where("in_history").select("*", F.row_number().over(w).alias("pos"))
             .where(F.col("pos") <= n))
 

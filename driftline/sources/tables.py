@@ -107,14 +107,3 @@ def documents_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.round(F.col("n_chars") / (F.col("n_chars") + 1500.0), 4).alias("score"),
                     F.col("toxic").cast("int").alias("label")))
 
-
-def embeddings_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``embeddings`` as (row_id, batch_id, feature, value): 64 features d00..d63;
-    even vec_id = reference, odd = batch."""
-    emb = read_table(spark, sf_dir, "embeddings")
-    return emb.select(
-        F.col("vec_id").cast("string").alias("row_id"),
-        F.when(F.col("vec_id") % 2 == 0, "reference").otherwise("current").alias("batch_id"),
-        F.posexplode("embedding").alias("pos", "v")).select(
-        "row_id", "batch_id", F.format_string("d%02d", "pos").alias("feature"),
-        F.col("v").cast("double").alias("value"))

@@ -21,8 +21,10 @@ from pyspark.sql.types import StructType
 from driftline.functions.columns import flagged
 from driftline.operators import quality
 from driftline.operators.profile import Profile
-from driftline.plans.monitor import window_report
+from driftline.operators.drift import feature_drift
+from driftline.plans.monitor import monitor, nested_report, window_report
 from driftline.plans.policy import Policy
+from driftline.sources.sinks import read_state
 
 
 def file_batches(spark: SparkSession, source_dir: str, schema: StructType, fmt: str = "parquet",
@@ -36,12 +38,32 @@ def file_batches(spark: SparkSession, source_dir: str, schema: StructType, fmt:
 
 def monitor_files(spark: SparkSession, source_dir: str, schema: StructType, profile: Profile,
                   policy: Policy, threshold: float, checkpoint_dir: str, reports_dir: str,
-                  monitored: Sequence[str] | None = None, label: str = "label") -> None:
-    """Run the window report over each newly arrived file exactly once.
-    Retried micro-batches overwrite their own epoch folder (idempotent)."""
+                  monitored: Sequence[str] | None = None, label: str = "label",
+                  decisions_dir: str | None = None, now=None) -> None:
+    """Run the window report over each newly arrived file exactly once. With
+    ``decisions_dir`` the ladder runs, too: decisions are stored per epoch, and each
+    epoch starts from the state that the earlier ones left. Retried micro-batches
+    overwrite their own epoch folder (idempotent)."""
     def _process(batch: DataFrame, epoch_id: int) -> None:
-        rep = window_report(batch, profile, policy, threshold, monitored, label)
-        rep.write.mode("overwrite").parquet(os.path.join(reports_dir, f"epoch={epoch_id}"))
+        batch = batch.persist()          # read once for the report and its joins
+        try:
+            out = os.path.join(reports_dir, f"epoch={epoch_id}")
+            if decisions_dir is None:
+                window_report(batch, profile, policy, threshold, monitored, label).write.mode("overwrite").parquet(out)
+                return
+            session = batch.sparkSession
+            state = None
+            if epoch_id:
+                earlier = session.read.parquet(decisions_dir).where(F.col("epoch") < epoch_id)
+                state = read_state(earlier)
+            drift_rows = feature_drift(batch, profile, policy, monitored)
+            made = monitor(batch, profile, policy, threshold, now=now, monitored=monitored, label=label,
+                           state=state, drift_rows=drift_rows).persist()
+            made.write.mode("overwrite").parquet(os.path.join(decisions_dir, f"epoch={epoch_id}"))
+            nested_report(made, drift_rows).write.mode("overwrite").parquet(out)
+            made.unpersist()
+        finally:
+            batch.unpersist()
 
     q = (file_batches(spark, source_dir, schema).writeStream.foreachBatch(_process)
          .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
@@ -63,10 +85,13 @@ def daily_windows(stream: DataFrame, ts: str, value: str, score: str, label: str
 
 
 def late_labels(scores: DataFrame, labels: DataFrame, key: str, ts: str | None, now, delay_days: int,
-                batch: str = "batch_id") -> DataFrame:
-    """Stored scores left-joined to the labels that have arrived; only
-    windows whose newest event is at least ``delay_days`` old are graded."""
-    joined = scores.join(labels, key, "left")
+                batch: str = "batch_id", label: str = "label", arrived: str | None = None) -> DataFrame:
+    """Stored scores left-joined to the labels that have arrived (of several for one
+    key the newest by ``arrived``, else the largest); only windows whose newest event
+    is at least ``delay_days`` old are graded."""
+    newest = F.max_by(label, arrived) if arrived else F.max(label)
+    one = labels.groupBy(key).agg(newest.alias(label))
+    joined = scores.drop(label).join(one, key, "left")
     mature = quality.label_maturity(scores, [batch], ts, now, delay_days).where("mature").select(batch)
     return joined.join(mature, batch, "left_semi")
 
@@ -83,6 +108,7 @@ def _ladder_step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterat
     if state.exists:
         streak, last = state.get
         last = None if last is None or pd.isna(last) else int(last)
+    # one row per window: a backfill of thousands is a few hundred kB
     rows = pd.concat(list(pdfs)).sort_values("seq")
     out = []
     for r in rows.itertuples(index=False):

@@ -1,53 +1,61 @@
-"""Brute-force NumPy references used by the tests."""
-import numpy as np
-
-
-def np_edges(values, bins=10):
-    a = np.asarray(values, dtype=float)
-    a = a[np.isfinite(a)]
-    e = np.unique(np.quantile(a, np.linspace(0, 1, bins + 1)))
-    if e.size < 2:
-        e = np.array([e[0], e[0] + 1e-6])
-    e = e.astype(float)
-    e[0], e[-1] = -np.inf, np.inf
-    return e
-
-
-def np_props(values, edges):
-    a = np.asarray(values, dtype=float)
-    a = a[np.isfinite(a)]
-    c, _ = np.histogram(a, bins=edges)
-    return c / c.sum() if c.sum() else np.full(len(edges) - 1, np.nan)
-
-
-def np_psi(e, a):
-    e = np.clip(e, 1e-6, None)
-    a = np.clip(a, 1e-6, None)
-    return float(np.sum((a - e) * np.log(a / e)))
-
-
-def np_ks(a, b):
-    a = np.sort(np.asarray(a, float)[np.isfinite(a)])
-    b = np.sort(np.asarray(b, float)[np.isfinite(b)])
-    x = np.concatenate([a, b])
-    return float(np.max(np.abs(np.searchsorted(a, x, "right") / a.size - np.searchsorted(b, x, "right") / b.size)))
-
-
-def np_ap(y, s):
-    y, s = np.asarray(y), np.asarray(s, float)
-    order = np.argsort(-s, kind="mergesort")
-    y, s = y[order], s[order]
-    distinct = np.where(np.diff(s))[0]
-    idx = np.r_[distinct, y.size - 1]
-    tps = np.cumsum(y)[idx]
-    fps = (1 + idx) - tps
-    prec = tps / (tps + fps)
-    rec = tps / tps[-1]
-    return float(np.sum(np.diff(np.r_[0, rec]) * prec))
-
-
-def np_auc(y, s):
-    y, s = np.asarray(y), np.asarray(s, float)
-    pos, neg = s[y == 1], s[y == 0]
-    gt = (pos[:, None] > neg[None, :]).sum() + 0.5 * (pos[:, None] == neg[None, :]).sum()
-    return float(gt / (pos.size * neg.size))
+"""Slow forms of the statistics, written from their definitions, for the tests."""
+import bisect
+import math
+
+
+def finite(values):
+    return [float(v) for v in values if math.isfinite(v)]
+
+
+def quantile(ordered, p):
+    """Linear interpolation between the order statistics around position p (n - 1)."""
+    at = p * (len(ordered) - 1)
+    low = math.floor(at)
+    high = min(low + 1, len(ordered) - 1)
+    return ordered[low] + (ordered[high] - ordered[low]) * (at - low)
+
+
+def inner_edges(values, bins=10):
+    """Edges between the quantile bins; values that repeat give fewer bins."""
+    ordered = sorted(finite(values))
+    edges = sorted({quantile(ordered, i * (1.0 / bins)) for i in range(bins + 1)})
+    return edges[1:-1]
+
+
+def shares(values, inner):
+    """Share of the finite values in each half-open bin; the outer bins are open."""
+    counts = [0] * (len(inner) + 1)
+    for v in finite(values):
+        counts[bisect.bisect_right(inner, v)] += 1
+    return [c / sum(counts) for c in counts]
+
+
+def stability_index(expected, actual, least=1e-6):
+    total = 0.0
+    for e, a in zip(expected, actual):
+        e, a = max(e, least), max(a, least)
+        total += (a - e) * math.log(a / e)
+    return total
+
+
+def ks_distance(a, b):
+    a, b = sorted(finite(a)), sorted(finite(b))
+    return max(abs(bisect.bisect_right(a, x) / len(a) - bisect.bisect_right(b, x) / len(b)) for x in a + b)
+
+
+def average_precision(labels, scores):
+    """Precision at each distinct score, weighted by the positives found there."""
+    total, positives = 0.0, sum(labels)
+    for s in sorted(set(scores), reverse=True):
+        above = [y for y, x in zip(labels, scores) if x >= s]
+        here = sum(y for y, x in zip(labels, scores) if x == s)
+        total += here / positives * (sum(above) / len(above))
+    return total
+
+
+def roc_area(labels, scores):
+    """Share of pairs of a positive and a negative in the right order, ties half."""
+    pos = sorted(s for y, s in zip(labels, scores) if y == 1)
+    neg = sorted(s for y, s in zip(labels, scores) if y == 0)
+    won = sum(bisect.bisect_left(neg, p) + (bisect.bisect_right(neg, p) - bisect.bisect_left(neg, p)) / 2 for p in pos)
+    return won / (len(pos) * len(neg))

@@ -36,3 +36,38 @@ def test_no_single_partition_exchange(spark, name):
     df.write.format("noop").mode("overwrite").save()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not re.search(r"Exchange SinglePartition", plan), plan
+
+
+def test_score_and_drift_measures_move_summaries_only(spark):
+    """Continuous features and scores: no shuffle of PSI, threshold metrics, score drift
+    or the sweep carries more than windows x features rows per map task."""
+    from bench import shuffled_rows
+    from driftline.operators import quality, recalibrate
+    from driftline.operators.drift import feature_drift, prediction_drift
+    from driftline.operators.profile import build_profile
+    from driftline.plans.policy import Policy
+    df = spark.range(0, 60_000, 1, 6).select(
+        F.concat(F.lit("b"), (F.col("id") % 3).cast("string")).alias("batch_id"),
+        *[F.randn(i).alias(f"f{i}") for i in range(3)], F.rand(9).alias("score"),
+        (F.rand(10) < 0.1).cast("int").alias("label"))
+    prof = build_profile(df, ["f0", "f1", "f2"], 0.5, "m").frozen()
+    for made, most in ((feature_drift(df, prof, Policy(), with_ks=False), 3 * 3 * 6),
+                       (quality.threshold_metrics(df, ["batch_id"], 0.5), 3 * 6),
+                       (prediction_drift(df, prof, 0.5), 3 * 6),
+                       (recalibrate.threshold_sweep(df, ["batch_id"]), 3 * 96 * 6)):
+        assert 0 < max(shuffled_rows(made)) <= most
+
+
+def test_ks_does_not_move_the_reference(spark):
+    from bench import shuffled_rows
+    from driftline.operators.drift import ks_statistics, value_counts
+    from driftline.operators.profile import build_profile
+    ref = spark.range(50_000).select(F.randn(1).alias("a"))
+    cur = spark.range(1_000).select(F.lit("b").alias("batch_id"), F.randn(2).alias("a"))
+    prof = build_profile(ref, ["a"], 0.5, "m", label_col=None, baseline=False).frozen()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = shuffled_rows(ks_statistics(value_counts(cur, ["a"]), prof.features, prof.ks))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert max(rows) <= 1_000 * 2

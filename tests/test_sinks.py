@@ -1,4 +1,5 @@
 """Sinks: profile round trip, JSON nulls, sweep files, audit records."""
+import datetime as dt
 import json
 import os
 import tempfile
@@ -53,10 +54,10 @@ def test_promotion_record_written_for_reject(spark):
 
 
 def test_sweep_and_proposal_files(spark):
-    from driftline.operators import quality, recalibrate
+    from driftline.operators import recalibrate
     df = spark.createDataFrame([("g", i / 100.0, int(i > 70)) for i in range(100)],
                                "grp string, score double, label int")
-    sw = recalibrate.threshold_sweep(quality.score_groups(df, ["grp"]), ["grp"])
+    sw = recalibrate.threshold_sweep(df, ["grp"])
     best = recalibrate.pick_max_f1(sw, ["grp"])
     prop = recalibrate.proposal(best, 0.8, recalibrate.f1_rule(), "v1")
     out = tempfile.mkdtemp(prefix="dl-sweep-")
@@ -70,11 +71,34 @@ def test_sweep_and_proposal_files(spark):
 
 def test_decision_history_tail(spark):
     from driftline.sources.sinks import append_decisions, history_tail
-    rows = [("m", i, f"w{i}", "NO_ACTION" if i % 7 else "HALT", i % 7 != 0) for i in range(1, 121)]
-    df = spark.createDataFrame(rows, "model_version string, seq int, batch_id string, action string, "
-                                     "in_history boolean")
+    from driftline.sources.sinks import read_state
+    start = dt.datetime(2026, 1, 1)
+    # the second run numbers its windows from 1 again: order is by window time
+    rows = [("m", (i - 1) % 60 + 1, f"w{i}", start + dt.timedelta(i), "NO_ACTION" if i % 7 else "HALT", i % 7 != 0,
+             i % 5, start + dt.timedelta(i // 50 * 50)) for i in range(1, 121)]
+    df = spark.createDataFrame(rows, "model_version string, seq int, batch_id string, now timestamp, action string, "
+                                     "in_history boolean, confirmed_streak int, last_retrain_at timestamp")
     path = os.path.join(tempfile.mkdtemp(prefix="dl-hist-"), "decisions")
     append_decisions(df, path)
     tail = history_tail(spark.read.parquet(path), n=50).collect()
     assert len(tail) == 50 and all(r.in_history for r in tail)
-    assert max(r.seq for r in tail) == 120 - (120 % 7 == 0)
+    assert [r.batch_id for r in sorted(tail, key=lambda r: r.pos)][:3] == ["w120", "w118", "w117"]
+    state = read_state(spark.read.parquet(path)).first()
+    assert (state.streak, state.last_seq, state.last_retrain_at) == (0, 60, start + dt.timedelta(100))
+
+
+def test_monitor_carries_on_from_stored_decisions(spark):
+    from driftline.plans.monitor import monitor, month_start
+    from driftline.sources.sinks import append_decisions, history_tail, read_state
+    fx = txn_fixture(spark, SF01)
+    whole = monitor(fx.windows, fx.profile, fx.policy, fx.threshold, now=month_start()).collect()
+    path = os.path.join(tempfile.mkdtemp(prefix="dl-state-"), "decisions")
+    for part, first in ((fx.windows.where("batch_id < '2000-12'"), True), (fx.windows.where("batch_id >= '2000-12'"), False)):
+        state = None if first else read_state(spark.read.parquet(path))
+        made = monitor(part, fx.profile, fx.policy, fx.threshold, now=month_start(), state=state)
+        append_decisions(made.select("model_version", "seq", "batch_id", "now", "action", "in_history",
+                                     "confirmed_streak", "last_retrain_at"), path)
+    got = {r.batch_id: (r.seq, r.action, r.confirmed_streak) for r in spark.read.parquet(path).collect()}
+    assert got == {r.batch_id: (r.seq, r.action, r.confirmed_streak) for r in whole}
+    last = history_tail(spark.read.parquet(path), n=2).orderBy("pos").collect()
+    assert [r.batch_id for r in last] == sorted((r.batch_id for r in whole if r.in_history), reverse=True)[:2]

@@ -6,10 +6,10 @@ import tempfile
 from pyspark.sql import functions as F
 
 from driftline.plans.fixture import txn_fixture
-from driftline.plans.monitor import literal_policy, month_start, window_report, with_signals
+from driftline.plans.monitor import literal_policy, month_start, monitor, window_report, with_signals
 from driftline.operators.decision import decide
 from driftline.sources.tables import events_scored
-from driftline.streaming.stream import daily_windows, ladder_inputs, monitor_files, stateful_ladder
+from driftline.streaming.stream import daily_windows, ladder_inputs, late_labels, monitor_files, stateful_ladder
 from tests.conftest import SF01
 
 
@@ -31,11 +31,28 @@ def test_file_windows_processed_once(spark):
     want = {r.batch_id: (r.n_rows, round(r.max_psi, 9), r.perf_status) for r in batch.collect()}
     got = {r.batch_id: (r.n_rows, round(r.max_psi, 9), r.perf_status) for r in reps.collect()}
     assert got == want
+    # with the ladder: decisions equal the batch pass, state carried from epoch to epoch
+    ck2, out2, dec = (tempfile.mkdtemp(prefix=f"dl-{x}-") for x in ("ck2", "out2", "dec"))
+    dec = os.path.join(dec, "decisions")
+    monitor_files(spark, src, schema, fx.profile, fx.policy, fx.threshold, ck2, out2, decisions_dir=dec, now=month_start())
+    want = {r.batch_id: (r.action, r.confirmed_streak) for r in monitor(
+        fx.windows.where(F.col("batch_id").isin(*months)), fx.profile, fx.policy, fx.threshold, now=month_start()).collect()}
+    assert {r.batch_id: (r.action, r.confirmed_streak) for r in spark.read.parquet(dec).collect()} == want
+    nested = spark.read.parquet(out2).first()
+    assert len(nested.features) == 4 and nested.decision.action == want[nested.batch_id][0]
     # a second run over the same checkpoint finds no new file
     monitor_files(spark, src, schema, fx.profile, fx.policy, fx.threshold, ck, out)
     assert spark.read.parquet(out).count() == 3
 
 
+def test_late_labels_keep_the_newest_and_wait(spark):
+    scores = spark.createDataFrame([("a", "b1", "2025-01-01", 0.9), ("b", "b1", "2025-01-05", 0.1),
+                                    ("c", "b2", "2025-02-20", 0.5)], "k string, batch_id string, ts string, score double")
+    labels = spark.createDataFrame([("a", 0, 1), ("a", 1, 2), ("c", 1, 1)], "k string, label int, at int")
+    got = late_labels(scores, labels, "k", "ts", F.lit("2025-03-01 00:00:00"), 30, arrived="at").collect()
+    assert sorted((r.k, r.label) for r in got) == [("a", 1), ("b", None)]
+
+
 def test_daily_windows_watermark_holds_back_open_days(spark):
     src = tempfile.mkdtemp(prefix="dl-ev-")
     events_scored(spark, SF01).write.parquet(os.path.join(src, "part"))
