@@ -163,3 +163,27 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 13, s
     rows, names = masked(docs)
     return scan(rows, benchmark, list(names.values()), size, names[text]).filter(~is_contaminated(share)) \
         .select(*unmasked(names))
+
+
+#: The contract's columns of scan() in DuckDB SQL.
+SQL = r"""
+WITH it AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark WHERE item_id IS NOT NULL),
+iw AS (SELECT DISTINCT item, list_slice(ws, i, i + least(13, len(ws)) - 1) AS k
+       FROM it, unnest(generate_series(1, greatest(1, len(ws) - 12))) AS u(i) WHERE len(ws) > 0),
+d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+sizes AS (SELECT DISTINCT len(k) AS n FROM iw),
+dw AS (SELECT rid, i, n, list_slice(ws, i, i + n - 1) AS k
+       FROM d, sizes, unnest(generate_series(1, len(ws) - n + 1)) AS u(i)),
+hit AS (SELECT rid, i, n, item FROM dw JOIN iw USING (k)),
+cov AS (SELECT rid, count(DISTINCT p) AS n_hit FROM hit, unnest(generate_series(i, i + n - 1)) AS v(p) GROUP BY rid),
+found AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s
+          FROM (SELECT DISTINCT rid, item FROM hit) GROUP BY rid)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(s, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN cov USING (rid) LEFT JOIN found USING (rid)
+"""

@@ -88,4 +88,4 @@ def llm_registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_sql() -> dict[str, str]:
-    return {"op1_quality": quality.SQL}
+    return {"op1_quality": quality.SQL, "op8_decontaminate": decontaminate.SQL}
