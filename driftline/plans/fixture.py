@@ -8,9 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from driftline.operators.profile import Profile, build_profile
 from driftline.plans.policy import FIXTURE_POLICY, Policy
-from driftline.session import freeze
-from driftline.sources.tables import (TXN_FEATURES, TXN_THRESHOLD, txn, txn_reference,
-                                      txn_windows)
+from driftline.plans.views import TXN_FEATURES, TXN_THRESHOLD, txn, txn_reference, txn_windows
 
 MODEL_VERSION = "champion-1"
 
@@ -37,7 +35,8 @@ def txn_fixture(spark: SparkSession, sf_dir: str, freeze_profile: bool = True) -
     if key in _CACHE and _CACHE[key][0] is spark:
         return _CACHE[key][1]
     ref = txn_reference(spark, sf_dir)
-    prof = build_profile(ref, TXN_FEATURES, TXN_THRESHOLD, MODEL_VERSION, materialize=freeze_profile)
+    prof = build_profile(ref, TXN_FEATURES, TXN_THRESHOLD, MODEL_VERSION, FIXTURE_POLICY.psi_bins,
+                         materialize=freeze_profile)
     if freeze_profile:
         prof = frozen_profile(prof, "txn-profile")
     fx = Fixture(ref, txn_windows(spark, sf_dir), prof, FIXTURE_POLICY)

@@ -10,7 +10,7 @@ from driftline.operators.gate import PROMOTE, REJECT
 from driftline.operators.recalibrate import f1_rule, recall_rule, sweep_thresholds
 from driftline.plans.policy import FIXTURE_POLICY as FP
 from driftline.plans.policy import OVERLAYS, Policy, for_env, policy_fields
-from driftline.sources.tables import COVARIATE_MONTHS, CONCEPT_MONTHS, TXN_FEATURES
+from driftline.plans.views import CONCEPT_MONTHS, COVARIATE_MONTHS, TXN_FEATURES
 
 T = 0.8
 

@@ -24,10 +24,10 @@ from driftline.plans.monitor import (backtest, literal_policy, month_start, moni
                                      performance_block, score_and_monitor, window_report)
 from driftline.plans import monitor as monitor_plan
 from driftline.plans.policy import FIXTURE_POLICY, Policy, for_env, policy_table
+from driftline.plans.views import (TXN_FEATURES, TXN_THRESHOLD, documents_scored, events_scored, txn)
 from driftline.session import ensure_checkpoint_dir
 from driftline.sources.sinks import history_tail, nonfinite_to_null
-from driftline.sources.tables import (TXN_FEATURES, TXN_THRESHOLD, documents_scored, events_scored, load_batch,
-                                      read_table, txn)
+from driftline.sources.tables import load_batch, read_table
 from driftline.streaming import stream
 
 Q = Callable[[SparkSession, str], DataFrame]
@@ -371,7 +371,7 @@ def _doc_profile(spark, sf):
 @query
 def label_maturity(spark, sf):
     ev = events_scored(spark, sf)
-    m = quality.label_maturity(ev, ["batch_id"], "event_time", F.lit(EVENTS_NOW), 30)
+    m = quality.label_maturity(ev, ["batch_id"], "event_time", F.lit(EVENTS_NOW), Policy().label_delay_days)
     return finalize(m.select("batch_id", "mature"))
 
 
@@ -575,7 +575,7 @@ def gate_result(spark, sf):
 def training_window(spark, sf):
     orders = read_table(spark, sf, "orders").select(
         "o_orderkey", F.unix_timestamp(F.col("o_orderdate").cast("timestamp")).alias("Time"))
-    w = gate.training_window(orders, "Time", holdout_days=30, rolling_window_days=180)
+    w = gate.training_window(orders, "Time", Policy().holdout_days, Policy().rolling_window_days)
     return finalize(w.select("o_orderkey", "split"))
 
 
@@ -624,7 +624,8 @@ def late_labels_join(spark, sf):
     newest = read_table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("row_id"),
                                                     F.col("toxic").alias("label"), F.lit(2).alias("arrived"))
     earlier = newest.select("row_id", (1 - F.col("label")).alias("label"), F.lit(1).alias("arrived"))
-    joined = stream.late_labels(docs, newest.unionByName(earlier), "row_id", None, F.lit(EVENTS_NOW), 30,
+    joined = stream.late_labels(docs, newest.unionByName(earlier), "row_id", None, F.lit(EVENTS_NOW),
+                                DOC_POLICY.label_delay_days,
                                 batch="lang", arrived="arrived")
     perf = quality.performance(joined, ["lang"], 0.5)
     totals = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n_scored"))

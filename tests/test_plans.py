@@ -13,12 +13,33 @@ from tests.conftest import SF001
 # and 20,000 batch values per feature.
 GOLDEN_KS = [
     (0.005850000000000022, 0.8814432612858475),
+    (0.007450000000000068, 0.632793350220073),
+    (0.009800000000000031, 0.2901752098048599),
+    (0.009700000000000042, 0.30162000901228003),
     (0.00990000000000002, 0.27904204582520264),
+    (0.006299999999999972, 0.8198036866515741),
+    (0.006350000000000022, 0.8123573009812199),
+    (0.005650000000000044, 0.9051240941270082),
     (0.014100000000000001, 0.03715908391436351),
+    (0.010000000000000009, 0.2682191277029181),
+    (0.008750000000000036, 0.4257468753812823),
+    (0.014799999999999924, 0.024781996158042108),
+    (0.00495000000000001, 0.9660453636792142),
+    (0.012400000000000078, 0.09158823199051669),
+    (0.007550000000000057, 0.6159676479968266),
     (0.00495000000000001, 0.9660453636792142),
     (0.013050000000000006, 0.06576339470777692),
+    (0.006849999999999912, 0.7333159767966685),
+    (0.01050000000000001, 0.21867463645335317),
+    (0.0041999999999999815, 0.9942387306878446),
     (0.005349999999999966, 0.9355826254004891),
+    (0.008900000000000005, 0.4043450231304503),
+    (0.007500000000000007, 0.6243741569816843),
+    (0.00655, 0.7816295263399751),
     (0.009050000000000002, 0.38359729921950303),
+    (0.007249999999999979, 0.666519467755871),
+    (0.008650000000000047, 0.44036593899640386),
+    (0.010799999999999976, 0.19248149881260368),
     (0.007199999999999984, 0.6749428955819712),
 ]
 

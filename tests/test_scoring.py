@@ -12,7 +12,7 @@ from driftline.operators.reshape import MissingFeaturesError
 from driftline.operators.signals import all_signals
 from driftline.plans.monitor import literal_policy
 from driftline.plans.policy import Policy
-from driftline.sources.tables import load_batch
+from driftline.sources.tables import batch_schema, load_batch
 
 
 class LogisticStub:
@@ -69,6 +69,9 @@ def test_load_batch_by_suffix(spark):
     a = load_batch(spark, os.path.join(d, "b.csv")).orderBy("V1").collect()
     b = load_batch(spark, os.path.join(d, "b.parquet")).orderBy("V1").collect()
     assert [tuple(r) for r in a] == [tuple(r) for r in b] == [(1.5, 0), (2.5, 1)]
+    schema = batch_schema(["V1"], time=None)
+    typed = load_batch(spark, os.path.join(d, "b.csv"), schema)
+    assert typed.schema == schema and [tuple(r) for r in typed.orderBy("V1").collect()] == [(1.5, 0), (2.5, 1)]
 
 
 def test_signal_messages(spark):

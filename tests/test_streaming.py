@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from driftline.plans.fixture import txn_fixture
 from driftline.plans.monitor import literal_policy, month_start, monitor, window_report, with_signals
 from driftline.operators.decision import decide
-from driftline.sources.tables import events_scored
+from driftline.plans.views import events_scored
 from driftline.streaming.stream import daily_windows, ladder_inputs, late_labels, monitor_files, stateful_ladder
 from tests.conftest import SF01
 
