@@ -13,9 +13,9 @@ from pyspark.sql import types as T
 
 from driftline.session import freeze
 
-#: Rows of text handed to a Python worker at once. Texts can be 100 kB and more,
-#: so Spark's default of 10,000 rows a batch would not bound a worker's memory.
-BATCH_ROWS = 256
+#: Bytes handed to a Python worker at once. Texts can be 100 kB and more, so Spark's
+#: default of 10,000 rows a batch would not bound a worker's memory.
+BATCH_BYTES = 8 << 20
 
 #: Every character that separates words in the contracts: space and \t to \r.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -26,7 +26,8 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Hand this package to the executors' Python workers, once per Spark context."""
+    """Hand this package to the executors' Python workers, once per Spark context: Spark
+    serves the archive to them; its place is a folder of the driver's alone."""
     sc = spark.sparkContext
     if getattr(sc, "_driftline_shipped", False):
         return
@@ -44,9 +45,9 @@ def ship(spark: SparkSession) -> None:
 
 def map_in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
                  schema) -> DataFrame:
-    """mapInArrow with small batches and this package on the workers."""
+    """mapInArrow with batches of bounded size and this package on the workers."""
     ship(df.sparkSession)
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df.mapInArrow(run, schema)
 
 

@@ -7,10 +7,11 @@ words to one that no window contains), the automaton scans the whole document
 once, and word positions of the matches lead back to character offsets of the
 original text.
 
-The benchmark is split into blocks of at most ``block`` windows, one automaton each
-(one block for the usual sizes), and each automaton is broadcast by itself, so
-its size is bounded whatever the benchmark holds. Documents go past every block;
-hits of several blocks are merged per document inside the same task.
+The benchmark is the query set: its windows go through the driver and a worker holds
+their automata, so memory grows with the benchmark and not with the documents. It is
+split into blocks of at most ``block`` windows, one automaton each (one block for the
+usual sizes), which bounds what is built or broadcast at once. Documents go past every
+block; hits of several blocks are merged per document inside the same task.
 
 Cases: null texts have no words; an item without words gives no window; an item
 shorter than a window is one window; equal windows of several items count for
