@@ -71,6 +71,12 @@ PRIOR = {"exact": 0.95, "fuzzy": 0.6, "exact quoted": 0.25, "fuzzy quoted": 0.15
 PRIOR_ROWS, FUZZY_ROWS = 20, 4
 
 
+def fold(text: str | None) -> str:
+    """Lower case, character by character, so that offsets are those of the text."""
+    low = (text or "").lower()
+    return low if len(low) == len(text or "") else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+
+
 class Lexicon:
     """Trie of (term, is_stem, weight) with the product automaton of distance 1."""
 
@@ -178,7 +184,7 @@ class Scorer:
 
     def matches(self, text: str | None) -> list[dict]:
         """Matches of a text: start, end (characters), term, kind."""
-        low = (text or "").lower()
+        low = fold(text)
         hits = {t for t in set(_TOKEN.findall(low)) if self.word(t) is not None}
         if not hits:
             return []
@@ -226,7 +232,8 @@ class Scorer:
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """(text, toxic) of the labelled documents with crc32(doc_id) mod 4 other than 2,
-    thinned evenly by a hash of the id to about ``sample`` rows, equal texts once."""
+    thinned evenly by a hash of the id to about ``sample`` rows. Equal texts are one
+    row, toxic if any of their labels says so."""
     lab = labels.filter("doc_id is not null and toxic is not null").filter(crc_mod(F.col("doc_id"), 4) != 2) \
         .groupBy("doc_id").agg(F.max("toxic").alias("__toxic"))
     n = lab.count()
@@ -235,12 +242,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
     rows = docs.select("doc_id", F.col("text").alias("__text"))
     # the sample's ids and labels: at most about 20,000 rows of 12 bytes
     found = rows.join(F.broadcast(lab), "doc_id").select(F.col("__text").alias("text"), F.col("__toxic").alias("toxic"))
-    return freeze(found.dropDuplicates(["text"]), "toxic-sample")
+    return freeze(found.groupBy("text").agg(F.max("toxic").alias("toxic")), "toxic-sample")
 
 
 def _first_contexts(text: str | None) -> dict[str, int]:
     """Each word of a text with a hash of the word that follows its first place."""
-    words = _TOKEN.findall((text or "").lower())
+    words = _TOKEN.findall(fold(text))
     return dict(zip(reversed(words), reversed([zlib.crc32(w.encode()) for w in words[1:]] + [0])))
 
 
