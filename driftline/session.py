@@ -48,6 +48,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+#: Tables written by freeze() and freeze_bucketed(), by Spark application.
+_FROZEN: dict[str, list[str]] = {}
+
+
+def drop_frozen(spark: SparkSession) -> int:
+    """Delete the tables that this application froze (their readers must be done) and
+    return their number. Each has a name of its own, so nothing else is touched."""
+    paths = _FROZEN.pop(spark.sparkContext.applicationId, [])
+    conf = spark._jsc.hadoopConfiguration()
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    return len(paths)
+
+
 def freeze(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table under the session's checkpoint folder and
     read it back: cuts lineage and survives executor loss (unlike local
@@ -55,6 +70,7 @@ def freeze(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark)
     path = os.path.join(root, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    _FROZEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
@@ -67,6 +83,7 @@ def freeze_bucketed(df: DataFrame, name: str, columns: list[str]) -> DataFrame:
     n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     table = f"{name}-{uuid.uuid4().hex[:12]}"
     path = os.path.join(root, "tables", table)
+    _FROZEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     (df.repartition(n, *columns).write.mode("overwrite").bucketBy(n, *columns).sortBy(*columns)
      .option("path", path).format("parquet").saveAsTable(table.replace("-", "_")))
     return spark.table(table.replace("-", "_"))

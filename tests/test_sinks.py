@@ -102,3 +102,23 @@ def test_monitor_carries_on_from_stored_decisions(spark):
     assert got == {r.batch_id: (r.seq, r.action, r.confirmed_streak) for r in whole}
     last = history_tail(spark.read.parquet(path), n=2).orderBy("pos").collect()
     assert [r.batch_id for r in last] == sorted((r.batch_id for r in whole if r.in_history), reverse=True)[:2]
+
+
+def test_frozen_tables_are_dropped(spark, monkeypatch):
+    from driftline import session
+    monkeypatch.setattr(session, "_FROZEN", {})
+    df = session.freeze(spark.range(5), "scratch")
+    assert df.count() == 5
+    path = session._FROZEN[spark.sparkContext.applicationId][0]
+    assert session.drop_frozen(spark) == 1 and session.drop_frozen(spark) == 0
+    assert not os.path.exists(path.removeprefix("file:"))
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from driftline.session import ensure_checkpoint_dir
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: None),
+                           sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(fake)
