@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from driftline.llm.common import map_columns
 
 #: Entries of the per-worker memo tables; a full table is emptied, never a result.
-MEMO = 600_000
+MEMO = 300_000
 
 
 class Codec:

@@ -15,7 +15,7 @@ from driftline.session import freeze
 
 #: Bytes handed to a Python worker at once. Texts can be 100 kB and more, so Spark's
 #: default of 10,000 rows a batch would not bound a worker's memory.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 #: Every character that separates words in the contracts: space and \t to \r.
 BLANKS = " \t\n\x0b\x0c\r"

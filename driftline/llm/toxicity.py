@@ -177,7 +177,7 @@ class Scorer:
         found = self.lexicon.match(token)
         if found is None and not token.isalpha() and not token.isdigit():
             found = self.lexicon.match(token.translate(_LEET))
-        if len(self._known) >= 500_000:
+        if len(self._known) >= 200_000:
             self._known.clear()
         self._known[token] = found
         return found
