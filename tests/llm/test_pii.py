@@ -44,6 +44,13 @@ def test_invalid_values_stay(spark):
     assert run(spark, texts) == texts
 
 
+def test_values_in_texts_without_digits(spark):
+    texts = ["write to john.doe@example.com", "john.doe@example.com of 1999", "AKIA" + "QWERTYUIOPASDFGH", "fade" * 8]
+    out = run(spark, texts)
+    assert out[0] == "write to " + out[1].split()[0] and "john.doe" not in out[0]
+    assert all(a != b for a, b in zip(out, texts))
+
+
 def test_a_permutation_of_each_format(spark):
     # all pairs of a small format, and all days of some years, hit every value once
     pairs = spark.range(35).select((F.col("id") / 7).cast("long").alias("x"), (F.col("id") % 7).alias("y"))
