@@ -31,8 +31,15 @@ ROUNDS = 8
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}(?![A-Za-z0-9])"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 ACCESS_KEY = r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])"
-ASSIGNED = r"(?<=password=)[^\s\"']{4,200}|(?<=token = \")[^\s\"]{8,200}(?=\")"
-HEX = r"(?<![A-Za-z0-9])[0-9a-f]{32,128}(?![A-Za-z0-9])"
+#: What stands between a key word and its value: =, :, := or =>, blanks, the quote that ends a quoted key.
+_SEP = r"[\"']?[ \t]{0,8}(?::=|=>|=|:)[ \t]{0,8}"
+_BEFORE = r"(?<=[=:>][ \t]{0,8}QUOTE)(?<=(?i:WORD)" + _SEP + "QUOTE)"
+#: A quoted value goes up to its quote, an unquoted one to the next blank or quote.
+ASSIGNED = "|".join(_BEFORE.replace("WORD", word).replace("QUOTE", quote) + value.replace("LEAST", least)
+                    for word, least in (("password", "4"), ("token", "8"))
+                    for quote, value in (('"', r"[^\"\r\n]{LEAST,}(?=\")"), ("'", r"[^'\r\n]{LEAST,}(?=')"),
+                                         ("[\"']?", r"[^\s\"']{LEAST,}")))
+HEX = r"(?<![A-Za-z0-9])[0-9A-Fa-f]{32,}(?![A-Za-z0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 DATE = (r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})"
         r"(?![0-9]|[./-][0-9])")
@@ -40,7 +47,7 @@ IP = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
 PHONE = (r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,3}(?![0-9])"
          r"|(?<![0-9(])\(?[0-9]{3}\)?[ .-][0-9]{3}[.-][0-9]{4}(?![0-9])")
 CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
-ANY = "|".join(f"(?:{p})" for p in (EMAIL, IBAN, ACCESS_KEY, ASSIGNED, HEX, SSN, DATE, IP, PHONE, CARD))
+ANY = "|".join(f"(?:{p})" for p in (ASSIGNED, EMAIL, IBAN, ACCESS_KEY, HEX, SSN, DATE, IP, PHONE, CARD))
 
 
 def _full(v: Column, pattern: str) -> Column:
@@ -90,19 +97,21 @@ def permute_chars(v: Column, key: str, kind: str, classes: tuple[str, ...] = _CL
 
     def shifted(part: Column, other: Column, r: Column) -> Column:
         # the classes of both parts are keyed input, which stays the same in every round
-        mac = lambda i: F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), r.cast("string"),
-                                           i.cast("string"), F.length(part).cast("string"), other), 256)
+        mac = lambda i, o: F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), r.cast("string"),
+                                              i.cast("string"), F.length(part).cast("string"), o), 256)
 
-        def one(c: Column, i: Column) -> Column:
+        def one(c: Column, i: Column, o: Column) -> Column:
             out = F.when(F.lit(False), c)
             for letters in classes:
                 at = F.instr(F.lit(letters), c)
                 n = len(letters)
                 out = out.when(at > 0, F.substr(F.lit(letters), F.pmod(
-                    at - 1 + F.conv(F.substring(mac(i), 1, 8), 16, 10).cast("bigint"), F.lit(n)).cast("int") + 1,
+                    at - 1 + F.conv(F.substring(mac(i, o), 1, 8), 16, 10).cast("bigint"), F.lit(n)).cast("int") + 1,
                     F.lit(1)))
             return out.otherwise(c)
-        return F.array_join(F.transform(F.split(part, ""), one), "")
+        # a long part is hashed once and not for every character of the other
+        return let(F.when(F.length(other) > 100, F.sha2(other, 256)).otherwise(other), lambda o: F.array_join(
+            F.transform(F.split(part, ""), lambda c, i: one(c, i, o)), ""))
 
     start = F.struct(F.substr(v, F.lit(1), half).alias("x"), F.substr(v, half + 1).alias("y"))
     out = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, lambda s, r: F.struct(
@@ -207,9 +216,12 @@ def _email(v, key):
 
 
 def _secret(v, key):
-    hexed = permute_chars(v, key, "hex", ("0123456789abcdef",))
+    hexed = lambda *classes: permute_chars(v, key, "hex", classes)
     return F.when(v.startswith("AKIA"), F.concat(F.lit("AKIA"), permute_chars(F.substr(v, F.lit(5)), key, "akia"))) \
-        .when(v.rlike("^[0-9a-f]+$"), hexed).otherwise(permute_chars(v, key, "secret"))
+        .when(v.rlike("^[0-9a-f]+$"), hexed("0123456789abcdef")) \
+        .when(v.rlike("^[0-9A-F]+$"), hexed("0123456789ABCDEF")) \
+        .when(v.rlike("^[0-9A-Fa-f]+$"), hexed("0123456789", "abcdef", "ABCDEF")) \
+        .otherwise(permute_chars(v, key, "secret"))
 
 
 #: (kind, pattern, pseudonym of a value with that pattern; invalid values come back unchanged)

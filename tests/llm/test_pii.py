@@ -51,6 +51,25 @@ def test_values_in_texts_without_digits(spark):
     assert all(a != b for a, b in zip(out, texts))
 
 
+def test_secrets_in_any_spelling_and_length(spark):
+    upper, mixed = "9233A8EC" * 5, "aB3dEf01" * 4
+    secrets = ["hunterx", "Tr0ub4dor" * 40, "abcdefgh" * 30, "ab12" * 60, upper, mixed, "correct horse", "p@ss.wort!"]
+    texts = [f"PASSWORD: {secrets[0]}", f"password={secrets[1]} end", f"Token = '{secrets[2]}'", f"x {secrets[3]} y",
+             f'TOKEN = "{upper}", {upper}', f"sha {mixed}", f'{{"password" : "{secrets[6]}"}}', f"password={secrets[7]}"]
+    out = run(spark, texts)
+    for was, text, secret in zip(texts, out, secrets):
+        before, after = was[:was.index(secret)], was[was.rindex(secret) + len(secret):]
+        assert text.startswith(before) and text.endswith(after) and len(text) == len(was)
+        for part in re.findall(r"\w{4,}", secret):
+            assert part not in text
+        if len(secret) > 200:
+            a, b = text[len(before):len(text) - len(after)], secret
+            assert all(a[i:i + 12] != b[i:i + 12] for i in range(0, len(b) - 12, 12))
+    assert re.fullmatch('TOKEN = "([0-9A-F]{40})", \\1', out[4]) and re.fullmatch("sha [0-9A-Fa-f]{32}", out[5])
+    plain = ["a password is needed", "the token of the day", "ABCDEF0123456789"]
+    assert run(spark, plain) == plain
+
+
 def test_a_permutation_of_each_format(spark):
     # all pairs of a small format, and all days of some years, hit every value once
     pairs = spark.range(35).select((F.col("id") / 7).cast("long").alias("x"), (F.col("id") % 7).alias("y"))
