@@ -13,7 +13,10 @@ The member of an interval that comes first by (document id, text hash, line) is
 original, all others are later copies. A later copy belongs to the widest interval
 it is a copy in, and copies that point at the same distance into the same earlier
 document and touch are one maximal run. A run with at least ``min_words`` words is
-deleted, with the blank lines that follow its lines. Nothing else changes.
+deleted, with the blank lines that follow its lines. Nothing else changes. Parts of a
+run may have their first copies in different documents; so the shortest runs with
+``min_words`` words from and to each line, which cover every longer one, are also
+compared as a whole, by the ranks of the windows that begin and end them.
 
 Every step is a partitioned aggregation or join over rows of line ids; counts and
 first members are combined before the shuffle, so a line that half of the corpus
@@ -71,10 +74,62 @@ def repeated_suffixes(docs: DataFrame, id_col: str = "doc_id", text: str = "text
         keys, width = ["rank", "next"], 2 * width
 
 
-def copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame | None:
+def shortest_runs(docs: DataFrame, min_words: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """(d, h, s, k): runs of k lines from line s that have ``min_words`` words, but not
+    without their last line or not without their first one. Every run with as many words
+    is a union of such runs, and has at most ``min_words`` lines in each."""
+    lines = F.filter(F.split(text, "\n", -1), lambda x: F.translate(x, BLANKS, "") != "")
+    counts = F.transform(lines, lambda x: F.regexp_count(x, F.lit(f"[^{BLANKS}]+")))
+    rows = docs.select(F.col(id_col).alias("d"), F.xxhash64(text).alias("h"), counts.alias("n")) \
+        .dropDuplicates(["d", "h"]).select("d", "h", F.posexplode("n").alias("s", "n"))
+    rows = rows.withColumn("upto", F.sum("n").over(W.partitionBy("d", "h").orderBy("s")
+                                                   .rowsBetween(W.unboundedPreceding, 0))) \
+        .withColumn("before", F.col("upto") - F.col("n"))
+    # each line has a word, so the lines that begin (end) fewer words away are the run
+    ahead = W.partitionBy("d", "h").orderBy("before").rangeBetween(0, min_words - 1)
+    back = W.partitionBy("d", "h").orderBy("upto").rangeBetween(1 - min_words, 0)
+    run = lambda over, s, k: F.when(F.sum("n").over(over) >= min_words,
+                                    F.struct(s(k).cast("int").alias("s"), k.cast("int").alias("k")))
+    both = F.array(run(ahead, lambda k: F.col("s"), F.count("*").over(ahead)),
+                   run(back, lambda k: F.col("s") - k + 1, F.count("*").over(back)))
+    return rows.select("d", "h", both.alias("runs")) \
+        .select("d", "h", F.explode(F.array_distinct(F.array_compact("runs"))).alias("r")).select("d", "h", "r.s", "r.k")
+
+
+def copied_runs(docs: DataFrame, levels: list[DataFrame], min_words: int, id_col: str, text: str) -> DataFrame | None:
+    """(d, h, s, k, first): later copies among the shortest runs with ``min_words`` words
+    whose length is no power of two. As in a query for the longest common prefix, k lines are
+    equal where the widest power of two below k is, at their beginning and at their end."""
+    ranks = None
+    for i, level in enumerate(levels):
+        if i and (1 << i) < min_words:
+            part = level.select("d", "h", "s", "rank", F.lit(1 << i).alias("w")).distinct()
+            ranks = part if ranks is None else ranks.unionByName(part)
+    if ranks is None:
+        return None
+    runs = shortest_runs(docs, min_words, id_col, text)
+    # 2, 4 and so on are ranks of their own
+    runs = runs.withColumn("w", F.pow(F.lit(2), F.length(F.conv(F.col("k").cast("string"), 10, 2)) - 1).cast("int")) \
+        .filter("k > w").distinct()
+    at = lambda n: ranks.select(*[F.col(c).alias(f"{n}_{c}") for c in ranks.columns])
+    meets = lambda n, s: (F.col("w") == F.col(f"{n}_w")) & F.col("d").eqNullSafe(F.col(f"{n}_d")) \
+        & (F.col("h") == F.col(f"{n}_h")) & (s == F.col(f"{n}_s"))
+    found = freeze(runs.join(at("a"), meets("a", F.col("s"))).join(at("b"), meets("b", F.col("s") + F.col("k") - F.col("w")))
+                   .select("d", "h", "s", "k", "a_rank", "b_rank"), "line-runs")
+    keys = ["k", "a_rank", "b_rank"]
+    firsts = found.groupBy(*keys).agg(F.count("*").alias("n"), F.min(F.struct("d", "h", "s")).alias("first")).filter("n > 1")
+    return found.join(firsts, keys).filter(F.col("first") < F.struct("d", "h", "s")).select("d", "h", "s", "k", "first")
+
+
+def copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame | None:
     """(d, h, copies): per document the later copies [(s, width, first)] it holds."""
     out = None
-    for i, level in enumerate(repeated_suffixes(docs, id_col, text)):
+    levels = repeated_suffixes(docs, id_col, text)
+    short = copied_runs(docs, levels, min_words, id_col, text)
+    if short is not None:
+        out = short.select("d", "h", F.struct("s", F.col("k").alias("width"), F.col("first.d").alias("fd"),
+                                              F.col("first.h").alias("fh"), F.col("first.s").alias("fs")).alias("copy"))
+    for i, level in enumerate(levels):
         # a struct holds what the row is compared by, null ids included
         part = level.filter(F.col("first") < F.struct("d", "h", "s")).select(
             "d", "h", F.struct("s", F.lit(1 << i).alias("width"), F.col("first.d").alias("fd"),
@@ -127,7 +182,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
                 text: str = "text") -> DataFrame:
     """The documents with later copies of line runs deleted from ``text``, and
     removed_lines and removed_runs (stretches of lines of the original text)."""
-    found = copies(docs, id_col, text)
+    found = copies(docs, id_col, text, min_words)
     rows, names = masked(docs)
     key, body = names[id_col], names[text]
     if found is None:

@@ -79,6 +79,37 @@ def test_short_lines_go_only_in_runs_with_enough_words(spark):
     assert out[3].text == "intro\nend" and [(x.line, x.end_line) for x in out[3].removed_runs] == [(1, 4)]
 
 
+def longest_runs(rows, least):
+    """Texts without any line of any later copy with enough words, over runs of all lengths."""
+    texts = sorted({(key_of(i, t), t) for i, t in rows if t is not None})
+    seqs = [(k, [x for x in t.split("\n") if x.split()]) for k, t in texts]
+    gone, seen = {k: set() for k, _ in seqs}, set()
+    for k, s in seqs:
+        for a in range(len(s)):
+            for b in range(a + 1, len(s) + 1):
+                run = tuple(s[a:b])
+                if run in seen and sum(len(x.split()) for x in run) >= least:
+                    gone[k].update(range(a, b))
+                seen.add(run)
+    return {k: [x for i, x in enumerate(s) if i not in gone[k]] for k, s in seqs}
+
+
+def test_runs_whose_parts_occur_first_elsewhere(spark):
+    a, b, c = "a1 a2 a3 a4", "b1 b2 b3 b4", "c1 c2 c3 c4"
+    rows = [(1, f"x\n{b}\n{c}\ny"), (2, f"{a}\n{b}\n{c}\nz"), (3, f"{a}\n{b}\n{c}\nw")]
+    out = {r.doc_id: r.text for r in L.dedup_lines(docs_frame(spark, rows)).collect()}
+    assert out == {1: rows[0][1], 2: rows[1][1], 3: "w"}
+    rnd = random.Random(11)
+    pool = [prose(300 + i, n) for i, n in enumerate((1, 2, 3, 4, 5, 12))]
+    rows = [(i, "\n".join(rnd.choice(pool) for _ in range(rnd.randint(1, 9)))) for i in range(60)]
+    rows += [(None, rows[4][1]), (7, rows[7][1])]
+    for least in (7, 10):
+        want = longest_runs(rows, least)
+        for r in L.dedup_lines(docs_frame(spark, rows), least).collect():
+            text = next(t for i, t in rows if i == r.doc_id and key_of(i, t) in want)
+            assert [x for x in r.text.split("\n") if x] == want[key_of(r.doc_id, text)]
+
+
 def test_columns_and_empty_table(spark):
     docs = docs_frame(spark, EDGE)
     out = L.dedup_lines(docs)
