@@ -81,7 +81,8 @@ class Node:
     tag: str
     key: int                       # hash of the path
     dropped: bool                  # it or an element around it is no main text
-    main: bool                     # inside an article or main element
+    says: tuple[int, ...]          # elements around it, or it, whose class or id words say that they are no main text
+    main: int                      # hash of the innermost article or main element around it, or 0
     block: bool
     header: bool = False           # inside a header of an article
     children: list[str] = field(default_factory=list)
@@ -91,7 +92,8 @@ class Node:
 class Block:
     keys: tuple[int, ...]          # path hashes of the block elements around it, outermost first
     dropped: bool
-    main: bool
+    main: int                      # hash of the innermost article or main element around it, or 0
+    heading: bool
     text: str
 
 
@@ -101,15 +103,17 @@ def _hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text) - (1 << 63)
 
 
-def _label(tag: str, attributes: str) -> tuple[str, bool, bool]:
-    """(tag with its class and id words, whether they say that it is no main text or the main part)."""
+def _label(tag: str, attributes: str) -> tuple[str, bool, bool, bool]:
+    """(tag with its class and id words, whether other attributes say that it is no main text,
+    whether those words do, whether it is the main part)."""
     if not attributes or "=" not in attributes and "hidden" not in attributes.lower():
-        return tag, False, False
-    words, drop, main = set(), False, False
+        return tag, False, False, False
+    words, named, drop, main = set(), set(), False, False
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
         if name in ("class", "id"):
-            words.update(w.lower() for w in _PARTS.findall(value))
+            named.update(w.lower() for w in _PARTS.findall(value))
+            words |= named
         elif name == "role":
             drop = drop or value.lower() in _ROLES
             main = main or value.lower() in ("main", "article")
@@ -118,7 +122,7 @@ def _label(tag: str, attributes: str) -> tuple[str, bool, bool]:
             drop = True
         elif name == "style" and _HIDDEN.search(value):
             drop = True
-    return ".".join([tag, *sorted(words)]), drop or bool(words & _WORDS), main
+    return ".".join([tag, *sorted(words)]), drop, bool(named & _WORDS), main
 
 
 def parse(page: str | None) -> tuple[list[Block], dict[int, str]]:
@@ -126,7 +130,9 @@ def parse(page: str | None) -> tuple[list[Block], dict[int, str]]:
     blocks: list[Block] = []
     styles: dict[int, str] = {}
     paths: dict[tuple[int, str], int] = {}
-    root = Node("", 0, False, False, True)
+    root = Node("", 0, False, (), 0, True)
+    said: list[bool] = []              # per element dropped for its words: whether it holds an article or main part
+    under: list[tuple[int, ...]] = []  # per block, the elements around it that are dropped for their words
     stack = [root]
     parts: list[str] = []
 
@@ -138,8 +144,10 @@ def parse(page: str | None) -> tuple[list[Block], dict[int, str]]:
             if text:
                 top = stack[-1]
                 at = [n for n in stack[1:] if n.block]
-                heading = top.header and not any(n.tag in _HEADINGS for n in at)
-                blocks.append(Block(tuple(n.key for n in at), top.dropped or heading, top.main, text))
+                heading = any(n.tag in _HEADINGS for n in at)
+                blocks.append(Block(tuple(n.key for n in at), top.dropped or top.header and not heading, top.main,
+                                    heading, text))
+                under.append(top.says)
 
     def pop():
         node = stack.pop()
@@ -190,20 +198,27 @@ def parse(page: str | None) -> tuple[list[Block], dict[int, str]]:
                     close(_ENDS[tag], _WALLS - _ENDS[tag])
         if tag in _VOID:
             continue
-        label, says, marked = _label(tag, m.group(4))
+        label, hard, says, marked = _label(tag, m.group(4))
         up = stack[-1]
         key = paths.get((up.key, label))
         if key is None:
             key = paths[(up.key, label)] = _hash(f"{up.key}/{label}")
-        main = up.main or marked or tag in ("article", "main")
-        inner = tag == "header" and up.main
-        drop = up.dropped or tag in _DROP or says and tag not in ("html", "body", *_HEADINGS) \
-            or tag == "header" and not up.main
+        main = key if marked or tag in ("article", "main") else up.main
+        inner = tag == "header" and bool(up.main)
+        own = tag not in ("html", "body", *_HEADINGS)
+        drop = up.dropped or tag in _DROP or hard and own or tag == "header" and not up.main
+        around = up.says
+        if says and own and not drop:
+            around = (*around, len(said))
+            said.append(False)
+        if main == key and not drop:
+            for i in around:
+                said[i] = True
         if block:
             near = next(n for n in reversed(stack) if n.block)
             if not near.children or near.children[-1] != label:
                 near.children.append(label)
-        stack.append(Node(tag, key, drop, main, block, up.header or inner))
+        stack.append(Node(tag, key, drop, around, main, block, up.header or inner))
         if tag in _RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(page, at)
             if tag == "textarea" or not drop:
@@ -217,6 +232,16 @@ def parse(page: str | None) -> tuple[list[Block], dict[int, str]]:
     flush()
     while len(stack) > 1:
         pop()
+    if said:
+        # words alone drop no element with an article or main part, or with most of the text
+        sizes, total = [0] * len(said), 0
+        for block, around in zip(blocks, under):
+            if not block.dropped:
+                total += len(block.text)
+                for i in around:
+                    sizes[i] += len(block.text)
+        for block, around in zip(blocks, under):
+            block.dropped = block.dropped or any(not said[i] and 2 * sizes[i] <= total for i in around)
     return blocks, styles
 
 

@@ -42,6 +42,14 @@ def test_site_tree_removes_repeated_branches(spark):
     assert H.extract(pages.limit(0), ["page_id"]).count() == 0
 
 
+def test_words_drop_no_article_and_no_bulk_of_the_text():
+    body = prose(2, 30)
+    for page in (f'<div class="content-sidebar-wrap"><article><p>{body}</p></article></div>',
+                 f'<main class="no-sidebar"><p>{body}</p></main>', f'<article class="category-legal"><p>{body}</p></article>',
+                 f'<div id="page" class="has-header"><p>{body}</p></div>'):
+        assert H.main_text(f'<div class="sidebar"><p>links</p></div>{page}', set()) == body
+
+
 def test_identical_articles_are_kept(spark):
     rows = [(i, "https://same.example.org/", f"<article><p>{prose(5, 40)}</p></article>") for i in range(20)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
