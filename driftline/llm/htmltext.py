@@ -13,8 +13,9 @@ sequences of child elements) and the texts found at it. Over the pages of the ho
 
 A branch below ``LEAST`` importance is removed from each page of the host. Branches
 count when at least ``MIN_PAGES`` pages and one in a hundred of the host's pages have
-them, so a host lists at most a hundred times the branches of a page. A page whose
-text would nearly vanish (its article is the same all over the site) keeps it.
+them, so a host lists at most a hundred times the branches of a page. A page that
+would have nothing or only headings left keeps its text, and a marked article or main
+part is not removed as a whole (it may be the same all over the site).
 Elements that say what they are (nav, footer, class "sidebar", role "search" ...) and
 text that is no content (scripts, forms ...) are left out on every page, also on
 hosts with too few pages; where a page marks its article or main part, only that
@@ -43,8 +44,6 @@ from driftline.llm.common import map_columns, map_in_arrow
 from driftline.session import freeze
 
 G, LEAST, MIN_PAGES, SHARE = 0.9, 0.3, 8, 0.01
-#: Share of the text that site-wide removal must leave on a page to be applied.
-LEAVE = 0.25
 
 # Fixed values of HTML: elements without content, with raw content, blocks, and ends implied by a start.
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -248,14 +247,19 @@ def parse(page: str | None) -> tuple[list[Block], dict[int, str]]:
 def main_text(page: str | None, noise: set[int]) -> str:
     """Text of a page without its host's low-importance branches ``noise``."""
     kept = [b for b in parse(page)[0] if not b.dropped]
+    says = lambda found: any(not b.heading for b in found)
     inside = [b for b in kept if b.main]
-    size = lambda found: sum(len(b.text) for b in found)
-    if inside and 4 * size(inside) >= size(kept):
+    if says(inside):
         kept = inside
     if noise:
-        left = [b for b in kept if noise.isdisjoint(b.keys)]
-        if size(left) >= LEAVE * size(kept):
-            kept = left
+        # a marked part is not removed as a whole, only branches in it
+        below = lambda b: b.keys[b.keys.index(b.main) + 1:] if b.main in b.keys else b.keys
+        # if the branches leave nothing, those that hold the text itself may
+        for left in ([b for b in kept if noise.isdisjoint(below(b))],
+                     [b for b in kept if not below(b) or below(b)[-1] not in noise]):
+            if says(left):
+                kept = left
+                break
     return "\n".join(b.text for b in kept)
 
 

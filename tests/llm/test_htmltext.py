@@ -50,6 +50,17 @@ def test_words_drop_no_article_and_no_bulk_of_the_text():
         assert H.main_text(f'<div class="sidebar"><p>links</p></div>{page}', set()) == body
 
 
+def test_short_texts_under_long_templates():
+    menu, text = prose(3, 60), "a short but whole article"
+    page = f"<body><div class=top><p>{menu}</p></div><div class=x><p>{text}</p></div>"
+    top, low = ({b.keys for b in H.parse(page)[0] if b.text == x}.pop() for x in (menu, text))
+    assert H.main_text(page, {top[-1]}) == H.main_text(page, {top[0], top[-1]}) == text
+    assert H.main_text(page, {top[-1], low[-1]}) == f"{menu}\n{text}"
+    marked = f"<body><div class=top><p>{menu}</p></div><article><h1>T</h1><p>{text}</p></article>"
+    article = next(b.main for b in H.parse(marked)[0] if b.main)
+    assert H.main_text(marked, set()) == H.main_text(marked, {article}) == f"T\n{text}"
+
+
 def test_identical_articles_are_kept(spark):
     rows = [(i, "https://same.example.org/", f"<article><p>{prose(5, 40)}</p></article>") for i in range(20)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
