@@ -12,8 +12,7 @@ sequences of child elements) and the texts found at it. Over the pages of the ho
                             below, s the number of styles, G = 0.9.
 
 A branch below ``LEAST`` importance is removed from each page of the host. Branches
-count when at least ``MIN_PAGES`` pages and one in a hundred of the host's pages have
-them, so a host lists at most a hundred times the branches of a page. A page that
+count when at least ``MIN_PAGES`` pages have them, whatever the size of the host. A page that
 would have nothing or only headings left keeps its text, and a marked article or main
 part is not removed as a whole (it may be the same all over the site).
 Elements that say what they are (nav, footer, class "sidebar", role "search" ...) and
@@ -23,7 +22,7 @@ counts.
 
 Only path and text hashes are shuffled, combined before the shuffle, so a host with a
 third of all pages costs no task more than others; the html itself is joined with the
-host's list of branches (broadcast only if Spark finds it small).
+list of its own low-importance branches, so no list grows with the host.
 
 Cases: null html is an empty page; unclosed tags, missing ends and stray brackets are
 read leniently; a null url is the host ""; repeated rows are pages of their own; an
@@ -43,7 +42,9 @@ from pyspark.sql import types as T
 from driftline.llm.common import map_columns, map_in_arrow
 from driftline.session import freeze
 
-G, LEAST, MIN_PAGES, SHARE = 0.9, 0.3, 8, 0.01
+G, LEAST, MIN_PAGES = 0.9, 0.3, 8
+#: Parts that the pages of a branch are dealt into, so that a frequent branch is no single task's burden.
+SALTS = 32
 
 # Fixed values of HTML: elements without content, with raw content, blocks, and ends implied by a start.
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -317,14 +318,33 @@ def branch_importance(pages: DataFrame) -> DataFrame:
         ((1 - blend) * shown + blend * F.col("weighted") / F.col("weight")).alias("importance"))
 
 
+def _branches(pages: DataFrame) -> DataFrame:
+    """(host, page, branch): the branches of each distinct page."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows: list[tuple] = []
+            for h, p, page in zip(b.column("host").to_pylist(), b.column("page").to_pylist(), b.column("html")):
+                nodes = {k for block in parse(page.as_py())[0] if not block.dropped for k in block.keys}
+                rows += [(h, p, k) for k in nodes]
+            kinds = (pa.string(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
+                                             names=["host", "page", "branch"])
+
+    return map_in_arrow(pages.select("host", "page", "html"), run, "host string, page long, branch long")
+
+
 def extract(pages: DataFrame, keep: list[str], url: str = "url", html: str = "html") -> DataFrame:
     """``keep`` and ``main_text`` of every page."""
-    src = pages.select(*[F.col(c) for c in keep], host(F.col(url)).alias("__host"), F.col(html).alias("__html"))
-    found = branch_importance(src.select(F.col("__host").alias("host"), F.col("__html").alias("html")))
-    noise = found.filter((F.col("importance") < LEAST) & (F.col("pages") >= MIN_PAGES)
-                         & (F.col("pages") >= SHARE * F.col("of"))) \
-        .groupBy("host").agg(F.collect_list("branch").alias("__noise")).withColumnRenamed("host", "__host")
-    joined = src.join(freeze(noise, "site-noise"), "__host", "left")
+    src = pages.select(*[F.col(c) for c in keep], host(F.col(url)).alias("__host"), F.col(html).alias("__html"),
+                       F.xxhash64(html).alias("__page"))
+    named = src.select(F.col("__host").alias("host"), F.col("__html").alias("html"), F.col("__page").alias("page"))
+    low = branch_importance(named).filter((F.col("importance") < LEAST) & (F.col("pages") >= MIN_PAGES)) \
+        .select("host", "branch", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    own = _branches(named).withColumn("salt", F.pmod("page", F.lit(SALTS)).cast("int"))
+    noise = own.join(low, ["host", "branch", "salt"]).groupBy("host", "page") \
+        .agg(F.collect_set("branch").alias("__noise")) \
+        .withColumnRenamed("host", "__host").withColumnRenamed("page", "__page")
+    joined = src.join(freeze(noise, "site-noise"), ["__host", "__page"], "left")
 
     def make():
         return lambda page, found: (main_text(page, set(found or ())),)

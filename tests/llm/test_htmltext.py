@@ -61,6 +61,14 @@ def test_short_texts_under_long_templates():
     assert H.main_text(marked, set()) == H.main_text(marked, {article}) == f"T\n{text}"
 
 
+def test_blocks_of_a_small_part_of_a_large_host(spark):
+    rows = [(i, f"https://big.example.org/{i}", f"<body><div class=a><p>{prose(i, 20)}</p></div>"
+             + ("<div class=note><p>the same notice</p></div>" if i < 10 else "")) for i in range(1200)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.main_text for r in H.extract(pages, ["page_id"]).collect()}
+    assert got == {i: prose(i, 20) for i in range(1200)}
+
+
 def test_identical_articles_are_kept(spark):
     rows = [(i, "https://same.example.org/", f"<article><p>{prose(5, 40)}</p></article>") for i in range(20)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
