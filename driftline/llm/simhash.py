@@ -9,8 +9,8 @@ its values) is a bucket and close fingerprints share a bucket for certain. Insid
 a bucket the fingerprints form BK-trees: a child hangs under its parent by the
 integer Hamming distance between them, and a search follows only edges within the
 radius of its own distance to the node. A bucket with more than ``shard``
-fingerprints is cut into shards, one tree each; the tree of a shard is sent to the
-task of every other shard of its bucket, so a task never holds more than two
+fingerprints is cut into shards; each pair of shards is a task, which gets the shuffled
+fingerprints of both and builds a tree of one of them itself (no tree is broadcast), so a task never holds more than two
 shards, however hot a bucket is. A task returns its components (each fingerprint with
 the smallest one), not the links themselves; components() joins them.
 
