@@ -6,7 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import bpe, decontaminate, htmltext, langid, linededup, pii, quality, simhash, substring, toxicity
+from driftline.llm import (bpe, centroids, decontaminate, htmltext, langid, linededup, pii, quality, simhash, substring,
+                           toxicity, veccodes)
 from driftline.llm.common import crc_mod, read
 
 
@@ -81,11 +82,20 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "removed_lines", "text", "removed_runs")
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(read(spark, sf_dir, "embeddings"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return veccodes.codes(read(spark, sf_dir, "embeddings")).drop("label")
+
+
 def llm_registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality, op2_html_text, op3_bpe, op4_simhash, op5_langid, op6_passages,
-        op7_toxicity, op8_decontaminate, op9_pii, op10_line_dedup)}
+        op7_toxicity, op8_decontaminate, op9_pii, op10_line_dedup, op11_centroids, op13_vector_codes)}
 
 
 def llm_sql() -> dict[str, str]:
-    return {"op1_quality": quality.SQL, "op8_decontaminate": decontaminate.SQL}
+    return {"op1_quality": quality.SQL, "op8_decontaminate": decontaminate.SQL,
+            "op11_centroids": centroids.sql(), "op13_vector_codes": veccodes.sql()}
