@@ -6,8 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftline.llm import (bpe, centroids, decontaminate, htmltext, langid, linededup, pii, quality, simhash, substring,
-                           toxicity, veccodes)
+from driftline.llm import (bpe, centroids, credentials, decontaminate, htmltext, langid, linededup, pii, quality,
+                           simhash, substring, toxicity, veccodes)
 from driftline.llm.common import crc_mod, read
 
 
@@ -86,6 +86,10 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.clustered(read(spark, sf_dir, "embeddings"))
 
 
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.digest(credentials.find_secrets(read(spark, sf_dir, "documents"), ["doc_id"]), ["doc_id"])
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return veccodes.codes(read(spark, sf_dir, "embeddings")).drop("label")
 
@@ -93,9 +97,10 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality, op2_html_text, op3_bpe, op4_simhash, op5_langid, op6_passages,
-        op7_toxicity, op8_decontaminate, op9_pii, op10_line_dedup, op11_centroids, op13_vector_codes)}
+        op7_toxicity, op8_decontaminate, op9_pii, op10_line_dedup, op11_centroids, op12_secrets, op13_vector_codes)}
 
 
 def llm_sql() -> dict[str, str]:
     return {"op1_quality": quality.SQL, "op8_decontaminate": decontaminate.SQL,
-            "op11_centroids": centroids.sql(), "op13_vector_codes": veccodes.sql()}
+            "op11_centroids": centroids.sql(), "op12_secrets": credentials.SQL,
+            "op13_vector_codes": veccodes.sql()}
