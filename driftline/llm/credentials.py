@@ -90,7 +90,7 @@ def matches(text: Column, pattern: str) -> Column:
     def placed(hits: Column) -> Column:
         def ends(gaps: Column) -> Column:
             steps = F.transform(hits, lambda h, i: F.length(F.get(gaps, i)) + F.length(h))
-            return let(_sums_before(steps), lambda before: F.transform(hits, lambda h, i: let(
+            return let(let(steps, _sums_before), lambda before: F.transform(hits, lambda h, i: let(
                 F.get(before, i) + F.length(F.get(gaps, i)),
                 lambda s: F.struct(s.alias("start"), (s + F.length(h)).alias("end"), h.alias("text")))))
         return F.when(F.size(hits) > 0, let(F.split(text, pattern, -1), ends)).otherwise(F.array().cast(_NONE))
@@ -98,25 +98,25 @@ def matches(text: Column, pattern: str) -> Column:
     return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
 
 
-def _first_after(ends: Column, at: Column) -> Column:
-    """How many of the sorted ``ends`` are at most ``at``, by halving steps."""
+def _first_after(spans: Column, at: Column) -> Column:
+    """How many of the sorted spans end at or before ``at``, by halving steps."""
     steps = F.array(*[F.lit(1 << i) for i in range(30, -1, -1)])
-    return F.aggregate(steps, F.lit(0), lambda p, s: F.when(F.get(ends, p + s - 1) <= at, p + s).otherwise(p))
+    return F.aggregate(steps, F.lit(0), lambda p, s: F.when(F.get(spans, p + s - 1)["end"] <= at, p + s).otherwise(p))
 
 
 def meets(spans: Column, low: Column, high: Column) -> Column:
     """Whether one of the sorted spans overlaps [low, high)."""
     return F.when(F.size(spans) == 0, F.lit(False)).otherwise(let(
-        _first_after(spans["end"], low), lambda i: F.coalesce(F.get(spans["start"], i) < high, F.lit(False))))
+        _first_after(spans, low), lambda i: F.coalesce(F.get(spans, i)["start"] < high, F.lit(False))))
 
 
 def _scope(breaks: Column, p: Column) -> Column:
     """[low, high) of the scope of a span: REACH to each side, cut at the blank lines."""
     def cut(i: Column) -> Column:
-        before, after = F.get(breaks["end"], i - 1), F.get(breaks["start"], i)
+        before, after = F.get(breaks, i - 1)["end"], F.get(breaks, i)["start"]
         return F.struct(F.greatest(p["start"] - REACH, F.coalesce(before, F.lit(0))).alias("low"),
                         F.least(p["end"] + REACH, F.coalesce(after, F.lit(2**31 - 1))).alias("high"))
-    return let(_first_after(breaks["end"], p["start"]), cut)
+    return let(_first_after(breaks, p["start"]), cut)
 
 
 def _any(parts: list[Callable[[], Column]]) -> Column:
