@@ -2,9 +2,9 @@
 J1, J2).
 
 Bins, PSI, means and score measures are direct aggregations: rows are binned where
-they are read, and map tasks send one row per batch and feature. Only the KS
-statistic counts distinct values. The profile side is one row per feature
-(broadcast) and the packed reference CDF, which never moves."""
+they are read, and map tasks send one row per batch and feature; the KS statistic counts
+rows in the children of the reference's CDF tree (cdftree). The profile side is one row
+per feature (broadcast)."""
 from __future__ import annotations
 
 from collections.abc import Sequence
@@ -14,21 +14,21 @@ from pyspark.sql import functions as F
 
 from driftline.functions.columns import (EPSILON, bin_index, classify_level, drop_nan, flagged,
                                          is_finite, ks_pvalue, nan_to_null, psi_sum, score_band)
-from driftline.operators.prefix import prefix_sums
+from driftline.operators import cdftree
 from driftline.operators.profile import N_SCORE_BANDS, Profile
-from driftline.operators.quantile import bucket_of
 from driftline.operators.reshape import unpivot_features
 from driftline.plans.policy import Policy
 
-#: Buckets of the packed reference CDF that a search allows for (a power of two less one).
-MAX_KS_CUTS = (1 << 16) - 1
+
+def value_rows(scored: DataFrame, features: Sequence[str], batch: str = "batch_id") -> DataFrame:
+    """(batch_id, feature, value, nb): a row for each value as it is read (KS only)."""
+    long = unpivot_features(scored, [batch], features)
+    return long.select(F.col(batch).alias("batch_id"), "feature", "value", F.lit(1).cast("long").alias("nb"))
 
 
 def value_counts(scored: DataFrame, features: Sequence[str], batch: str = "batch_id") -> DataFrame:
     """(batch_id, feature, value, nb): rows per distinct value, non-finite kept (KS only)."""
-    long = unpivot_features(scored, [batch], features)
-    return long.groupBy(F.col(batch).alias("batch_id"), "feature", "value").agg(
-        F.count(F.lit(1)).alias("nb"))
+    return value_rows(scored, features, batch).groupBy("batch_id", "feature", "value").agg(F.sum("nb").alias("nb"))
 
 
 def bin_stats(scored: DataFrame, features: Sequence[str], prof_feats: DataFrame, bins: int,
@@ -51,41 +51,9 @@ def bin_stats(scored: DataFrame, features: Sequence[str], prof_feats: DataFrame,
     return agg.select("batch_id", "feature", "n_finite", shares.alias("actual"), "current_mean")
 
 
-def ks_statistics(counts: DataFrame, prof_feats: DataFrame, ref_cdf: DataFrame) -> DataFrame:
-    """Two-sample KS D per (batch, feature) against the reference CDF.
-
-    D = max over the batch's distinct values v of max(|Fr(v) - Fb(v)|,
-    |Fr(v-) - Fb(v-)|): both step functions only change at sample points, and
-    between two batch points the largest gap sits at one end. The profile holds
-    the reference CDF packed by bucket (sorted values and running counts) and the
-    cuts of the buckets, so a batch value finds its bucket by the broadcast cuts and
-    its rank by binary search in one packed row. The packed table is bucketed by
-    (feature, bucket): only the batch moves. Fb is a two-level prefix sum."""
-    cuts = F.broadcast(prof_feats.select("feature", "ks_cuts", F.col("ks_n").alias("n_ref")))
-    b = (counts.where(is_finite("value")).join(cuts, "feature")
-         .select("batch_id", "feature", "value", "nb", "n_ref",
-                 bucket_of("value", "ks_cuts", MAX_KS_CUTS).alias("bucket")))
-    looked = b.join(ref_cdf.select("feature", "bucket", "base", "values", "cum_le"), ["feature", "bucket"], "left")
-    # index of the last packed value <= v, by halving steps (-1: none)
-    steps = F.array(*[F.lit(1 << i) for i in range(30, -1, -1)])
-    at = F.aggregate(steps, F.lit(0), lambda p, s: F.when(
-        F.get("values", p + s - 1) <= F.col("value"), p + s).otherwise(p))
-    looked = looked.select("batch_id", "feature", "bucket", "value", "nb", "n_ref", "base", "values", "cum_le",
-                           at.alias("at"))
-    base = F.coalesce(F.col("base"), F.lit(0))
-    le = F.coalesce(F.get("cum_le", F.col("at") - 1), base)
-    before = F.coalesce(F.get("cum_le", F.col("at") - 2), base)
-    lt = F.when(F.get("values", F.col("at") - 1) == F.col("value"), before).otherwise(le)
-    looked = looked.select("batch_id", "feature", "bucket", "value", "nb", "n_ref",
-                           le.alias("r_le"), lt.alias("r_lt"))
-    run = prefix_sums(looked, ["batch_id", "feature"], "bucket", ["value"], {"b_le": "nb"},
-                      with_total=True)
-    nr, nb = F.col("n_ref").cast("double"), F.col("b_le_total").cast("double")
-    gap = F.greatest(F.abs(F.col("r_le") / nr - F.col("b_le") / nb),
-                     F.abs(F.col("r_lt") / nr - (F.col("b_le") - F.col("nb")) / nb))
-    return run.groupBy("batch_id", "feature").agg(
-        F.max(gap).alias("ks_statistic"), F.first("n_ref").alias("n_ref"),
-        F.first("b_le_total").alias("n_cur"))
+def ks_statistics(counts: DataFrame, prof_feats: DataFrame, tree: DataFrame) -> DataFrame:
+    """D5 for the features of ``prof_feats``, by descent through the reference's CDF tree."""
+    return cdftree.ks_statistics(counts, tree.join(F.broadcast(prof_feats.select("feature")), "feature", "left_semi"))
 
 
 def feature_drift(scored: DataFrame, profile: Profile, policy: Policy,
@@ -105,7 +73,7 @@ def feature_drift(scored: DataFrame, profile: Profile, policy: Policy,
     if present:
         stats = bin_stats(scored, present, pf, profile.bins, batch)
         if with_ks:
-            ks = ks_statistics(value_counts(scored, present, batch), pf, profile.ks)
+            ks = ks_statistics(value_rows(scored, present, batch), pf, profile.ks)
             stats = stats.join(ks, ["batch_id", "feature"], "left")
         else:
             stats = stats.select("*", *[F.lit(None).cast(t).alias(c) for c, t in

@@ -3,9 +3,8 @@ compared to, as three tables:
 
 * ``features``: one row per monitored feature: inner quantile edges, bin counts
   and proportions, mean, population std, p01/p50/p99, n, KS sample size;
-* ``ks``: the reference empirical CDF, packed: per feature and bucket the sorted
-  distinct values, the running counts and the rows below the bucket (the cuts of
-  the buckets are in ``features``);
+* ``ks``: the reference empirical CDF as a search tree, nodes of a bounded size
+  (cdftree);
 * ``model``: score summary, fixed-band proportions (floored), fraud rate and
   the baseline quality measured on the reference scores.
 """
@@ -20,16 +19,14 @@ from pyspark.sql import functions as F
 from driftline.functions.columns import (EPSILON, SCORE_BAND_INNER_EDGES, bin_index, flagged,
                                          is_finite, score_band)
 from driftline.operators import quality
+from driftline.operators.cdftree import TREE_SCHEMA, cdf_tree
 from driftline.operators.quantile import bin_probabilities, quantiles_from_cdf, value_cdf
 from driftline.operators.reshape import unpivot_features
 
 N_SCORE_BANDS = len(SCORE_BAND_INNER_EDGES) + 1
 FEATURES_SCHEMA = ("model_version string, feature string, feature_index int, inner_edges array<double>, "
                    "n_bins int, bin_counts array<bigint>, mean double, std double, p01 double, "
-                   "p50 double, p99 double, n bigint, ks_n bigint, ks_cuts array<double>, "
-                   "proportions array<double>")
-KS_SCHEMA = ("model_version string, feature string, bucket int, base bigint, values array<double>, "
-             "cum_le array<bigint>")
+                   "p50 double, p99 double, n bigint, proportions array<double>")
 
 
 @dataclass
@@ -55,11 +52,9 @@ class Profile:
         """The three tables written once under the checkpoint folder and read
         back, so every job that compares against the profile reads a table
         instead of recomputing it."""
-        from driftline.session import freeze, freeze_bucketed
-        return Profile(self.model_version, self.feature_names, self.bins,
-                       freeze(self.features, f"{tag}-features"),
-                       freeze_bucketed(self.ks, f"{tag}-ks", ["feature", "bucket"]),
-                       freeze(self.model, f"{tag}-model"))
+        from driftline.session import freeze
+        return Profile(self.model_version, self.feature_names, self.bins, freeze(self.features, f"{tag}-features"),
+                       freeze(self.ks, f"{tag}-ks"), freeze(self.model, f"{tag}-model"))
 
 
 def feature_index(features: Sequence[str]) -> F.Column:
@@ -111,7 +106,7 @@ def build_profile(reference: DataFrame, features: Sequence[str], threshold: floa
     if not features:
         spark = reference.sparkSession
         return Profile(model_version, [], bins, spark.createDataFrame([], FEATURES_SCHEMA),
-                       spark.createDataFrame([], KS_SCHEMA), model)
+                       spark.createDataFrame([], TREE_SCHEMA), model)
     long = unpivot_features(reference, [], features)
     cdf = value_cdf(long, ["feature"])
     if materialize:
@@ -129,29 +124,16 @@ def build_profile(reference: DataFrame, features: Sequence[str], threshold: floa
     moments = long.where(is_finite("value")).groupBy("feature").agg(
         F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
 
-    # the CDF packed by bucket; a bucket's first value is the cut that opens it
-    packed = cdf.groupBy("feature", "bucket").agg(
-        F.min("cum_lt").alias("base"), F.min("value").alias("opens"), F.sum("w").alias("rows"),
-        F.array_sort(F.collect_list(F.struct("value", "cum_le"))).alias("p"))
-    ks_n = packed.groupBy("feature").agg(
-        F.sum("rows").alias("ks_n"),
-        F.array_sort(F.collect_list(F.when(F.col("bucket") > 0, F.struct("bucket", "opens")))).alias("_c"))
-
-    feats = (edges.join(m, "feature").join(moments, "feature").join(ks_n, "feature")
+    feats = (edges.join(m, "feature").join(moments, "feature")
              .select("feature", "inner_edges", (F.size("inner_edges") + 1).alias("n_bins"), "_m",
-                     "mean", "std", "p01", "p50", "p99", "n", "ks_n",
-                     F.transform("_c", lambda c: c["opens"]).alias("ks_cuts")))
+                     "mean", "std", "p01", "p50", "p99", "n"))
     feats = feats.select(
         F.lit(model_version).alias("model_version"), "feature",
         feature_index(features).alias("feature_index"), "inner_edges", "n_bins",
-        arr(F.col("n_bins")).alias("bin_counts"), "mean", "std", "p01", "p50", "p99", "n", "ks_n", "ks_cuts")
+        arr(F.col("n_bins")).alias("bin_counts"), "mean", "std", "p01", "p50", "p99", "n")
     feats = feats.select("*", F.transform("bin_counts", lambda c: c / F.col("n")).alias("proportions"))
 
-    ks_table = packed.select(
-        F.lit(model_version).alias("model_version"), "feature", "bucket", "base",
-        F.transform("p", lambda x: x["value"]).alias("values"),
-        F.transform("p", lambda x: x["cum_le"]).alias("cum_le"))
-
+    ks_table = cdf_tree(cdf).select(F.lit(model_version).alias("model_version"), "*")
     return Profile(model_version, list(features), bins, feats, ks_table, model)
 
 

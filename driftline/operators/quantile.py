@@ -66,28 +66,29 @@ def bucket_of(value, cuts, n_cuts: int = DEFAULT_BUCKETS - 1) -> F.Column:
 
 def value_cdf(long: DataFrame, groups: Sequence[str], value: str = "value",
               n_buckets: int | None = None) -> DataFrame:
-    """(groups, value, w, cum_lt, cum_le, n, bucket) for every distinct finite
-    value: ``w`` rows equal to it, ``cum_lt``/``cum_le`` rows below / at or
-    below it, ``n`` rows in its group."""
+    """(groups, value, w, cum_lt, cum_le, n, bucket, rank, n_values) for every distinct
+    finite value: ``w`` rows equal to it, ``cum_lt``/``cum_le`` rows below / at or below
+    it, ``n`` rows in its group, ``rank`` distinct values below it of ``n_values``."""
     groups = list(groups)
     n_buckets = n_buckets or n_buckets_for(long)
     counts = (long.where(is_finite(value))
-              .groupBy(*groups, value).agg(F.count(F.lit(1)).alias("w")))
+              .groupBy(*groups, value).agg(F.count(F.lit(1)).alias("w"), F.lit(1).cast("long").alias("one")))
     if groups:
         # one row of < n_buckets cut points per group (groups are features: the
         # table is bounded by the schema; AQE broadcasts it after sizing it)
         cuts = bucket_cuts(counts, groups, value, n_buckets)
         tagged = counts.join(cuts, groups, "inner").select(
-            *groups, value, "w", bucket_of(value, "cuts", n_buckets - 1).alias("bucket"))
+            *groups, value, "w", "one", bucket_of(value, "cuts", n_buckets - 1).alias("bucket"))
     else:
         # a single group: its < n_buckets cut points are read once (a bounded row)
         probs = [i / n_buckets for i in range(1, n_buckets)]
         row = counts.agg(F.array_distinct(F.percentile_approx(value, probs, SKETCH_ACCURACY))).first()
         cut_arr = F.array(*[F.lit(float(c)) for c in (row[0] or [])]).cast("array<double>")
-        tagged = counts.select(value, "w", bucket_of(value, cut_arr, n_buckets - 1).alias("bucket"))
-    ranked = prefix_sums(tagged, groups, "bucket", [value], {"cum_le": "w"}, with_total=True)
+        tagged = counts.select(value, "w", "one", bucket_of(value, cut_arr, n_buckets - 1).alias("bucket"))
+    ranked = prefix_sums(tagged, groups, "bucket", [value], {"cum_le": "w", "rank": "one"}, with_total=True)
     return ranked.select(*groups, value, "w", (F.col("cum_le") - F.col("w")).alias("cum_lt"),
-                         "cum_le", F.col("cum_le_total").alias("n"), "bucket")
+                         "cum_le", F.col("cum_le_total").alias("n"), "bucket",
+                         (F.col("rank") - 1).alias("rank"), F.col("rank_total").alias("n_values"))
 
 
 def quantiles_from_cdf(cdf: DataFrame, groups: Sequence[str], probs: Sequence[float],

@@ -48,7 +48,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-#: Tables written by freeze() and freeze_bucketed(), by Spark application.
+#: Tables written by freeze(), by Spark application.
 _FROZEN: dict[str, list[str]] = {}
 
 
@@ -73,17 +73,3 @@ def freeze(df: DataFrame, name: str) -> DataFrame:
     _FROZEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-def freeze_bucketed(df: DataFrame, name: str, columns: list[str]) -> DataFrame:
-    """Like :func:`freeze`, as a table bucketed by ``columns``: a join on them moves
-    only the other side."""
-    spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    table = f"{name}-{uuid.uuid4().hex[:12]}"
-    path = os.path.join(root, "tables", table)
-    _FROZEN.setdefault(spark.sparkContext.applicationId, []).append(path)
-    (df.repartition(n, *columns).write.mode("overwrite").bucketBy(n, *columns).sortBy(*columns)
-     .option("path", path).format("parquet").saveAsTable(table.replace("-", "_")))
-    return spark.table(table.replace("-", "_"))
