@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from driftline.functions.columns import (EPSILON, bin_index, classify_level, drop_nan, flagged,
                                          is_finite, ks_pvalue, nan_to_null, psi_sum, score_band)
 from driftline.operators import cdftree
+from driftline.operators.ksexact import EXACT_ROWS, exact_pvalue
 from driftline.operators.profile import N_SCORE_BANDS, Profile
 from driftline.operators.reshape import unpivot_features
 from driftline.plans.policy import Policy
@@ -31,21 +32,29 @@ def value_counts(scored: DataFrame, features: Sequence[str], batch: str = "batch
     return value_rows(scored, features, batch).groupBy("batch_id", "feature", "value").agg(F.sum("nb").alias("nb"))
 
 
-def bin_stats(scored: DataFrame, features: Sequence[str], prof_feats: DataFrame, bins: int,
-              batch: str = "batch_id") -> DataFrame:
-    """Per (batch, feature): finite count, per-bin shares, NaN-dropping mean.
-
-    Every row is binned where it is read (the edges are broadcast, one row per
-    feature) and summed there: a map task sends one row per batch and feature."""
+def binned(long: DataFrame, keys: Sequence[str], prof_feats: DataFrame, bins: int) -> DataFrame:
+    """Unpivoted rows (keys, feature, value) with ``_fin`` and ``_bin``; rows find their bin where
+    they are read (the edges are broadcast, one row per feature)."""
     pf = F.broadcast(prof_feats.select("feature", "inner_edges"))
-    long = unpivot_features(scored, [batch], features)
-    j = long.join(pf, "feature").select(
-        F.col(batch).alias("batch_id"), "feature", "value", is_finite("value").alias("_fin"),
+    return long.join(pf, "feature").select(
+        *keys, "feature", "value", is_finite("value").alias("_fin"),
         bin_index("value", "inner_edges", bins - 1).alias("_bin"))
+
+
+def bin_sums(bins: int) -> list[F.Column]:
+    """Finite rows in each bin: ``_k0``, ``_k1``, ..."""
     fin, b = F.col("_fin"), F.col("_bin")
-    agg = j.groupBy("batch_id", "feature").agg(
-        F.sum(fin.cast("long")).alias("n_finite"), F.avg(drop_nan("value")).alias("current_mean"),
-        *[F.sum(F.when(fin & (b == k), 1).otherwise(0)).alias(f"_k{k}") for k in range(bins)])
+    return [F.sum(F.when(fin & (b == k), 1).otherwise(0)).alias(f"_k{k}") for k in range(bins)]
+
+
+def bin_stats(scored: DataFrame, features: Sequence[str], prof_feats: DataFrame, bins: int,
+              batch: str = "batch_id") -> DataFrame:
+    """Per (batch, feature): finite count, per-bin shares, NaN-dropping mean. A map task
+    sends one row per batch and feature."""
+    long = unpivot_features(scored, [batch], features).withColumnRenamed(batch, "batch_id")
+    agg = binned(long, ["batch_id"], prof_feats, bins).groupBy("batch_id", "feature").agg(
+        F.sum(F.col("_fin").cast("long")).alias("n_finite"), F.avg(drop_nan("value")).alias("current_mean"),
+        *bin_sums(bins))
     shares = F.when(F.col("n_finite") > 0,
                     F.array(*[F.col(f"_k{k}") / F.col("n_finite") for k in range(bins)]))
     return agg.select("batch_id", "feature", "n_finite", shares.alias("actual"), "current_mean")
@@ -82,6 +91,10 @@ def feature_drift(scored: DataFrame, profile: Profile, policy: Policy,
                                              "mean", "std")), "feature")
         psi = psi_sum("actual", "proportions", "n_bins")
         p = ks_pvalue("ks_statistic", "n_ref", "n_cur")
+        if with_ks and profile.least_rows() <= EXACT_ROWS:     # one reference size decides for all windows
+            # dealt out anew: a window's exact p-value is work, however few rows it is
+            j = j.repartition(int(j.sparkSession.conf.get("spark.sql.shuffle.partitions")), "batch_id", "feature")
+            p = F.coalesce(exact_pvalue("ks_statistic", "n_ref", "n_cur"), p)
         std = F.when(F.col("std") == 0, F.lit(EPSILON)).otherwise(F.col("std"))
         rows = j.select(
             "batch_id", "feature", "feature_index", "n_bins", psi.alias("psi"),

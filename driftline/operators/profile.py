@@ -48,6 +48,14 @@ class Profile:
             object.__setattr__(self, "_model_values", cached)
         return cached
 
+    def least_rows(self) -> int:
+        """Finite reference values of the feature that has fewest (read once)."""
+        cached = getattr(self, "_least_rows", None)
+        if cached is None:
+            cached = self.features.agg(F.min("n")).first()[0] or 0
+            object.__setattr__(self, "_least_rows", cached)
+        return cached
+
     def frozen(self, tag: str = "profile") -> "Profile":
         """The three tables written once under the checkpoint folder and read
         back, so every job that compares against the profile reads a table

@@ -6,11 +6,12 @@ from __future__ import annotations
 from driftline.functions.columns import SCORE_BAND_INNER_EDGES
 from driftline.operators.quantile import bin_probabilities
 from driftline.operators.decision import COOLDOWN_MSG, HOLD_MSG, RECAL_MSG, RETRAIN_MSG
+from driftline.operators.ksexact import EXACT_ROWS
 from driftline.operators.gate import PROMOTE, REJECT
 from driftline.operators.recalibrate import f1_rule, recall_rule, sweep_thresholds
 from driftline.plans.policy import FIXTURE_POLICY as FP
 from driftline.plans.policy import OVERLAYS, Policy, for_env, policy_fields
-from driftline.plans.views import CONCEPT_MONTHS, COVARIATE_MONTHS, TXN_FEATURES
+from driftline.plans.views import CONCEPT_MONTHS, COVARIATE_MONTHS, EVENTS_REFERENCE_END, TXN_FEATURES
 
 T = 0.8
 
@@ -108,11 +109,23 @@ ks AS (SELECT batch_id, feature, max(abs(cr / nr - cb / nb)) AS d, max(nr) AS nr
 ksp AS (SELECT batch_id, feature, d, nr, nb, round(nr * nb / (nr + nb)) AS en FROM ks),
 ksz AS (SELECT *, sqrt(en) * d AS z FROM ksp),
 kszc AS (SELECT *, z + 1.0 / (6.0 * sqrt(en)) + (z - 1) / (4.0 * en) AS zc FROM ksz),
+exact AS (WITH RECURSIVE walk AS (
+    SELECT batch_id, feature, CAST(least(nr, nb) AS BIGINT) AS a, CAST(greatest(nr, nb) AS BIGINT) AS c,
+           CAST(round(d * nr * nb) AS BIGINT) AS far, CAST(0 AS BIGINT) AS t, CAST(0 AS DOUBLE) AS p,
+           list_transform(range(CAST(least(nr, nb) AS BIGINT) + 1), lambda i: CAST(CASE WHEN i = 0 THEN 1 ELSE 0 END AS DOUBLE)) AS q
+    FROM ks WHERE greatest(nr, nb) <= {EXACT_ROWS} AND isfinite(d)
+    UNION ALL
+    SELECT batch_id, feature, a, c, far, t + 1,
+           p + list_sum(list_transform(s, lambda x, k: CASE WHEN abs((k - 1) * (a + c) - (t + 1) * a) >= far THEN x ELSE 0 END)),
+           list_transform(s, lambda x, k: CASE WHEN abs((k - 1) * (a + c) - (t + 1) * a) >= far THEN 0 ELSE x END)
+    FROM (SELECT *, list_transform(q, lambda x, k: x * (c - t + k - 1) / (a + c - t)
+                  + CASE WHEN k > 1 THEN q[k - 1] * (a - k + 2) / (a + c - t) ELSE 0 END) AS s FROM walk WHERE t < a + c))
+  SELECT batch_id, feature, CASE WHEN far <= 0 THEN 1.0 ELSE least(1.0, p) END AS p FROM walk WHERE t = a + c),
 kspv AS (SELECT batch_id, feature, d AS ks_statistic,
-                CASE WHEN zc < 0.2 THEN 1.0 ELSE least(greatest(2.0 * (
+                CASE WHEN e.p IS NOT NULL THEN e.p WHEN zc < 0.2 THEN 1.0 ELSE least(greatest(2.0 * (
                     SELECT sum(pow(-1.0, k - 1) * exp(-2.0 * k * k * zc * zc)) FROM range(1, 101) r(k)),
                     0.0), 1.0) END AS ks_pvalue
-         FROM kszc),
+         FROM kszc LEFT JOIN exact e USING (batch_id, feature)),
 fd AS (SELECT p.batch_id, p.feature, {fidx} AS feature_index, p.psi,
               CASE WHEN p.psi IS NULL OR NOT isfinite(p.psi) THEN 'UNKNOWN' WHEN p.psi >= 0.25 THEN 'ALERT'
                    WHEN p.psi >= 0.1 THEN 'WARN' ELSE 'OK' END AS psi_level,
@@ -607,6 +620,19 @@ def sql_queries() -> dict[str, str]:
     q["daily_windows"] = _with(ev, """SELECT batch_id AS day, count(*) AS n_events,
         CAST(sum(CASE WHEN score >= 0.2 AND NOT isnan(score) THEN 1 ELSE 0 END) AS BIGINT) AS n_flagged,
         CAST(sum(label) AS BIGINT) AS n_errors, round(avg(value), 6) AS mean_value FROM ev GROUP BY batch_id""")
+    events = ev + f""", ref_ev AS (SELECT * FROM ev WHERE event_time < TIMESTAMP '{EVENTS_REFERENCE_END}'),
+        ref_long AS ({_long("ref_ev", "", ["value", "score"])})"""
+    core = _drift_core("0", 1)
+    closed = "CAST(batch_id AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(event_time) FROM ev) - INTERVAL 1 DAY"
+    q["daily_bin_psi"] = _with(events + f""", win_long AS ({_long("ev", "batch_id, ", ["value", "score"])}),
+        {core}, total AS (SELECT batch_id, feature, count(*) AS n_rows FROM win_long GROUP BY ALL)""", f"""
+        SELECT batch_id AS day, feature, t.n_rows, CAST(g.nf AS BIGINT) AS n_finite, g.bin, coalesce(b.c, 0) AS n,
+               round(p.psi, 6) AS psi, CASE WHEN p.psi >= 0.25 THEN 'ALERT' WHEN p.psi >= 0.1 THEN 'WARN' ELSE 'OK' END AS psi_level
+        FROM grid g JOIN total t USING (batch_id, feature) JOIN psi p USING (batch_id, feature)
+        LEFT JOIN wbin b USING (batch_id, feature, bin) WHERE {closed}""")
+    q["ks_pvalue_small"] = _with(events + f""", win_long AS (SELECT batch_id, 'value' AS feature, value FROM ev
+        WHERE event_time >= TIMESTAMP '{EVENTS_REFERENCE_END}'), {core}""", """
+        SELECT batch_id, feature, round(ks_statistic, 6) AS ks_statistic, round(ks_pvalue, 6) AS ks_pvalue, ks_significant FROM fd""")
     q["late_labels_join"] = _with(docs + ", d2 AS (SELECT lang, score, label FROM docs),"
                                   + _perf("d2", "lang", "0.5"), """
         SELECT t.lang, t.n_scored, CAST(p.n_rows AS BIGINT) AS n_labeled, CAST(p.n_frauds AS BIGINT) AS n_frauds,

@@ -24,7 +24,7 @@ from driftline.plans.monitor import (backtest, literal_policy, month_start, moni
                                      performance_block, score_and_monitor, window_report)
 from driftline.plans import monitor as monitor_plan
 from driftline.plans.policy import FIXTURE_POLICY, Policy, for_env, policy_table
-from driftline.plans.views import (TXN_FEATURES, TXN_THRESHOLD, documents_scored, events_scored, txn)
+from driftline.plans.views import (EVENTS_REFERENCE_END, TXN_FEATURES, TXN_THRESHOLD, documents_scored, events_scored, events_stream, txn)
 from driftline.session import ensure_checkpoint_dir
 from driftline.sources.sinks import history_tail, nonfinite_to_null
 from driftline.sources.tables import load_batch, read_table
@@ -618,6 +618,29 @@ def daily_windows(spark, sf):
     return finalize(stream.daily_windows(events_scored(spark, sf), "event_time", "value", "score", "label", 0.2))
 
 
+def _events_profile(spark, sf):
+    ref = events_scored(spark, sf).where(F.col("event_time") < F.lit(EVENTS_REFERENCE_END).cast("timestamp"))
+    return build_profile(ref, ["value", "score"], 0.2, "events-model", label_col=None, baseline=False,
+                         materialize=True).frozen("events-profile")
+
+
+@query
+def daily_bin_psi(spark, sf):
+    """W2 as a stream over the events: the days that the watermark has closed."""
+    days = stream.run_available(stream.daily_bins(events_stream(spark, sf), "event_time", ["value", "score"],
+                                                  _events_profile(spark, sf), Policy()), "daily-bins")
+    return finalize(days.select("day", "feature", "n_rows", "n_finite", F.posexplode("bin_counts").alias("bin", "n"),
+                                "psi", "psi_level"))
+
+
+@query
+def ks_pvalue_small(spark, sf):
+    """D6 on windows and a reference of a few thousand rows: the exact form."""
+    ev = events_scored(spark, sf).where(F.col("event_time") >= F.lit(EVENTS_REFERENCE_END).cast("timestamp"))
+    d = feature_drift(ev, _events_profile(spark, sf), Policy(), ["value"])
+    return finalize(d.select("batch_id", "feature", "ks_statistic", "ks_pvalue", "ks_significant"))
+
+
 @query
 def late_labels_join(spark, sf):
     docs = documents_scored(spark, sf)

@@ -12,6 +12,8 @@ from driftline.sources.tables import read_table
 TXN_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 TXN_THRESHOLD = 0.8
 REFERENCE_END = "2000-01-01"          # reference slice: event_time before this
+#: Events before this day are the reference of the daily queries.
+EVENTS_REFERENCE_END = "2024-01-08"
 # Distortions written into the fixture windows.
 COVARIATE_MONTHS = ("2000-06", "2000-07", "2000-08", "2001-06")
 CONCEPT_MONTHS = ("2000-11", "2000-12", "2001-01", "2001-02", "2001-03")
@@ -69,7 +71,17 @@ def txn_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def events_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as a scored stream: feature ``value``, score value/(value+50),
     label ``event_type = 'error'``, daily batch ids."""
-    ev = read_table(spark, sf_dir, "events")
+    return events_view(read_table(spark, sf_dir, "events"))
+
+
+def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows as a file stream over the table's files."""
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    # a pattern: the table may be one file, and a file stream takes folders or patterns
+    return events_view(spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]"))
+
+
+def events_view(ev: DataFrame) -> DataFrame:
     ts = F.col("ts").cast("timestamp")
     return ev.select(
         F.col("event_id").cast("string").alias("row_id"), ts.alias("event_time"),

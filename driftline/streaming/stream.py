@@ -2,7 +2,8 @@
 
 * W1: new files become windows, each processed once (file source, checkpoint,
   ``availableNow`` trigger, idempotent ``foreachBatch`` writes keyed by epoch);
-* W2: event-time daily windows with a watermark (append mode);
+* W2: event-time daily windows with a watermark (append mode): counts and flags, and each
+  feature's bin counts with their PSI when the day closes;
 * W3: late labels attached to stored scores with a maturity filter (batch join);
 * W4: the streak / cooldown state carried per model with
   ``applyInPandasWithState``; rows are window summaries, never transactions.
@@ -10,6 +11,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -18,12 +20,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
-from driftline.functions.columns import flagged
+from driftline.functions.columns import classify_level, flagged, psi_sum
 from driftline.operators import quality
 from driftline.operators.profile import Profile
-from driftline.operators.drift import feature_drift
+from driftline.operators.drift import bin_sums, binned, feature_drift
+from driftline.operators.reshape import unpivot_features
 from driftline.plans.monitor import monitor, nested_report, window_report
 from driftline.plans.policy import Policy
+from driftline.session import ensure_checkpoint_dir
 from driftline.sources.sinks import read_state
 
 
@@ -84,6 +88,39 @@ def daily_windows(stream: DataFrame, ts: str, value: str, score: str, label: str
         "mean_value")
 
 
+def daily_bins(stream: DataFrame, ts: str, features: Sequence[str], profile: Profile, policy: Policy,
+               watermark: str = "1 day") -> DataFrame:
+    """Per event-time day and feature: rows, finite rows, rows in each bin of the
+    reference, and the PSI against it. On a stream the state is one vector of counts for
+    each open day and feature, however many rows come; a day's row is emitted when the
+    watermark passes its end, with all rows that came before that. Edges and reference
+    proportions are broadcast (one row per feature). On a table it gives all days."""
+    names = [f for f in features if f in profile.feature_names]
+    pf = profile.features.where(F.col("feature").isin(*names))
+    rows = stream.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", watermark)
+    sums = binned(unpivot_features(rows, ["_ts"], names), ["_ts"], pf, profile.bins).groupBy(
+        F.window("_ts", "1 day").alias("w"), "feature").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("_fin").cast("long")).alias("n_finite"), *bin_sums(profile.bins))
+    known = F.broadcast(pf.select("feature", "n_bins", "proportions"))
+    counts = F.slice(F.array(*[F.col(f"_k{k}") for k in range(profile.bins)]), 1, F.col("n_bins"))
+    out = sums.join(known, "feature").select("*", counts.alias("bin_counts"))
+    shares = F.when(F.col("n_finite") > 0, F.transform("bin_counts", lambda c: c / F.col("n_finite")))
+    out = out.select("*", psi_sum(shares, "proportions", "n_bins").alias("psi"))
+    return out.select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "feature", "n_rows", "n_finite", "bin_counts",
+                      "psi", classify_level("psi", policy.psi_warn, policy.psi_alert).alias("psi_level"))
+
+
+def run_available(stream: DataFrame, name: str) -> DataFrame:
+    """Run a stream over all input that is there, in append mode into a table under the
+    session's checkpoint folder, and return the rows that it emitted."""
+    spark = stream.sparkSession
+    root = os.path.join(ensure_checkpoint_dir(spark), "streams", f"{name}-{uuid.uuid4().hex[:12]}")
+    out = os.path.join(root, "rows")
+    stream.writeStream.format("parquet").outputMode("append").option("path", out).option(
+        "checkpointLocation", os.path.join(root, "checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(out)
+
+
 def late_labels(scores: DataFrame, labels: DataFrame, key: str, ts: str | None, now, delay_days: int,
                 batch: str = "batch_id", label: str = "label", arrived: str | None = None) -> DataFrame:
     """Stored scores left-joined to the labels that have arrived (of several for one

@@ -9,7 +9,7 @@ from driftline.plans.fixture import txn_fixture
 from driftline.plans.monitor import literal_policy, month_start, monitor, window_report, with_signals
 from driftline.operators.decision import decide
 from driftline.plans.views import events_scored
-from driftline.streaming.stream import daily_windows, ladder_inputs, late_labels, monitor_files, stateful_ladder
+from driftline.streaming.stream import daily_bins, daily_windows, ladder_inputs, late_labels, monitor_files, stateful_ladder
 from tests.conftest import SF01
 
 
@@ -67,6 +67,38 @@ def test_daily_windows_watermark_holds_back_open_days(spark):
     assert out.agg(F.sum("n_events")).first()[0] == 9326
 
 
+def test_daily_bins_count_late_rows_and_equal_the_batch(spark):
+    from driftline.operators.drift import feature_drift
+    from driftline.operators.profile import build_profile
+    from driftline.plans.policy import Policy
+    ref = spark.range(500).select((F.col("id") % 50).cast("double").alias("a"), F.rand(3).alias("b"))
+    prof = build_profile(ref, ["a", "b"], 0.5, "m", label_col=None, baseline=False).frozen()
+    rows = spark.range(400).select(
+        (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(hours=(F.col("id") / 4).cast("int"))).alias("ts"),
+        F.when(F.col("id") % 9 == 0, float("nan")).otherwise((F.col("id") % 60).cast("double")).alias("a"), F.rand(5).alias("b"))
+    rows = rows.select("*", F.date_format("ts", "yyyy-MM-dd").alias("batch_id")).cache()      # 4 days and 4 hours
+    src = tempfile.mkdtemp(prefix="dl-bins-")
+    late = F.col("batch_id") == "2024-01-02"
+    rows.where((F.col("batch_id") < "2024-01-04") & ~(late & (F.col("a") < 10))).coalesce(1).write.parquet(src + "/one")
+    stream = spark.readStream.schema(rows.schema).parquet(src + "/*")
+    q = (daily_bins(stream, "ts", ["a", "b"], prof, Policy(), "47 hours").writeStream.outputMode("append").format("memory")
+         .queryName("bins_w2").option("checkpointLocation", tempfile.mkdtemp()).start())
+    q.processAllAvailable()                     # watermark at the first day's end: only that is closed
+    assert {r.day for r in spark.table("bins_w2").collect()} == {"2024-01-01"}
+    # rows of the second day come late, but within the watermark; one of the first comes after its day
+    more = rows.where((F.col("batch_id") >= "2024-01-04") | (late & (F.col("a") < 10)))
+    gone = rows.limit(1).withColumn("ts", F.lit("2024-01-01 05:00:00").cast("timestamp"))
+    more.unionByName(gone).coalesce(1).write.parquet(src + "/two")
+    q.processAllAvailable()
+    q.stop()
+    got = {(r.day, r.feature): r for r in spark.table("bins_w2").collect()}
+    want = {(r.batch_id, r.feature): r for r in feature_drift(rows, prof, Policy(), with_ks=False).collect()}
+    assert set(got) == {(d, f) for d in ("2024-01-01", "2024-01-02") for f in "ab"}
+    for k, r in got.items():
+        assert abs(r.psi - want[k].psi) < 1e-9 and r.psi_level == want[k].psi_level
+        assert sum(r.bin_counts) == r.n_finite <= r.n_rows == 96
+
+
 def test_stateful_ladder_equals_batch_fold(spark):
     fx = txn_fixture(spark, SF01)
     rep = window_report(fx.windows, fx.profile, fx.policy, fx.threshold)
