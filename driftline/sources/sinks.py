@@ -3,6 +3,8 @@ null, decision history, sweep + proposal, promotion audit records."""
 from __future__ import annotations
 
 import os
+import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -66,8 +68,39 @@ def write_json_report(report: DataFrame, path: str, mode: str = "append") -> str
     return path
 
 
-def append_decisions(decisions: DataFrame, path: str) -> str:
-    """Decisions are an append-only table; HALT rows carry in_history=false."""
+def write_run(rows: DataFrame, path: str, run_id: str, fmt: str = "parquet") -> str:
+    """The rows of one run, in a folder of this attempt. The attempt counts only once its
+    entry under ``runs`` is appended, which comes last, and the latest entry of a run is the
+    one that is read: a run that ends half-way leaves what was there before, and a
+    repetition replaces the run's rows. Replaced attempts stay on disk until removed."""
+    attempt = uuid.uuid4().hex
+    rows = rows.withColumns({"run_id": F.lit(run_id), "attempt": F.lit(attempt)})
+    writer = rows.write.mode("errorifexists")
+    if fmt == "json":
+        writer = writer.option("ignoreNullFields", "false")
+    writer.format(fmt).save(os.path.join(path, "data", f"part={attempt}"))
+    rows.sparkSession.createDataFrame([(run_id, attempt, time.time_ns())], RUNS_SCHEMA).coalesce(1).write.mode(
+        "append").parquet(os.path.join(path, "runs"))
+    return path
+
+
+RUNS_SCHEMA = "run_id string, attempt string, committed_ns long"
+
+
+def read_runs(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The rows of the latest committed attempt of every run, with their ``run_id``."""
+    rows = spark.read.format(fmt).load(os.path.join(path, "data"))
+    latest = spark.read.schema(RUNS_SCHEMA).parquet(os.path.join(path, "runs")).groupBy("run_id").agg(
+        F.max_by("attempt", "committed_ns").alias("attempt"))
+    return rows.join(latest, ["run_id", "attempt"], "left_semi").select(
+        *[c for c in rows.columns if c not in ("attempt", "part")])
+
+
+def append_decisions(decisions: DataFrame, path: str, run_id: str | None = None) -> str:
+    """Decisions are an append-only table; HALT rows carry in_history=false. With a
+    ``run_id`` the run can be repeated (write_run; read with read_runs)."""
+    if run_id is not None:
+        return write_run(decisions, path, run_id)
     decisions.write.mode("append").parquet(path)
     return path
 
@@ -100,9 +133,10 @@ def write_sweep(sweep: DataFrame, proposal: DataFrame, out_dir: str) -> str:
 
 def write_promotion_record(result: DataFrame, checks: DataFrame, metrics: DataFrame, path: str,
                            champion_version: str, challenger_version: str,
-                           keys=("challenger",)) -> str:
+                           keys=("challenger",), run_id: str | None = None) -> str:
     """One audit row per gate decision (promote or reject), with the
-    checks and both metric rows nested."""
+    checks and both metric rows nested. With a ``run_id`` the run can be repeated
+    (write_run; read with read_runs as JSON)."""
     k = list(keys)
     nested_checks = checks.groupBy(*k).agg(F.array_sort(F.collect_list(
         F.struct("check_order", "name", "passed", "value", "threshold", "detail"))).alias("checks"))
@@ -111,5 +145,8 @@ def write_promotion_record(result: DataFrame, checks: DataFrame, metrics: DataFr
     rec = (result.join(nested_checks, k).join(nested_metrics, k)
            .select(F.current_timestamp().alias("decided_at"), F.lit(champion_version).alias("champion_version"),
                    F.lit(challenger_version).alias("challenger_version"), "*"))
-    nonfinite_to_null(rec).write.mode("append").option("ignoreNullFields", "false").json(path)
+    rec = nonfinite_to_null(rec)
+    if run_id is not None:
+        return write_run(rec, path, run_id, "json")
+    rec.write.mode("append").option("ignoreNullFields", "false").json(path)
     return path

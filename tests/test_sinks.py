@@ -122,3 +122,31 @@ def test_a_cluster_needs_a_shared_folder():
                            sparkContext=SimpleNamespace(master="spark://host:7077"))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(fake)
+
+
+def test_a_repeated_run_leaves_one_history(spark, tmpdir_path):
+    import os
+
+    from driftline.sources.sinks import append_decisions, read_runs, write_run
+    path = os.path.join(tmpdir_path, "history")
+    rows = spark.createDataFrame([("m", i, f"b{i}") for i in range(6)], "model_version string, seq long, batch_id string")
+    for run in ("2024/01?", "007", "7", "2024/01?"):
+        append_decisions(rows.withColumn("batch_id", F.concat("batch_id", F.lit(run))), path, run)
+    got = read_runs(spark, path)
+    assert sorted((r.run_id, r["count"]) for r in got.groupBy("run_id").count().collect()) == [
+        ("007", 6), ("2024/01?", 6), ("7", 6)]
+    assert got.columns == ["model_version", "seq", "batch_id", "run_id"]
+    # a run that ends half-way leaves nothing to read, its repetition one history
+    broken = rows.repartition(3).withColumn("seq", F.when(F.col("seq") == 4, F.raise_error(F.lit("lost")).cast("long"))
+                                            .otherwise(F.col("seq")))
+    with pytest.raises(Exception, match="lost"):
+        write_run(broken, path, "8")
+    assert read_runs(spark, path).where("run_id = '8'").count() == 0
+    write_run(rows, path, "8")
+    assert read_runs(spark, path).where("run_id = '8'").count() == 6
+    # a repetition that fails leaves the rows of the run as they were; one that ends well replaces them
+    with pytest.raises(Exception, match="lost"):
+        write_run(broken, path, "8")
+    assert read_runs(spark, path).where("run_id = '8'").count() == 6
+    write_run(rows.limit(2), path, "8")
+    assert read_runs(spark, path).where("run_id = '8'").count() == 2
