@@ -487,6 +487,8 @@ def sql_queries() -> dict[str, str]:
     q["alert_streak"] = _with(full, "SELECT batch_id, CAST(confirmed_streak AS BIGINT) AS streak FROM dec")
     q["decision_timeline"] = _with(full, """SELECT batch_id, action, CAST(confirmed_streak AS BIGINT) AS confirmed_streak,
         cooldown_active, severity FROM dec""")
+    q["ladder_stream"] = _with(full, """SELECT batch_id, action, CAST(confirmed_streak AS BIGINT) AS confirmed_streak,
+        cooldown_active FROM dec""")
     q["decision_runs"] = _with(full, """SELECT 'run ' || left(batch_id, 4) AS run_id, batch_id, action,
         CAST(confirmed_streak AS BIGINT) AS confirmed_streak, severity FROM dec WHERE left(batch_id, 4) IN ('2000', '2001')""")
     said = lambda text, *cols: "printf('" + text + "'" + "".join(f", {c}" for c in cols) + ")"

@@ -683,6 +683,17 @@ def ks_pvalue_small(spark, sf):
     return finalize(d.select("batch_id", "feature", "ks_statistic", "ks_pvalue", "ks_significant"))
 
 
+@query
+def ladder_stream(spark, sf):
+    """W4 as a stream over the windows' flags, which come in no order."""
+    flags = stream.ladder_inputs(_monitor(spark, sf), FIXTURE_POLICY)
+    path = _scratch(spark, "flags")
+    flags.repartition(4, F.xxhash64("batch_id")).write.parquet(path)
+    source = spark.readStream.schema(flags.schema).parquet(path)
+    made = stream.run_available(stream.stateful_ladder(source), "ladder")
+    return finalize(made.select("batch_id", "action", "confirmed_streak", "cooldown_active"))
+
+
 @query
 def late_labels_join(spark, sf):
     docs = documents_scored(spark, sf)

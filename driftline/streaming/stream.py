@@ -5,8 +5,8 @@
 * W2: event-time daily windows with a watermark (append mode): counts and flags, and each
   feature's bin counts with their PSI when the day closes;
 * W3: late labels attached to stored scores with a maturity filter (batch join);
-* W4: the streak / cooldown state carried per model with
-  ``applyInPandasWithState``; rows are window summaries, never transactions.
+* W4: the streak / cooldown state carried per model in a state processor; rows are
+  window summaries, never transactions.
 """
 from __future__ import annotations
 
@@ -17,7 +17,7 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
 from driftline.functions.columns import classify_level, flagged, psi_sum
@@ -137,36 +137,91 @@ LADDER_IN = ("model_version string, seq long, batch_id string, now_us long, halt
              "trig boolean, any_warn boolean, required long, recal boolean, cool_us long")
 LADDER_OUT = ("model_version string, seq long, batch_id string, action string, "
               "confirmed_streak long, cooldown_active boolean")
-LADDER_STATE = "streak long, last_us long"
-
-
-def _ladder_step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    streak, last = (0, None)
-    if state.exists:
-        streak, last = state.get
-        last = None if last is None or pd.isna(last) else int(last)
-    # one row per window: a backfill of thousands is a few hundred kB
-    rows = pd.concat(list(pdfs)).sort_values("seq")
-    out = []
-    for r in rows.itertuples(index=False):
-        if r.halt:
-            out.append((r.model_version, r.seq, r.batch_id, "HALT", 0, False))
-            streak = 0
-            continue
-        streak = streak + 1 if r.trig else 0
-        cooldown = last is not None and (r.now_us - last) < r.cool_us
-        if not r.trig:
-            action = "WATCH" if r.any_warn else "NO_ACTION"
-        elif streak < r.required or cooldown:
+LADDER_DONE = "streak long, last_us long, due long"
+LADDER_WAITING = ("batch_id string, now_us long, halt boolean, trig boolean, any_warn boolean, required long, "
+                  "recal boolean, cool_us long")
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class LadderProcessor(StatefulProcessor):
+    """The ladder of one model: windows are decided one by one in the order of ``seq`` (1, 2,
+    ...). One that comes before its turn waits in the state store, on disk, so what a
+    worker holds is one Arrow batch, however large the backfill and whatever its order. A
+    window whose number is done already (a repeated row) is passed over. With ``patience_ms``
+    a timer gives a missing window up: the next that waits is decided instead."""
+
+    def __init__(self, patience_ms: int | None = None):
+        self.patience_ms = patience_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.done = handle.getValueState("done", LADDER_DONE)
+        self.waiting = handle.getMapState("waiting", "seq long", LADDER_WAITING)
+
+    def _load(self) -> None:
+        self.streak, self.last, self.due = self.done.get() if self.done.exists() else (0, None, 1)
+        self.open = self.waiting.exists()
+
+    def _decide(self, model: str, w: tuple) -> tuple:
+        batch_id, now_us, halt, trig, any_warn, required, recal, cool_us = w
+        seq, self.due = self.due, self.due + 1
+        if halt:
+            self.streak = 0
+            return model, seq, batch_id, "HALT", 0, False
+        self.streak = self.streak + 1 if trig else 0
+        cold = self.last is not None and now_us - self.last < cool_us
+        if not trig:
+            action = "WATCH" if any_warn else "NO_ACTION"
+        elif self.streak < required or cold:
             action = "WATCH"
         else:
-            action = "RECALIBRATE_THRESHOLD" if r.recal else "RETRAIN"
+            action = "RECALIBRATE_THRESHOLD" if recal else "RETRAIN"
         if action == "RETRAIN":
-            last = int(r.now_us)
-        out.append((r.model_version, r.seq, r.batch_id, action, streak, bool(cooldown)))
-    state.update((int(streak), last))
-    yield pd.DataFrame(out, columns=["model_version", "seq", "batch_id", "action", "confirmed_streak",
-                                     "cooldown_active"])
+            self.last = now_us
+        return model, seq, batch_id, action, self.streak, cold
+
+    def _due_ones(self, model: str) -> Iterator[tuple]:
+        """Decisions of the windows in the store whose turn it is."""
+        while self.open and self.waiting.containsKey((self.due,)):
+            w = self.waiting.getValue((self.due,))
+            self.waiting.removeKey((self.due,))
+            yield self._decide(model, tuple(w))
+
+    def _keep(self, timers) -> None:
+        self.done.update((self.streak, self.last, self.due))
+        if self.patience_ms is not None and self.waiting.exists():
+            self.handle.registerTimer(timers.getCurrentProcessingTimeInMs() + self.patience_ms)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        self._load()
+        for pdf in rows:
+            out = []
+            for r in pdf.sort_values("seq").itertuples(index=False):
+                w = (r.batch_id, int(r.now_us), bool(r.halt), bool(r.trig), bool(r.any_warn), int(r.required),
+                     bool(r.recal), int(r.cool_us))
+                if r.seq > self.due:
+                    self.waiting.updateValue((int(r.seq),), w)
+                    self.open = True
+                elif r.seq == self.due:
+                    out.append(self._decide(key[0], w))
+                    out.extend(self._due_ones(key[0]))
+            yield pd.DataFrame(out, columns=LADDER_NAMES)
+        self._keep(timerValues)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self._load()
+        out = []
+        if self.open:
+            self.due = min(k[0] for k in self.waiting.keys())
+            out = list(self._due_ones(key[0]))
+        self._keep(timerValues)
+        yield pd.DataFrame(out, columns=LADDER_NAMES)
+
+    def close(self) -> None:
+        pass
+
+
+LADDER_NAMES = ["model_version", "seq", "batch_id", "action", "confirmed_streak", "cooldown_active"]
 
 
 def ladder_inputs(flags: DataFrame, policy: Policy) -> DataFrame:
@@ -181,7 +236,10 @@ def ladder_inputs(flags: DataFrame, policy: Policy) -> DataFrame:
         F.lit(policy.cooldown_days * 86400 * 1_000_000).cast("long").alias("cool_us"))
 
 
-def stateful_ladder(stream: DataFrame) -> DataFrame:
-    """Streak and cooldown carried in group state per model version."""
-    return stream.groupBy("model_version").applyInPandasWithState(
-        _ladder_step, LADDER_OUT, LADDER_STATE, "append", GroupStateTimeout.NoTimeout)
+def stateful_ladder(stream: DataFrame, patience_ms: int | None = None) -> DataFrame:
+    """Streak and cooldown carried in a state processor per model version. The session is
+    set to the state store that such processors need (running streams keep their own)."""
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    return stream.groupBy("model_version").transformWithStateInPandas(
+        statefulProcessor=LadderProcessor(patience_ms), outputStructType=LADDER_OUT, outputMode="append",
+        timeMode="None" if patience_ms is None else "ProcessingTime")

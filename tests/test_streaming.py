@@ -123,3 +123,38 @@ def test_stateful_ladder_equals_batch_fold(spark):
     got = {r.batch_id: (r.action, r.confirmed_streak, r.cooldown_active)
            for r in spark.sql("SELECT * FROM ladder_w4").collect()}
     assert got == want
+
+
+def test_ladder_takes_windows_in_any_order_and_restarts(spark):
+    import random
+
+    from driftline.streaming.stream import LADDER_IN
+    rnd, day = random.Random(3), 86_400_000_000
+    rows = [("m" if i % 3 else "n", 0, f"w{i}", i * day, rnd.random() < 0.1, rnd.random() < 0.6, rnd.random() < 0.5, 2,
+             rnd.random() < 0.2, 7 * day) for i in range(1500)]
+    seq = {"m": 0, "n": 0}
+    for k, r in enumerate(rows):
+        seq[r[0]] += 1
+        rows[k] = (r[0], seq[r[0]], *r[2:4], r[4], r[5] and not r[4], *r[6:])
+    want, state = {}, {"m": (0, None), "n": (0, None)}
+    for model, n, batch, now, halt, trig, warn, need, recal, cool in rows:
+        streak, last = state[model]
+        streak = streak + 1 if trig else 0
+        cold = not halt and last is not None and now - last < cool
+        action = ("HALT" if halt else "WATCH" if trig and (streak < need or cold) else "RECALIBRATE_THRESHOLD" if trig and recal
+                  else "RETRAIN" if trig else "WATCH" if warn else "NO_ACTION")
+        state[model] = (streak, now if action == "RETRAIN" else last)
+        want[batch] = (action, streak, cold)
+    rnd.shuffle(rows)
+    src, out, ck = (tempfile.mkdtemp(prefix=f"dl-{x}-") for x in ("ladder", "out", "ck"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")      # many batches for each model
+    try:
+        for name, part in (("a", rows[:900]), ("b", rows[900:] + rows[:20])):    # a restart between, and repeated rows
+            spark.createDataFrame(part, LADDER_IN).coalesce(1).write.parquet(os.path.join(src, name))
+            stream = spark.readStream.schema(LADDER_IN).parquet(src + "/*")
+            stateful_ladder(stream).writeStream.format("parquet").option("path", out).option(
+                "checkpointLocation", ck).trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = spark.read.parquet(out).collect()
+    assert len(got) == 1500 and {r.batch_id: (r.action, r.confirmed_streak, r.cooldown_active) for r in got} == want
