@@ -5,11 +5,12 @@
 * L4-L6 cooldown: depends on earlier RETRAIN decisions, so it is a fold: per
   model (and policy), the windows that are ready to retrain are gathered in order
   and folded with ``aggregate`` inside Catalyst into the retrains that happen. The
-  fold sees one small row per such window, never transactions; all else is computed
-  window by window from the retrains.
+  fold sees one small row per such window, never transactions; the retrains are then
+  joined to their windows, and all else follows from the last one before each.
 """
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -85,10 +86,13 @@ def decide(flags: DataFrame, keys: Sequence[str], p: Callable[[str], Column],
 
     folded = df.groupBy(*keys).agg(F.aggregate(
         F.array_sort(F.collect_list(F.when(ready, item))), init, step)["done"].alias("_retrains"))
-    out = df.join(folded, list(keys))
-    earlier = F.filter("_retrains", lambda r: r["seq"] < F.col(seq))
-    before = F.coalesce(F.array_max(F.transform(earlier, lambda r: r["us"])), F.col("_last0"))
-    out = out.select("*", before.alias("_before"))
+    # each retrain stands at its window, and every later window sees the last one before it
+    marks = folded.select(*keys, F.explode("_retrains").alias("_r")).select(
+        *keys, F.col("_r.seq").alias("_seq"), F.col("_r.us").alias("_us"))
+    same = [F.col(f"f.{k}").eqNullSafe(F.col(f"m.{k}")) for k in keys] + [F.col(f"f.{seq}") == F.col("m._seq")]
+    out = df.alias("f").join(marks.alias("m"), functools.reduce(lambda a, b: a & b, same), "left").select("f.*", "m._us")
+    earlier = Window.partitionBy(*keys).orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
+    out = out.select("*", F.coalesce(F.last("_us", ignorenulls=True).over(earlier), F.col("_last0")).alias("_before"))
     cooldown = F.coalesce(~F.col("halt") & ((F.col("_now_us") - F.col("_before")) < F.col("_cool_us")), F.lit(False))
     out = out.select("*", cooldown.alias("cooldown_active"))
     action = (F.when(F.col("halt"), "HALT")
@@ -116,4 +120,4 @@ def decide(flags: DataFrame, keys: Sequence[str], p: Callable[[str], Column],
         "*", severity.alias("severity"),
         F.when(F.col("halt"), 0).otherwise(F.col("streak")).alias("confirmed_streak"),
         reasons.alias("reasons"), (~F.col("halt")).alias("in_history")).drop(
-        "_required", "_recal", "_cool_us", "_now_us", "_streak0", "_last0", "_retrains", "_before")
+        "_required", "_recal", "_cool_us", "_now_us", "_streak0", "_last0", "_us", "_before")
