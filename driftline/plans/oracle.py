@@ -650,6 +650,19 @@ def sql_queries() -> dict[str, str]:
         SELECT t.lang, t.n_scored, CAST(p.n_rows AS BIGINT) AS n_labeled, CAST(p.n_frauds AS BIGINT) AS n_frauds,
                round(p.pr_auc, 6) AS pr_auc, round(p.roc_auc, 6) AS roc_auc
         FROM (SELECT lang, count(*) AS n_scored FROM docs GROUP BY lang) t LEFT JOIN pm_f1 p USING (lang)""")
+    arriving = ev + """, lab AS (SELECT row_id, label, event_time + to_days(CAST(CAST(row_id AS BIGINT) % 5 AS INTEGER)) AS came
+            FROM ev WHERE CAST(row_id AS BIGINT) % 7 <> 0),
+        lab2 AS (SELECT * FROM lab UNION ALL
+                 SELECT row_id, 1 - label, came + INTERVAL 1 HOUR FROM lab WHERE CAST(row_id AS BIGINT) % 3 = 0)"""
+    graded = """SELECT e.batch_id AS day, count(*) AS n_scored, count(n.label) AS n_labeled,
+        CAST(sum(n.label) AS BIGINT) AS n_errors FROM ev e LEFT JOIN newest n USING (row_id)"""
+    q["late_labels_stream"] = _with(arriving + """, newest AS (SELECT l.row_id, arg_max(l.label, came) AS label
+        FROM lab2 l JOIN ev e USING (row_id) WHERE came BETWEEN event_time AND event_time + INTERVAL 2 DAY GROUP BY l.row_id)""",
+        graded + """ WHERE e.batch_id < (SELECT strftime(max(event_time) - INTERVAL 4 DAY, '%Y-%m-%d') FROM ev)
+        GROUP BY e.batch_id""")
+    q["late_labels_days"] = _with(arriving + """, newest AS (SELECT row_id, arg_max(label, came) AS label FROM lab2
+        GROUP BY row_id)""", graded + f""" GROUP BY e.batch_id
+        HAVING max(e.event_time) <= TIMESTAMP '2024-02-15 00:00:00' - INTERVAL {Policy().label_delay_days} DAY""")
     q["wide_feature_drift"] = _with(WIDE, """SELECT batch_id, feature, round(psi, 6) AS psi, psi_level,
         round(ks_statistic, 6) AS ks_statistic, ks_significant, round(0.01 / 64, 6) AS ks_alpha_corrected FROM fd""")
     q["wide_top_drifted"] = _with(WIDE + "," + SUMMARY, "SELECT batch_id, CAST(rk - 1 AS BIGINT) AS rank, feature "

@@ -709,6 +709,40 @@ def late_labels_join(spark, sf):
         "lang", "n_scored", F.col("n_rows").alias("n_labeled"), "n_frauds", "pr_auc", "roc_auc"))
 
 
+def _arriving_labels(ev):
+    """Labels of the events: a seventh never come, the others after 0 to 4 days, and a third of
+    all a second time an hour later, turned round."""
+    i = F.col("row_id").cast("long")
+    at = F.col("event_time") + F.make_dt_interval(days=(i % 5).cast("int"))
+    first = F.struct(F.col("label").alias("label"), at.alias("arrived"))
+    again = F.struct((1 - F.col("label")).alias("label"), (at + F.expr("INTERVAL 1 HOUR")).alias("arrived"))
+    made = F.explode(F.when(i % 3 == 0, F.array(first, again)).otherwise(F.array(first))).alias("l")
+    return ev.where(i % 7 != 0).select("row_id", made).select("row_id", "l.label", "l.arrived")
+
+
+@query
+def late_labels_stream(spark, sf):
+    """W3 as a stream-stream join: labels within two days of their event, on days that are
+    closed by both watermarks for certain."""
+    made = stream.late_labels_stream(events_stream(spark, sf), _arriving_labels(events_stream(spark, sf)), "row_id",
+                                     "event_time", "arrived", "2 days")
+    rows = stream.newest_labels(stream.run_available(made, "late-labels"), "row_id")
+    last = events_scored(spark, sf).agg(F.date_format(F.max("event_time") - F.expr("INTERVAL 4 DAYS"), "yyyy-MM-dd")
+                                        .alias("d")).scalar()
+    return finalize(rows.where(F.col("batch_id") < last).groupBy(F.col("batch_id").alias("day")).agg(
+        F.count(F.lit(1)).alias("n_scored"), F.count("label").alias("n_labeled"), F.sum("label").alias("n_errors")))
+
+
+@query
+def late_labels_days(spark, sf):
+    """W3 with a time column: only days whose newest event is old enough are graded."""
+    ev = events_scored(spark, sf)
+    joined = stream.late_labels(ev, _arriving_labels(ev), "row_id", "event_time", F.lit(EVENTS_NOW),
+                                Policy().label_delay_days, arrived="arrived")
+    return finalize(joined.groupBy(F.col("batch_id").alias("day")).agg(
+        F.count(F.lit(1)).alias("n_scored"), F.count("label").alias("n_labeled"), F.sum("label").alias("n_errors")))
+
+
 def _wide(spark, sf):
     """64 embedding dimensions as features (element access, no reshaping
     shuffle); even vec_id rows are the reference, odd rows the batch."""

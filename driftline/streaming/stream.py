@@ -4,7 +4,8 @@
   ``availableNow`` trigger, idempotent ``foreachBatch`` writes keyed by epoch);
 * W2: event-time daily windows with a watermark (append mode): counts and flags, and each
   feature's bin counts with their PSI when the day closes;
-* W3: late labels attached to stored scores with a maturity filter (batch join);
+* W3: late labels attached to stored scores with a maturity filter (batch join), or to a
+  stream of scores (stream-stream join with watermarks on both sides);
 * W4: the streak / cooldown state carried per model in a state processor; rows are
   window summaries, never transactions.
 """
@@ -133,6 +134,27 @@ def late_labels(scores: DataFrame, labels: DataFrame, key: str, ts: str | None,
     return joined.join(mature, batch, "left_semi")
 
 
+def late_labels_stream(scores: DataFrame, labels: DataFrame, key: str, ts: str, arrived: str, delay: str = "30 days",
+                       label: str = "label", slack: str = "1 day") -> DataFrame:
+    """W3 as a stream: scores left-joined to the labels that arrive within ``delay`` of them.
+    A label is emitted when both rows are there; a score without one when the watermarks
+    of both sides have passed its delay, with a null label. So state is what is younger
+    than delay and slack. A key with several labels has a row for each, with ``arrived``;
+    newest_labels() keeps the last. Labels that come before their score don't count."""
+    s = scores.drop(label).withColumn("_scored_at", F.col(ts).cast("timestamp")).withWatermark("_scored_at", slack)
+    l = labels.select(F.col(key).alias("_key"), F.col(label).alias(label), F.col(arrived).cast("timestamp").alias("_arrived_at")) \
+        .withWatermark("_arrived_at", slack)
+    within = F.expr(f"_arrived_at >= _scored_at AND _arrived_at <= _scored_at + INTERVAL {delay}")
+    return s.join(l, (F.col(key) == F.col("_key")) & within, "left_outer").drop("_key", "_scored_at") \
+        .withColumnRenamed("_arrived_at", "arrived")
+
+
+def newest_labels(rows: DataFrame, key: str, label: str = "label") -> DataFrame:
+    """One row for each key of what late_labels_stream() emitted, with its newest label."""
+    others = [c for c in rows.columns if c not in (key, label, "arrived")]
+    return rows.groupBy(key).agg(F.max_by(label, "arrived").alias(label), *[F.first(c).alias(c) for c in others])
+
+
 LADDER_IN = ("model_version string, seq long, batch_id string, now_us long, halt boolean, "
              "trig boolean, any_warn boolean, required long, recal boolean, cool_us long")
 LADDER_OUT = ("model_version string, seq long, batch_id string, action string, "

@@ -158,3 +158,32 @@ def test_ladder_takes_windows_in_any_order_and_restarts(spark):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     got = spark.read.parquet(out).collect()
     assert len(got) == 1500 and {r.batch_id: (r.action, r.confirmed_streak, r.cooldown_active) for r in got} == want
+
+
+def test_label_stream_equals_the_batch_join_and_drops_its_state(spark):
+    import datetime as dt
+
+    from driftline.streaming.stream import late_labels_stream, newest_labels
+    t = lambda day, hour=0: dt.datetime(2024, 3, day, hour)
+    scores = [("a", "b1", t(1), 0.9), ("b", "b1", t(1), 0.1), ("c", "b2", t(2), 0.5), ("z", "b9", t(20), 0.5)]
+    labels = [("a", 0, t(2)), ("a", 1, t(3)), ("c", 1, t(9)), ("c", 1, t(1)), ("z", 0, t(20, 1))]
+    s_schema, l_schema = "k string, batch_id string, ts timestamp, score double", "k string, label int, at timestamp"
+    s_dir, l_dir, out = (tempfile.mkdtemp(prefix=f"dl-{x}-") for x in ("scores", "labels", "joined"))
+    made = late_labels_stream(spark.readStream.schema(s_schema).parquet(s_dir + "/*"),
+                              spark.readStream.schema(l_schema).parquet(l_dir + "/*"), "k", "ts", "at", "5 days", slack="1 day")
+    q = (made.writeStream.format("parquet").option("path", out).option("checkpointLocation", tempfile.mkdtemp()).start())
+    spark.createDataFrame(scores[:3], s_schema).write.parquet(s_dir + "/one")
+    spark.createDataFrame(labels[:1], l_schema).write.parquet(l_dir + "/one")
+    q.processAllAvailable()
+    spark.createDataFrame(labels[1:4], l_schema).write.parquet(l_dir + "/two")     # the newer label comes in a later batch
+    q.processAllAvailable()
+    spark.createDataFrame(scores[3:], s_schema).write.parquet(s_dir + "/two")
+    spark.createDataFrame(labels[4:], l_schema).write.parquet(l_dir + "/three")
+    q.processAllAvailable()
+    kept = sum(x.numRowsTotal for x in q.lastProgress.stateOperators) if q.lastProgress else None
+    q.stop()
+    rows = newest_labels(spark.read.schema(made.schema).parquet(out), "k")
+    # c's labels come before its score and after the delay: it has none
+    assert {r.k: (r.batch_id, r.label) for r in rows.collect()} == {"a": ("b1", 1), "b": ("b1", None), "c": ("b2", None),
+                                                                    "z": ("b9", 0)}
+    assert kept is None or kept <= 2          # only z and its label are still held
