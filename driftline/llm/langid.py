@@ -20,6 +20,7 @@ columns are ignored unless named in ``keep``."""
 from __future__ import annotations
 
 import re
+import uuid
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
@@ -59,6 +60,12 @@ _RANGES = [(0x0000, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530,
 _STARTS = [a for a, _ in _RANGES]
 
 
+#: Words that a worker counts before it passes them on, and rows in what it passes on.
+COUNTED, PIECE = 80_000, 10_000
+#: Words, and trigrams, whose scores a worker remembers (some 300 bytes each).
+REMEMBERED = 60_000
+
+
 def script(word: str) -> str:
     return _RANGES[bisect_right(_STARTS, ord(word[0])) - 1][1]
 
@@ -69,16 +76,22 @@ def word_counts(rows: DataFrame, lang: str = "lang", text: str = "text") -> Data
         seen: dict[str, Counter] = {}
 
         def emit():
-            flat = [(g, script(w), w, n) for g, c in seen.items() for w, n in c.items()]
-            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in flat], t) for i, t in enumerate(
-                (pa.string(), pa.string(), pa.string(), pa.int64()))], names=["lang", "script", "word", "n"])
+            while seen:                                # column by column, a language at a time
+                g, c = seen.popitem()
+                words, counts = list(c), list(c.values())
+                del c
+                for i in range(0, len(words), PIECE):
+                    some = words[i:i + PIECE]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([g] * len(some), pa.string()), pa.array([script(w) for w in some], pa.string()),
+                         pa.array(some, pa.string()), pa.array(counts[i:i + PIECE], pa.int64())],
+                        names=["lang", "script", "word", "n"])
         for b in batches:
             for g, t in zip(b.column("lang").to_pylist(), b.column("text")):
                 seen.setdefault(g, Counter()).update(_WORD.findall(t.as_py().lower()))
-            if sum(map(len, seen.values())) > 300_000:
-                yield emit()
-                seen = {}
-        yield emit()
+                if sum(map(len, seen.values())) > COUNTED:
+                    yield from emit()
+        yield from emit()
 
     src = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text")).dropna()
     return map_in_arrow(src, run, "lang string, script string, word string, n long") \
@@ -130,7 +143,7 @@ class _Rows(dict):
     def __missing__(self, gram: str) -> tuple[float, ...]:
         import xxhash
 
-        if len(self) >= 200_000:
+        if len(self) >= REMEMBERED:
             self.clear()
         cell = xxhash.xxh64_intdigest(gram.encode("utf-8"), 42) & (BUCKETS - 1)
         made = self[gram] = tuple(self.cells[cell].tolist())
@@ -155,7 +168,7 @@ class Labeller:
             top = max(s)
             s = [x - top if x - top > FLOOR else FLOOR for x in s]
         made = (s.index(0.0) if s.count(0.0) == 1 else -1, tuple(s))
-        if len(self._known) >= 300_000:
+        if len(self._known) >= REMEMBERED:
             self._known.clear()
         self._known[w] = made
         return made
@@ -207,13 +220,24 @@ class Labeller:
             {"lang": langs[k], "first": i, "words": c} for k, i, c in spans]
 
 
+_CURRENT: dict[str, Labeller] = {}
+
+
+def _labeller(token: str, model) -> Labeller:
+    """The labeller of a call of label(): one for each worker, whatever number of tasks it runs."""
+    if token not in _CURRENT:
+        _CURRENT.clear()
+        _CURRENT[token] = Labeller(model())
+    return _CURRENT[token]
+
+
 def label(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
     """``keep``, lang_pred, lang_score and lang_spans (language, first word, words) of
     every whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, token = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
     span = T.StructType([T.StructField("lang", T.StringType()), T.StructField("first", T.IntegerType()),
                          T.StructField("words", T.IntegerType())])
     return map_columns(docs, [text], [T.StructField("lang_pred", T.StringType(), False),
                                       T.StructField("lang_score", T.DoubleType(), False),
                                       T.StructField("lang_spans", T.ArrayType(span, False), False)],
-                       keep, lambda: Labeller(shared.value).label)
+                       keep, lambda: _labeller(token, lambda: shared.value).label)
