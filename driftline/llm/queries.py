@@ -54,7 +54,7 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring.repeated_passages(read(spark, sf_dir, "documents"))
+    return substring.both_ways(substring.repeated_passages(read(spark, sf_dir, "documents")))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
