@@ -25,7 +25,8 @@ holds is no single task's burden in them.
 Cases: a null text stays null; a document may end up empty; rows equal in id and
 text are one document seen twice and get the same edit; rows with a null id come
 first in the order; an empty table gives no rows; all other columns pass through,
-whatever their names."""
+whatever their names: where the input has a column of an output's name, the output's
+name gets underscores until it is free (``removed_lines_``)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
@@ -178,10 +179,23 @@ def edit(text: str | None, found, min_words: int) -> tuple[str | None, int, list
     return "\n".join(x for x, g in zip(lines, gone) if not g), sum(gone), told
 
 
+def own_names(columns: list[str]) -> dict[str, str]:
+    """Names of the operator's own columns beside the input's (compared as Spark does, without case)."""
+    taken, out = {c.lower() for c in columns}, {}
+    for name in ("removed_lines", "removed_runs"):
+        free = name
+        while free in taken:
+            free += "_"
+        taken.add(free)
+        out[name] = free
+    return out
+
+
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id",
                 text: str = "text") -> DataFrame:
     """The documents with later copies of line runs deleted from ``text``, and
-    removed_lines and removed_runs (stretches of lines of the original text)."""
+    removed_lines and removed_runs (stretches of lines of the original text), under
+    the names that ``own_names`` gives."""
     found = copies(docs, id_col, text, min_words)
     rows, names = masked(docs)
     key, body = names[id_col], names[text]
@@ -196,4 +210,4 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
     keep = [n for c, n in names.items() if c != text]
     out = map_columns(joined, [body, "copies"], fields, keep, lambda: lambda t, f: edit(t, f, min_words))
     return out.select(*[F.col("edited").alias(c) if c == text else F.col(n).alias(c) for c, n in names.items()],
-                      *[c for c in ("removed_lines", "removed_runs") if c not in names])
+                      *[F.col(c).alias(n) for c, n in own_names(docs.columns).items()])

@@ -116,5 +116,12 @@ def test_columns_and_empty_table(spark):
     assert out.columns == docs.columns + ["removed_lines", "removed_runs"] and out.count() == len(EDGE)
     clash = docs.withColumnRenamed("n_words", "removed_lines").withColumnRenamed("score", "copies") \
         .withColumnRenamed("fp", "d")
-    assert L.dedup_lines(clash).columns == clash.columns + ["removed_runs"]
+    got = L.dedup_lines(clash)
+    assert got.columns == clash.columns + ["removed_lines_", "removed_runs"]
+    # the input's values and the operator's counts stand side by side
+    assert {r.removed_lines for r in got.collect()} == {7}
+    counts = lambda rows, c: sorted((str(r.doc_id), r[c]) for r in rows.collect())
+    assert counts(got, "removed_lines_") == counts(out, "removed_lines") and sum(n for _, n in counts(out, "removed_lines"))
+    upper = clash.withColumnRenamed("removed_lines", "Removed_Lines").withColumnRenamed("lang", "removed_lines_")
+    assert L.dedup_lines(upper).columns == upper.columns + ["removed_lines__", "removed_runs"]
     assert L.dedup_lines(docs.limit(0)).count() == 0
