@@ -18,7 +18,8 @@ part is not removed as a whole (it may be the same all over the site).
 Elements that say what they are (nav, footer, class "sidebar", role "search" ...) and
 text that is no content (scripts, forms ...) are left out on every page, also on
 hosts with too few pages; where a page marks its article or main part, only that
-counts.
+counts. Text is judged by the element it is read in: a button, a list of choices or a
+hidden or advertising span inside a paragraph goes alone and doesn't split it.
 
 Only path and text hashes are shuffled, combined before the shuffle, so a host with a
 third of all pages costs no task more than others; the html itself is joined with the
@@ -65,6 +66,12 @@ banner notice notices cookie cookies consent gdpr popup modal overlay lightbox n
 signin login register form search share sharing social follow comment comments discussion reply replies disqus
 respond reactions related recommended recommendations widget widgets toolbar pagination pager copyright legal
 disclaimer alert alerts skip hidden""".split())
+#: Dropped elements that are shown as a box of their own, which parts words.
+_BOXES = set("button select textarea iframe object canvas audio video svg math".split())
+#: Those words that also count for elements inside a line of text (there, "comment" or "follow" can name anything).
+_INLINE = set("ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promos hidden".split())
+#: Beside "related", these name a part of a paper and no list of links.
+_PAPER = set("work works research literature studies".split())
 _ROLES = set("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar "
              "note status".split())
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
@@ -85,6 +92,8 @@ class Node:
     main: int                      # hash of the innermost article or main element around it, or 0
     block: bool
     header: bool = False           # inside a header of an article
+    mute: bool = False             # dropped by an element inside a line of text: its text goes, the line stays one
+    near: tuple[int, ...] = ()     # ``says`` of the innermost block
     children: list[str] = field(default_factory=list)
 
 
@@ -95,6 +104,7 @@ class Block:
     main: int                      # hash of the innermost article or main element around it, or 0
     heading: bool
     text: str
+    pieces: list[tuple[str, tuple[int, ...]]] | None = None    # text and ``says``, if they differ inside the block
 
 
 def _hash(text: str) -> int:
@@ -103,17 +113,18 @@ def _hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text) - (1 << 63)
 
 
-def _label(tag: str, attributes: str) -> tuple[str, bool, bool, bool]:
+def _label(tag: str, attributes: str) -> tuple[str, bool, set[str], bool]:
     """(tag with its class and id words, whether other attributes say that it is no main text,
-    whether those words do, whether it is the main part)."""
+    the words that do, whether it is the main part)."""
     if not attributes or "=" not in attributes and "hidden" not in attributes.lower():
-        return tag, False, False, False
+        return tag, False, set(), False
     words, named, drop, main = set(), set(), False, False
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
         if name in ("class", "id"):
-            named.update(w.lower() for w in _PARTS.findall(value))
-            words |= named
+            found = {w.lower() for w in _PARTS.findall(value)}
+            named |= found - {"related"} if found & _PAPER else found
+            words |= found
         elif name == "role":
             drop = drop or value.lower() in _ROLES
             main = main or value.lower() in ("main", "article")
@@ -122,7 +133,7 @@ def _label(tag: str, attributes: str) -> tuple[str, bool, bool, bool]:
             drop = True
         elif name == "style" and _HIDDEN.search(value):
             drop = True
-    return ".".join([tag, *sorted(words)]), drop, bool(named & _WORDS), main
+    return ".".join([tag, *sorted(words)]), drop, named & _WORDS, main
 
 
 def parse(page: str | None) -> tuple[list[Block], dict[int, str]]:
@@ -132,24 +143,37 @@ def parse(page: str | None) -> tuple[list[Block], dict[int, str]]:
     paths: dict[tuple[int, str], int] = {}
     root = Node("", 0, False, (), 0, True)
     said: list[bool] = []              # per element dropped for its words: whether it holds an article or main part
+    inline: list[bool] = []            # and whether these words count inside a line of text
     under: list[tuple[int, ...]] = []  # per block, the elements around it that are dropped for their words
     stack = [root]
-    parts: list[str] = []
+    parts: list[tuple[str, tuple[int, ...]]] = []
+    plain = lambda raw: " ".join((entities.unescape(raw) if "&" in raw else raw).split())
+
+    def read(raw: str) -> None:
+        top = stack[-1]
+        if not top.mute:
+            says = top.near
+            if len(top.says) > len(says):
+                says = (*says, *[i for i in top.says[len(says):] if inline[i]])
+            parts.append((raw, says))
 
     def flush():
         if parts:
-            raw = "".join(parts)
+            pieces = parts[:]
             parts.clear()
-            text = " ".join((entities.unescape(raw) if "&" in raw else raw).split())
+            text = plain("".join([raw for raw, _ in pieces]))
             if text:
                 top = stack[-1]
+                near = next(n for n in reversed(stack) if n.block)
                 at = [n for n in stack[1:] if n.block]
                 heading = any(n.tag in _HEADINGS for n in at)
-                blocks.append(Block(tuple(n.key for n in at), top.dropped or top.header and not heading, top.main,
-                                    heading, text))
-                under.append(top.says)
+                blocks.append(Block(tuple(n.key for n in at), near.dropped or top.header and not heading, top.main,
+                                    heading, text, pieces if any(says != near.says for _, says in pieces) else None))
+                under.append(near.says)
 
     def pop():
+        if stack[-1].block and not stack[-1].mute:
+            flush()
         node = stack.pop()
         if node.block and node.children:
             styles.setdefault(node.key, ">".join(node.children))
@@ -169,21 +193,21 @@ def parse(page: str | None) -> tuple[list[Block], dict[int, str]]:
     while at < len(page):
         m = _MARKUP.search(page, at)
         if m is None:
-            parts.append(page[at:])
+            read(page[at:])
             break
         if m.start() > at:
-            parts.append(page[at:m.start()])
+            read(page[at:m.start()])
         at = m.end() if m.end() > m.start() else m.start() + 1
         if m.group(3) is None:
             if m.group(1):
-                parts.append(m.group(1).replace("&", "&amp;"))
+                read(m.group(1).replace("&", "&amp;"))
             continue
         tag = m.group(3).lower()
         block = tag in _BLOCK
-        if block or tag == "head":
+        if (block or tag == "head") and not stack[-1].mute:
             flush()
         elif tag in ("br", "img"):
-            parts.append(" ")
+            read(" ")
         if m.group(2):
             if tag == "p":
                 close({"p"}, _WALLS)
@@ -192,7 +216,7 @@ def parse(page: str | None) -> tuple[list[Block], dict[int, str]]:
             continue
         if block:
             if tag not in ("option", "optgroup"):
-                close({"p"}, _WALLS)
+                close({"p"}, _WALLS | {"button", "object", "noscript", "template"})
             if tag in _ENDS:
                 for _ in range(3):
                     close(_ENDS[tag], _WALLS - _ENDS[tag])
@@ -208,9 +232,15 @@ def parse(page: str | None) -> tuple[list[Block], dict[int, str]]:
         own = tag not in ("html", "body", *_HEADINGS)
         drop = up.dropped or tag in _DROP or hard and own or tag == "header" and not up.main
         around = up.says
+        if tag == "section" and up.main and says == {"discussion"}:
+            says = set()               # a part of the article; readers' discussions are told by other words, too
         if says and own and not drop:
             around = (*around, len(said))
             said.append(False)
+            inline.append(bool(says & _INLINE))
+        mute = up.mute or drop and not up.dropped and not block
+        if mute and not up.mute and tag in _BOXES:
+            read(" ")
         if main == key and not drop:
             for i in around:
                 said[i] = True
@@ -218,17 +248,13 @@ def parse(page: str | None) -> tuple[list[Block], dict[int, str]]:
             near = next(n for n in reversed(stack) if n.block)
             if not near.children or near.children[-1] != label:
                 near.children.append(label)
-        stack.append(Node(tag, key, drop, around, main, block, up.header or inner))
+        stack.append(Node(tag, key, drop, around, main, block, up.header or inner, mute, around if block else up.near))
         if tag in _RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(page, at)
-            if tag == "textarea" or not drop:
-                parts.append(page[at:end.start() if end else len(page)])
+            if not drop:
+                read(page[at:end.start() if end else len(page)])
             at = end.end() if end else len(page)
-            if block:
-                flush()
             pop()
-            if not drop:
-                continue
     flush()
     while len(stack) > 1:
         pop()
@@ -237,11 +263,17 @@ def parse(page: str | None) -> tuple[list[Block], dict[int, str]]:
         sizes, total = [0] * len(said), 0
         for block, around in zip(blocks, under):
             if not block.dropped:
-                total += len(block.text)
-                for i in around:
-                    sizes[i] += len(block.text)
+                for size, says in [(len(block.text), around)] if block.pieces is None else \
+                        [(len(plain(raw)), says) for raw, says in block.pieces]:
+                    total += size
+                    for i in says:
+                        sizes[i] += size
+        goes = [not holds and 2 * size <= total for holds, size in zip(said, sizes)]
         for block, around in zip(blocks, under):
-            block.dropped = block.dropped or any(not said[i] and 2 * sizes[i] <= total for i in around)
+            block.dropped = block.dropped or any(goes[i] for i in around)
+            if block.pieces is not None:
+                block.text = plain("".join([raw for raw, says in block.pieces if not any(goes[i] for i in says)]))
+        blocks = [b for b in blocks if b.text]
     return blocks, styles
 
 

@@ -50,6 +50,40 @@ def test_words_drop_no_article_and_no_bulk_of_the_text():
         assert H.main_text(f'<div class="sidebar"><p>links</p></div>{page}', set()) == body
 
 
+def test_elements_inside_a_line():
+    wrap = lambda x: H.main_text(f"<article>{x}<p>end</p></article>", set())
+    for gone in ("<button>Click me</button>", "<span hidden>h</span>", '<span style="display:none">h</span>',
+                 '<span class="advert">buy</span>', "<svg><text>t</text><title>s</title></svg>",
+                 "<noscript>enable scripts</noscript>", "<noscript><p>enable</p><p>scripts</p></noscript>",
+                 "<math><mi>x</mi></math>", "<textarea>type</textarea>", "<button><div>Click</div>me</button>",
+                 "<select><option>o1</option><option>o2</select>", "<script>x<y</script>", '<i aria-hidden="true">h</i>'):
+        assert wrap(f"<p>before {gone} after</p>") == "before after\nend", gone
+        assert wrap(f"<div>before {gone} after</div>") == "before after\nend", gone
+        assert wrap(f"<p>a{gone}<p>b") == "a\nb\nend", gone
+        # an advert is told by its share of the text, so it needs more than "end" beside it
+        assert wrap(f"<p>{gone}</p><p>some more text</p>") == "some more text\nend", gone
+    assert wrap("<p>wo<script>x</script>rd a<button>x</button>b</p>") == "word a b\nend"
+    # ends that are missing take no text with them
+    assert wrap("<p>a <button>Click</p><p>b</p>") == "a\nb\nend"
+    assert wrap("<ul><li>a <button>x<li>b</ul>") == "a\nb\nend"
+    assert wrap("<p>a <span hidden>h<p>b</p>") == "a\nb\nend"
+    # words that name no advert count for blocks only
+    assert wrap('<p>see <a class="follow">the link</a> and <span class="comment"># code</span></p>') \
+        == "see the link and # code\nend"
+    assert wrap('<span class="sidebar"><div>links</div></span><p>a longer text</p>') == "a longer text\nend"
+    assert H.main_text('<p><span class="advert">all there is</span></p>', set()) == "all there is"
+    assert H.main_text("<p>a &amp;<i>amp;</i> b<textarea>t", set()) == "a &amp; b"
+
+
+def test_parts_of_papers():
+    a, b, c = prose(21, 30), prose(22, 12), prose(23, 12)
+    page = (f'<article><p>{a}</p><section class="related-work"><p>{b}</p></section><section class="discussion"><p>{c}</p>'
+            '</section><section class="related"><p>more</p></section><div class="discussion comments"><p>first!</p></div>'
+            "</article>")
+    assert H.main_text(page, set()) == f"{a}\n{b}\n{c}"
+    assert H.main_text(f'<p>{a}</p><section class="discussion"><p>{c}</p></section>', set()) == a
+
+
 def test_short_texts_under_long_templates():
     menu, text = prose(3, 60), "a short but whole article"
     page = f"<body><div class=top><p>{menu}</p></div><div class=x><p>{text}</p></div>"
