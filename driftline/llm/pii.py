@@ -10,7 +10,10 @@ A value is cut in two parts (x, y) of sizes m and n; each round turns (x, y) int
 sizes, so no value of a format is hit twice or left out. Numbers with a check digit
 permute the rest and compute the digit anew; dates permute the days of their
 400-year cycle; e-mail names and secrets permute letters among letters and digits
-among digits. The text around the values is not touched.
+among digits (letters beside ASCII among those of their script). The text around the
+values is not touched. Phone numbers are told by their digits, however they are spaced,
+and with or without +1; a number in a national form without a leading + is none, other
+than ten digits in the North American form, as nothing tells it from other numbers.
 
 Cases: a null text stays null, an empty one empty; a value that occurs often or in
 many documents maps alike everywhere; an empty table gives no rows; other columns
@@ -27,27 +30,42 @@ from driftline.llm.quality import let
 
 ROUNDS = 8
 
-#: Patterns of the kinds, in order of precedence.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}(?![A-Za-z0-9])"
+#: Letters of names and domains beside ASCII: Latin, Greek, Cyrillic and combining marks.
+_LETTERS = "À-ԯ"
+#: Patterns of the kinds, in order of precedence. Runs of one class have no upper limit: Java reads them in a loop.
+EMAIL = (rf"(?<![A-Za-z0-9._%+{_LETTERS}-])[A-Za-z0-9._%+{_LETTERS}-]++@[A-Za-z0-9{_LETTERS}]"
+         rf"[A-Za-z0-9.{_LETTERS}-]*\.[A-Za-z{_LETTERS}]{{2,}}(?![A-Za-z0-9{_LETTERS}])")
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 ACCESS_KEY = r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])"
+#: Key words and the shortest value that counts after them.
+KEY_WORDS = ((r"(?i:pass(?:word|wd|phrase)|pwd)", 4), (r"(?i:token|secret|(?:api|access|private|secret)[_-]?key)", 8))
 #: What stands between a key word and its value: =, :, := or =>, blanks, the quote that ends a quoted key.
-_SEP = r"[\"']?[ \t]{0,8}(?::=|=>|=|:)[ \t]{0,8}"
-_BEFORE = r"(?<=[=:>][ \t]{0,8}QUOTE)(?<=(?i:WORD)" + _SEP + "QUOTE)"
-#: A quoted value goes up to its quote, an unquoted one to the next blank or quote.
-ASSIGNED = "|".join(_BEFORE.replace("WORD", word).replace("QUOTE", quote) + value.replace("LEAST", least)
-                    for word, least in (("password", "4"), ("token", "8"))
-                    for quote, value in (('"', r"[^\"\r\n]{LEAST,}(?=\")"), ("'", r"[^'\r\n]{LEAST,}(?=')"),
-                                         ("[\"']?", r"[^\s\"']{LEAST,}")))
+_SEP = r"[\"']?[ \t]*+(?::=|=>|=|:)[ \t]*+"
+#: (what stays, value): a quoted value goes up to its quote, an unquoted one to the next blank or quote.
+ASSIGNED = [(r"(?i:authorization)" + _SEP + r"[\"']?(?i:bearer|basic|token)[ \t]++", r"[^\s\"',;]{8,}+"),
+            (r"(?i:bearer)[ \t]++", r"(?=[A-Za-z._~+/-]*+[0-9])[A-Za-z0-9._~+/-]{8,}+=*+")] + [
+    (word + _SEP + quote, value.replace("LEAST", str(least))) for word, least in KEY_WORDS
+    for quote, value in (('"', r"[^\"\r\n]{LEAST,}+(?=\")"), ("'", r"[^'\r\n]{LEAST,}+(?=')"),
+                         (r"[\"']?", r"[^\s\"']{LEAST,}+"))]
+#: What an assignment can begin with; other places are passed over at once.
+_FIRST = "(?=[aAbBpPsStT])"
 HEX = r"(?<![A-Za-z0-9])[0-9A-Fa-f]{32,}(?![A-Za-z0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 DATE = (r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})"
         r"(?![0-9]|[./-][0-9])")
 IP = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
+IPV6 = (r"(?<![0-9A-Za-z:.])(?=[A-Fa-f:]*+[0-9])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+        r"|[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6}::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?)(?![0-9A-Za-z:])")
 PHONE = (r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,3}(?![0-9])"
          r"|(?<![0-9(])\(?[0-9]{3}\)?[ .-][0-9]{3}[.-][0-9]{4}(?![0-9])")
 CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
-ANY = "|".join(f"(?:{p})" for p in (ASSIGNED, EMAIL, IBAN, ACCESS_KEY, HEX, SSN, DATE, IP, PHONE, CARD))
+#: Every candidate: what stays in the odd groups, the value in the even ones and in the last.
+ANY = (_FIRST + "(?:" + "|".join(f"({before})({value})" for before, value in ASSIGNED) + ")|("
+       + "|".join(f"(?:{p})" for p in (EMAIL, IBAN, ACCESS_KEY, HEX, SSN, DATE, IP, IPV6, PHONE, CARD)) + ")")
+_STAYS = "".join(f"${2 * i + 1}" for i in range(len(ASSIGNED)))
+_VALUE = "".join(f"${2 * i + 2}" for i in range(len(ASSIGNED))) + f"${2 * len(ASSIGNED) + 1}"
+#: Noncharacters: the mark around values, and what a text's own marks and escapes are written as.
+_MARK, _ESCAPE, _FOR_ESCAPE, _FOR_MARK = "\uFDD0", "\uFDD1", "\uFDD2", "\uFDD3"
 
 
 def _full(v: Column, pattern: str) -> Column:
@@ -88,6 +106,13 @@ def permute_digits(d: Column, key: str, kind: str) -> Column:
 
 
 _CLASSES = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+#: Classes of names: small and capital Latin-1 letters, Greek and Cyrillic letters, and the rest of _LETTERS.
+_span = lambda *parts: "".join(chr(c) for a, b in parts for c in range(a, b))
+_NAME_CLASSES = (*_CLASSES, _span((0xE0, 0xF7), (0xF8, 0x100)), _span((0xC0, 0xD7), (0xD8, 0xDF)),
+                 _span((0x3B1, 0x3CA)), _span((0x391, 0x3A2), (0x3A3, 0x3AA)), _span((0x430, 0x450)),
+                 _span((0x410, 0x430)),
+                 _span((0xD7, 0xD8), (0xDF, 0xE0), (0xF7, 0xF8), (0x100, 0x391), (0x3A2, 0x3A3), (0x3AA, 0x3B1),
+                       (0x3CA, 0x410), (0x450, 0x530)))
 
 
 def permute_chars(v: Column, key: str, kind: str, classes: tuple[str, ...] = _CLASSES) -> Column:
@@ -148,10 +173,20 @@ def _card(v, key):
     return let(_digits(v), lambda d: F.when(F.pmod(_luhn_sum(d), F.lit(10)) == 0, made(d)).otherwise(v))
 
 
+#: First digits of country codes of one digit, and the codes of two; all others have three.
+_ONE_DIGIT = ("1", "7")
+_TWO_DIGITS = ("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 "
+               "81 82 84 86 90 91 92 93 94 95 98").split()
+
+
 def _phone(v, key):
-    code = F.regexp_extract(v, r"^\+[0-9]{1,3}(?=[ .(-])|^\+[0-9]{1,2}", 0)
-    rest = F.substr(v, F.length(code) + 1)
-    return F.concat(code, _refill(rest, permute_digits(_digits(rest), key, "phone")))
+    """The digits after the country code are permuted, whatever stands between them."""
+    def made(d):
+        code = F.when(~v.startswith("+"), 0).when(F.substr(d, F.lit(1), F.lit(1)).isin(*_ONE_DIGIT), 1) \
+            .when(F.substr(d, F.lit(1), F.lit(2)).isin(*_TWO_DIGITS), 2).otherwise(3)
+        return let(code, lambda n: _refill(v, F.concat(
+            F.substr(d, F.lit(1), n), permute_digits(F.substr(d, n + 1), key, "phone"))))
+    return let(_digits(v), made)
 
 
 def _ip(v, key):
@@ -212,7 +247,11 @@ def _iban(v, key):
 
 
 def _email(v, key):
-    return let(F.split(v, "@"), lambda p: F.concat(permute_chars(p[0], key, "email"), F.lit("@"), p[1]))
+    return let(F.split(v, "@"), lambda p: F.concat(permute_chars(p[0], key, "email", _NAME_CLASSES), F.lit("@"), p[1]))
+
+
+def _ipv6(v, key):
+    return permute_chars(v, key, "ipv6", ("0123456789abcdef", "ABCDEF"))
 
 
 def _secret(v, key):
@@ -226,7 +265,8 @@ def _secret(v, key):
 
 #: (kind, pattern, pseudonym of a value with that pattern; invalid values come back unchanged)
 KINDS: list[tuple[str, str, Callable[[Column, str], Column]]] = [
-    ("email", EMAIL, _email), ("date", DATE, _date), ("ssn", SSN, _ssn), ("ip", IP, _ip), ("phone", PHONE, _phone),
+    ("email", EMAIL, _email), ("date", DATE, _date), ("ssn", SSN, _ssn), ("ip", IP, _ip),
+    ("ipv6", IPV6, _ipv6), ("phone", PHONE, _phone),
     ("card", CARD, _card), ("access key", ACCESS_KEY, _secret), ("iban", IBAN, _iban)]
 
 
@@ -242,13 +282,21 @@ def pseudonym(v: Column, key: str) -> Column:
 
 def pseudonymise(docs: DataFrame, key: str, text: str = "text", out: str = "pii") -> DataFrame:
     """The rows with pseudonyms in ``text`` and a struct ``out``: values replaced, by kind."""
-    t = F.col(text)
-    found = F.transform(F.regexp_extract_all(t, F.lit(ANY), F.lit(0)), lambda v: pseudonym(v, key))
-    rows = docs.withColumn(out, found)
-    pieces = F.split(t, ANY, -1)
-    joined = F.array_join(F.zip_with(pieces, F.col(out), lambda p, m: F.concat(
+    t, cut = F.col(text), "__pieces"
+    while cut in docs.columns:
+        cut += "_"
+    # one pass: marks are written around the values, and the marked text is cut at the marks
+    own = F.coalesce(t.contains(_MARK) | t.contains(_ESCAPE), F.lit(False))
+    plain = F.when(own, F.replace(F.replace(t, F.lit(_ESCAPE), F.lit(_ESCAPE + _FOR_ESCAPE)), F.lit(_MARK),
+                                  F.lit(_ESCAPE + _FOR_MARK))).otherwise(t)
+    rows = docs.withColumn(cut, F.split(F.regexp_replace(plain, ANY, f"{_STAYS}{_MARK}{_VALUE}{_MARK}"), _MARK, -1))
+    odd = lambda at: (lambda p, i: F.pmod(i, F.lit(2)) == at)
+    rows = rows.withColumn(out, F.transform(F.filter(cut, odd(1)), lambda v: pseudonym(v, key)))
+    joined = F.array_join(F.zip_with(F.filter(cut, odd(0)), F.col(out), lambda p, m: F.concat(
         F.coalesce(p, F.lit("")), F.coalesce(m["pseudonym"], F.lit("")))), "")
-    rows = rows.withColumn(text, F.when(F.size(F.coalesce(F.col(out), F.array())) > 0, joined).otherwise(t))
+    joined = F.when(own, F.replace(F.replace(joined, F.lit(_ESCAPE + _FOR_MARK), F.lit(_MARK)),
+                                   F.lit(_ESCAPE + _FOR_ESCAPE), F.lit(_ESCAPE))).otherwise(joined)
+    rows = rows.withColumn(text, F.when(F.size(F.coalesce(F.col(out), F.array())) > 0, joined).otherwise(t)).drop(cut)
     changed = F.filter(F.coalesce(F.col(out), F.array().cast(rows.schema[out].dataType)),
                        lambda m: m["value"] != m["pseudonym"])
     return rows.withColumn(out, let(changed, lambda c: F.struct(

@@ -1,4 +1,6 @@
 import datetime
+import hashlib
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -70,6 +72,88 @@ def test_secrets_in_any_spelling_and_length(spark):
     assert run(spark, plain) == plain
 
 
+def test_no_length_or_blanks_let_a_value_through(spark):
+    name, domain = "a.long-name+" * 30 + "x", ".".join(["sub"] * 3000) + ".example.org"
+    texts = [f"to {name}@mail.example.org.", f"at {domain}: jo@{domain}", "password" + " " * 40 + "=" + "\t" * 20 + "hunter2x",
+             "x@" + "a." * 20_000 + "1", "z" * 50_000 + "@", "password" + ":" * 20_000 + " secret" * 3000, "::" * 20_000]
+    out = run(spark, texts)
+    assert name not in out[0] and out[0].endswith("@mail.example.org.") and len(out[0]) == len(texts[0])
+    assert out[1] != texts[1] and out[1].endswith(f"@{domain}") and "hunter" not in out[2]
+    assert out[3] == texts[3] and out[4] == texts[4] and out[6] == texts[6]
+
+
+def test_key_words(spark):
+    texts = ["api_key = sk_live_Ab12Cd34", "secret: horsestaple9", "PASSWD=abcd1234", "pwd: 'ab cd ef'", "Api-Key: q1w2e3r4t5",
+             'client_secret="x y z 12345"', "Authorization: Bearer abcdefghij.klm", "curl -H bearer abc123def456==",
+             "DB_PASSWORD := tops3cret", "passphrase => some9where"]
+    values = ["sk_live_Ab12Cd34", "horsestaple9", "abcd1234", "ab cd ef", "q1w2e3r4t5", "x y z 12345", "abcdefghij.klm",
+              "abc123def456", "tops3cret", "some9where"]
+    for text, value, got in zip(texts, values, run(spark, texts)):
+        at = text.index(value)
+        assert got[:at] == text[:at] and got[at + len(value):] == text[at + len(value):] and len(got) == len(text)
+        assert all(part not in got for part in re.findall(r"[a-z0-9]{4,}", value) if part not in ("live",)), got
+    plain = ["the bearer of a certificate", "a secret is no secret", "authorization is needed", "Keys: a, b", "std::string a::b",
+             "at 12:34:56", "pass: no", "an access key"]
+    assert run(spark, plain) == plain
+
+
+def test_names_in_other_letters_and_addresses(spark):
+    texts = ["müller@example.de", "Γιώργος@example.gr", "иван.петров@пример.рф", "josé@example.es", "łukasz@example.pl",
+             "fe80::1ff:fe23:4567:890a", "2001:DB8:0:1:2:3:4:5", "邮箱：ann.b9@example.org。"]
+    out = run(spark, texts)
+    for was, now in zip(texts[:5], out):
+        (a, at), (b, there) = was.split("@"), now.split("@")
+        assert at == there and len(a) == len(b) and sum(x == y and x != "." for x, y in zip(a, b)) <= 1
+    for was, now in zip(texts[5:7], out[5:]):
+        assert now != was and [len(x) for x in was.split(":")] == [len(x) for x in now.split(":")]
+    assert out[7].startswith("邮箱：") and out[7].endswith("@example.org。") and "ann" not in out[7]
+
+
+def test_marks_of_a_text_itself(spark):
+    for body in ("\ufdd0", "a\ufdd0b\ufdd1c\ufdd1\ufdd2\ufdd1\ufdd3\ufdd0", "\ufdd1\ufdd3"):
+        got = run(spark, [f"{body} 94.28.135.130 {body}", body, "94.28.135.130"])
+        assert got == [f"{body} {got[2]} {body}", body, got[2]]
+
+
+def plain_permute(x, y, m, n, key, kind):
+    for r in range(1, 9):
+        mac = hashlib.sha256(f"{key}|{kind}|{r}|{m}/{n}/{y}".encode()).hexdigest()
+        x, y, m, n = y, (x + int(mac[:15], 16)) % m, n, m
+    return x, y
+
+
+def plain_digits(d, key, kind):
+    h = len(d) // 2
+    x, y = plain_permute(int(d[:h]), int(d[h:]), 10 ** h, 10 ** (len(d) - h), key, kind)
+    return f"{x:0{h}}{y:0{len(d) - h}}"
+
+
+def test_against_plain_python(spark):
+    rnd = random.Random(3)
+    texts, want = [], []
+    for _ in range(25):
+        o = [rnd.randint(0, 255) for _ in range(4)]
+        x, y = plain_permute(o[0] * 256 + o[1], o[2] * 256 + o[3], 65536, 65536, "k", "ip")
+        card = "".join(str(rnd.randint(0, 9)) for _ in range(15))
+        card = next(card + c for c in "0123456789" if luhn(card + c))
+        made = plain_digits(card[:-1], "k", "card")
+        phone = "".join(str(rnd.randint(1, 9)) for _ in range(10))
+        told = plain_digits(phone, "k", "phone")
+        texts.append("{}.{}.{}.{} is ip, ".format(*o) + f"{card} card, +1 ({phone[:3]}) {phone[3:6]}-{phone[6:]}, +44{phone}.")
+        want.append(f"{x // 256}.{x % 256}.{y // 256}.{y % 256} is ip, "
+                    + next(made + c for c in "0123456789" if luhn(made + c))
+                    + f" card, +1 ({told[:3]}) {told[3:6]}-{told[6:]}, +44{told}.")
+    assert run(spark, texts) == want
+
+
+def test_spellings_of_one_phone_number(spark):
+    spellings = ["+1 555 123 4567", "+15551234567", "+1-555-123-4567", "(555) 123-4567", "555-123-4567", "+1 (555) 123-4567"]
+    out = run(spark, spellings + ["+49 30 123456", "+4930123456", "+372 555 1234", "+3725551234"])
+    digits = [re.sub(r"\D", "", x)[-10:] for x in out[:6]]
+    assert len(set(digits)) == 1 and digits[0] != "5551234567"
+    assert out[6].replace(" ", "") == out[7] and out[8].replace(" ", "") == out[9] and out[9].startswith("+372")
+
+
 def test_a_permutation_of_each_format(spark):
     # all pairs of a small format, and all days of some years, hit every value once
     pairs = spark.range(35).select((F.col("id") / 7).cast("long").alias("x"), (F.col("id") % 7).alias("y"))
