@@ -34,6 +34,44 @@ def test_foreign_model_scores_via_arrow_batches(spark):
     assert np.allclose(out["score"].to_numpy(), want)
 
 
+class CountedLoads(LogisticStub):
+    """Leaves a line in a file of the process that unpickles it."""
+
+    def __init__(self, w, folder):
+        super().__init__(w)
+        self.folder = folder
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        with open(os.path.join(self.folder, str(os.getpid())), "a") as f:
+            f.write("loaded\n")
+
+
+def test_large_model_as_a_file_is_loaded_once_per_worker(spark, tmp_path):
+    pdf = pd.DataFrame({"a": np.linspace(-2, 2, 400), "b": np.linspace(1, 0, 400)})
+    df = spark.createDataFrame(pdf).repartition(40)
+    scored = lambda model, limit: scoring.score_python_model(
+        df, model, ["a", "b"], broadcast_bytes=limit).toPandas().sort_values("a")["score"].to_numpy()
+    as_file = scored(CountedLoads([1.0, -0.5], str(tmp_path)), 0)
+    assert np.array_equal(as_file, scored(LogisticStub([1.0, -0.5]), 1 << 20))
+    loads = [open(tmp_path / x).read().count("loaded") for x in os.listdir(tmp_path)]
+    assert loads and set(loads) == {1}
+    # the next model takes the place of the one before
+    assert np.array_equal(scored(LogisticStub([2.0, 0.5]), 0), scored(LogisticStub([2.0, 0.5]), 1 << 20))
+
+
+def test_input_columns_named_like_a_models_own_stay(spark):
+    rows = [(float(i), i % 2, f"f{i}", i, -1.0) for i in range(60)]
+    df = spark.createDataFrame(rows, "x double, label int, features string, prediction long, probability double")
+    model = scoring.train_weighted_gbt(df.select("x", "label"), ["x"], "label", max_iter=2)
+    out = scoring.score(df, model, ["x"])
+    assert out.columns == df.columns + ["score"]
+    assert sorted(r[:5] for r in map(tuple, out.collect())) == sorted(rows)
+    plain = scoring.score(df.select("x", "label"), model, ["x"])
+    assert plain.columns == ["x", "label", "score"]
+    assert sorted(r.score for r in plain.collect()) == sorted(r.score for r in out.collect())
+
+
 def test_missing_model_feature_raises(spark):
     df = spark.createDataFrame(pd.DataFrame({"a": [1.0]}))
     with pytest.raises(MissingFeaturesError, match="b"):
