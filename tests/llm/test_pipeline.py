@@ -49,7 +49,7 @@ def test_stages_on_an_empty_table(spark):
 
 def test_registry(spark):
     names = list(llm_registry())
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)]
     assert set(llm_sql()) <= set(names)
     for n in ("op2_html_text", "op5_langid", "op9_pii"):
         assert llm_registry()[n](spark, SF001).count() > 0
