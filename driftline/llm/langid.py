@@ -10,8 +10,10 @@ Prediction: the script of a word, read off code point ranges, narrows the langua
 to those that were seen in that script. A word's score for a language is the sum of
 the log probabilities of its trigrams. Viterbi finds the labelling of all words of
 the text with the best sum of scores, where each change of language costs
-``SWITCH``; its runs are the language spans of mixed texts. The prediction is the
-language that labels most letters, the score its share of the letters.
+``SWITCH``; its runs are the language spans of mixed texts. Where no stretch of a text
+gains what leaving its best language and coming back costs, that language is the best
+labelling, and running sums over all words tell so without the search. The prediction is
+the language that labels most letters, the score its share of the letters.
 
 Cases: null texts and texts without a letter are ``und`` with score 0; rows without
 id, language or text teach nothing; without any training row everything is ``und``;
@@ -62,7 +64,7 @@ _STARTS = [a for a, _ in _RANGES]
 
 #: Words that a worker counts before it passes them on, and rows in what it passes on.
 COUNTED, PIECE = 80_000, 10_000
-#: Words, and trigrams, whose scores a worker remembers (some 300 bytes each).
+#: Words, and trigrams, whose scores a worker remembers (some 200 bytes each).
 REMEMBERED = 60_000
 
 
@@ -133,53 +135,93 @@ def learn(docs: DataFrame) -> Model:
     return Model(langs, logs.astype(np.float32), scripts)
 
 
-class _Rows(dict):
-    """Trigram to its scores in all languages; filled on demand, emptied when large."""
+class _Grams(dict):
+    """Trigram to its cell; filled on demand."""
 
-    def __init__(self, logs: np.ndarray):
-        super().__init__()
-        self.cells = logs.T
-
-    def __missing__(self, gram: str) -> tuple[float, ...]:
+    def __missing__(self, gram: str) -> int:
         import xxhash
 
-        if len(self) >= REMEMBERED:
-            self.clear()
-        cell = xxhash.xxh64_intdigest(gram.encode("utf-8"), 42) & (BUCKETS - 1)
-        made = self[gram] = tuple(self.cells[cell].tolist())
+        made = self[gram] = xxhash.xxh64_intdigest(gram.encode("utf-8"), 42) & (BUCKETS - 1)
         return made
 
 
+#: Words of a text that are looked up at once.
+_AT_ONCE = 20_000
+#: Rounding of sums of scores is less than this.
+_CLOSE = 1e-3
+
+
 class Labeller:
     def __init__(self, model: Model):
         self.model = model
-        self.rows = _Rows(model.logs)
-        self._known: dict[str, tuple[int, tuple[float, ...]]] = {}
+        self.cells = np.ascontiguousarray(model.logs.T, np.float64)
+        self.grams = _Grams()
+        # a word's row in the scores of the words known
+        self._rows: dict[str, int] = {}
+        self._scores = np.zeros((1024, len(model.langs)))
+
+    def scores(self, words: list[str]) -> np.ndarray:
+        """Scores (word, language) of lower-case words, the best language of each at 0."""
+        if len(self._rows) > REMEMBERED:
+            self._rows.clear()
+        rows = self._rows
+        new = [w for w in dict.fromkeys(words) if w not in rows]
+        if new:
+            if len(self.grams) > REMEMBERED:
+                self.grams.clear()
+            grams, cells, starts = self.grams, [], []
+            for w in new:
+                rows[w] = len(rows)
+                starts.append(len(cells))
+                bordered = f"^{w}$"
+                cells += [grams[bordered[i:i + 3]] for i in range(len(w))]
+            s = np.add.reduceat(self.cells[cells], starts, axis=0)
+            for name, allowed in self.model.scripts.items():
+                if len(allowed) < s.shape[1]:
+                    of = [i for i, w in enumerate(new) if script(w) == name]
+                    if of:
+                        out = np.setdiff1d(np.arange(s.shape[1]), allowed)
+                        s[np.ix_(of, out)] = -np.inf
+            s = np.maximum(s - s.max(axis=1, keepdims=True), FLOOR)
+            if len(rows) > len(self._scores):
+                self._scores = np.concatenate([self._scores, np.zeros((len(rows), s.shape[1]))])
+            self._scores[len(rows) - len(new):len(rows)] = s
+        return self._scores[[rows[w] for w in words]]
 
     def word(self, w: str) -> tuple[int, tuple[float, ...]]:
         """(best language or -1 if tied, scores with the best at 0) of a lower-case word."""
-        rows, bordered = self.rows, f"^{w}$"
-        s = list(map(sum, zip(*[rows[bordered[i:i + 3]] for i in range(len(w))])))
-        allowed = self.model.scripts.get(script(w))
-        if allowed and len(allowed) < len(s):
-            top = max(s[k] for k in allowed)
-            s = [max(x - top, FLOOR) if k in allowed else FLOOR for k, x in enumerate(s)]
-        else:
-            top = max(s)
-            s = [x - top if x - top > FLOOR else FLOOR for x in s]
-        made = (s.index(0.0) if s.count(0.0) == 1 else -1, tuple(s))
-        if len(self._known) >= REMEMBERED:
-            self._known.clear()
-        self._known[w] = made
-        return made
+        return next(self._each([w]))
+
+    def _each(self, words: list[str]) -> Iterator[tuple[int, tuple[float, ...]]]:
+        for i in range(0, len(words), _AT_ONCE):
+            s = self.scores(words[i:i + _AT_ONCE])
+            best = np.where((s == 0.0).sum(axis=1) == 1, s.argmax(axis=1), -1)
+            yield from zip(best.tolist(), map(tuple, s.tolist()))
+
+    def single(self, words: list[str]) -> int:
+        """The language of all words where that is the one best labelling, or -1 where it may not be:
+        another language, or several, gain less in every stretch of words than it costs to go there."""
+        if len(words) > _AT_ONCE or len(self.model.langs) < 2:
+            return -1
+        s = self.scores(words)
+        total = s.sum(axis=0)
+        k = int(total.argmax())
+        others = np.delete(s, k, axis=1)
+        if np.delete(total, k).max() > total[k] - _CLOSE:
+            return -1
+        gain = np.cumsum(others.max(axis=1) - s[:, k])
+        before = np.minimum.accumulate(np.concatenate([[0.0], gain[:-1]]))
+        # from the first word on; up to the last; between
+        if gain.max() > SWITCH - _CLOSE or gain[-1] - before[-1] > SWITCH - _CLOSE \
+                or (gain - before).max() > 2 * SWITCH - _CLOSE:
+            return -1
+        return k
 
     def viterbi(self, words: list[str]) -> list[int]:
         """The language of each word."""
-        get, n = self._known.get, len(self.model.langs)
-        v, back = [0.0] * n, []
+        v, back = [0.0] * len(self.model.langs), []
         lead = -1            # the language ahead of all others by the full price of a change
-        for w in words:
-            best, s = get(w) or self.word(w)
+        for best, s in self._each(words):
             if lead >= 0 and best == lead:
                 back.append(lead)        # nothing changes: all others start again from the lead
                 continue
@@ -205,6 +247,9 @@ class Labeller:
         words = _WORD.findall(low) if langs else []
         if not words:
             return "und", 0.0, []
+        k = self.single(words)
+        if k >= 0:
+            return langs[k], 1.0, [{"lang": langs[k], "first": 0, "words": len(words)}]
         path = self.viterbi(words)
         if path.count(path[0]) == len(path):
             return langs[path[0]], 1.0, [{"lang": langs[path[0]], "first": 0, "words": len(words)}]

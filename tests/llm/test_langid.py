@@ -53,6 +53,39 @@ def test_viterbi_is_the_best_path():
         assert abs(best - cost(ws, lab.viterbi(ws))) < 1e-4
 
 
+def test_single_language_is_the_best_path():
+    rnd = np.random.default_rng(1)
+    model = L.Model(["a", "b", "c"], np.log(rnd.random((3, L.BUCKETS))).astype(np.float32) * 2, {})
+    lab, seen = L.Labeller(model), 0
+    words = ["".join(chr(97 + c) for c in rnd.integers(0, 26, 3)) for _ in range(3000)]
+    for i in range(0, 2990, 5):
+        ws = words[i:i + 5 + i % 7]
+        k, path = lab.single(ws), lab.viterbi(ws)
+        assert k < 0 or path == [k] * len(ws)
+        seen += k >= 0
+    assert seen > 50
+
+
+def test_text_in_one_language_needs_no_search(spark, monkeypatch):
+    labeller = L.Labeller(L.learn(frame(spark)))
+    texts = [text_in(g, 950 + i, 200) for i, g in enumerate(["aa", "bb", "cc"] * 5)]
+    want = [labeller.viterbi(L._WORD.findall(t)) for t in texts]
+    monkeypatch.setattr(L.Labeller, "viterbi", None)
+    assert [[labeller.model.langs.index(labeller.label(t)[0])] * 200 for t in texts] == want
+
+
+def test_words_beyond_what_is_remembered_score_the_same(monkeypatch):
+    rnd = np.random.default_rng(2)
+    model = L.Model(["a", "b"], np.log(rnd.random((2, L.BUCKETS))).astype(np.float32), {"latin": [0]})
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(400)] + ["дом"]
+    want = [L.Labeller(model).word(w) for w in words]
+    monkeypatch.setattr(L, "REMEMBERED", 50)
+    monkeypatch.setattr(L, "_AT_ONCE", 30)
+    lab = L.Labeller(model)
+    assert list(lab._each(words + words[::-1])) == want + want[::-1]
+    assert {w[0] for w in want[:-1]} == {0} and len(lab._rows) <= 81
+
+
 def test_scripts():
     assert [L.script(w) for w in ("abc", "éa", "дом", "λόγος", "漢字", "かな", "한글", "שלום", "नमस्ते")] == [
         "latin", "latin", "cyrillic", "greek", "han", "kana", "hangul", "hebrew", "devanagari"]
